@@ -29,8 +29,8 @@ def rules() -> dict[str, Column]:
     return {
         "word_size": vote((size < 2.5) | (size > 12), (size >= 3.5) & (size <= 9)),
         "symbols": vote(_per("n_symbols", "n_words") > 0.1, _per("n_symbols", "n_words") < 0.03),
-        "lines": vote(_per("n_dup_lines", "n_lines") > 0.3, _per("n_dup_lines", "n_lines") < 0.1),
-        "repeats": vote(_per("n_repeat_words", "n_words") > 0.15, _per("n_repeat_words", "n_words") < 0.05),
+        "lines": vote(_per("n_dup_lines", "n_lines") > 0.5, _per("n_dup_lines", "n_lines") < 0.1),
+        "repeats": F.when(_per("n_repeat_words", "n_words") < 0.05, 1).otherwise(0),
         "marks": vote(_per("n_marks", "n_words") > 0.3, _per("n_marks", "n_words") < 0.05),
     }
 
@@ -71,16 +71,16 @@ def fit(votes: DataFrame, names: list[str], rounds: int = 50, prior: float = 0.9
 
     The counts cover all rows; there are at most 3 ** rules patterns, whatever the number of rows. For good and for bad
     rows, each rule has its own rate of each vote, so its accuracy as it objects and as it approves may differ: a good row
-    seldom draws an objection, while a bad one is approved by every rule that looks at something else. A rule is never
-    taken to object to good rows more often than to half as many of the bad ones, or to approve bad rows more readily than
-    good ones, which keeps the two classes from changing places.
+    seldom draws an objection, while a bad one is approved by every rule that looks at something else. A rule is
+    never taken to object to more than one good row in a hundred, or to approve bad rows more readily than good ones,
+    which keeps the two classes from changing places. To abstain tells nothing.
     """
     counts = {tuple(r[:-1]): r[-1] for r in votes.groupBy(*names).agg(F.count(F.lit(1)).alias("_n")).collect()}
-    rate = {1: {n: {1: 0.9, 0: 0.08, -1: 0.02} for n in names}, -1: {n: {1: 0.5, 0: 0.1, -1: 0.4} for n in names}}
+    rate = {1: {n: {1: 0.9, 0: 0.095, -1: 0.005} for n in names}, -1: {n: {1: 0.7, 0: 0.05, -1: 0.25} for n in names}}
     for _ in range(rounds if counts else 0):
         share = {}
         for pattern in counts:
-            odds = math.log(prior / (1 - prior)) + sum(math.log(rate[1][n][v] / rate[-1][n][v]) for n, v in zip(names, pattern))
+            odds = math.log(prior / (1 - prior)) + sum(math.log(rate[1][n][v] / rate[-1][n][v]) for n, v in zip(names, pattern) if v)
             share[pattern] = 1 / (1 + math.exp(-max(-700.0, min(700.0, odds))))
         total = {1: sum(c * share[p] for p, c in counts.items()), -1: sum(c * (1 - share[p]) for p, c in counts.items())}
         prior = min(0.99, max(0.5, total[1] / sum(counts.values())))
@@ -89,9 +89,9 @@ def fit(votes: DataFrame, names: list[str], rounds: int = 50, prior: float = 0.9
             rate[y][n][v] = (seen + 1) / (total[y] + 3)
         for n in names:
             good, bad = rate[1][n], rate[-1][n]
-            good[-1] = min(good[-1], bad[-1] / 2)
+            good[-1] = min(good[-1], 0.01)
             bad[1] = min(bad[1], good[1])
-    return prior, {n: {v: math.log(rate[1][n][v] / rate[-1][n][v]) for v in (1, 0, -1)} for n in names}
+    return prior, {n: {v: v and math.log(rate[1][n][v] / rate[-1][n][v]) for v in (1, 0, -1)} for n in names}
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_from: float = KEEP_FROM) -> DataFrame:
