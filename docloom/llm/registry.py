@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from .chat import op9_chat
+from .decontamination import op7_decontamination
 from .packing import op6_packing
 from .quality import op10_quality
 from .sharding import op1_sharding
 from .simhash import op2_simhash
+from .toxicity import op8_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_simhash, op6_packing, op9_chat, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_simhash, op6_packing, op7_decontamination, op8_toxicity, op9_chat, op10_quality)}
 ORACLE: dict[str, str] = {}
