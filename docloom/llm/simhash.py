@@ -67,19 +67,19 @@ def segments(max_bits: int) -> list[tuple[int, int]]:
     return list(zip(ends, ends[1:]))
 
 
-def variants(fp: Column, max_bits: int) -> Column:
+def variants(fp: Column, max_bits: int, which: int = 0) -> list[Column]:
     """64 keys: each segment with each one of its bits masked. Segments that differ by one bit at most share a key."""
     keys = []
     for low, high in segments(max_bits):
         part = F.shiftrightunsigned(fp, low).bitwiseAND(F.lit((1 << (high - low)) - 1))
-        keys += [part.bitwiseAND(F.lit(((1 << (high - low)) - 1) & ~(1 << i))).bitwiseOR(F.lit((low + i) << 40)) for i in range(high - low)]
-    return F.array(*keys)
+        keys += [part.bitwiseAND(F.lit(((1 << (high - low)) - 1) & ~(1 << i))).bitwiseOR(F.lit((64 * which + low + i) << 40)) for i in range(high - low)]
+    return keys
 
 
-def group_links(group: np.ndarray, fp: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
+def group_links(group: np.ndarray, fps: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows and the row that leads each one's component, in which rows of a group are linked at max_bits or fewer.
 
-    group: sorted. Within a group a search spreads from row to row over those not yet reached, so dense groups take
+    fps: one column for each row, with as many fingerprints as are compared together. group: sorted. Within a group a search spreads from row to row over those not yet reached, so dense groups take
     little more than one comparison a row, and no group gives more links than it has rows.
     """
     n = len(group)
@@ -90,7 +90,7 @@ def group_links(group: np.ndarray, fp: np.ndarray, max_bits: int) -> tuple[np.nd
     a_all, b_all = [], []
     for d in range(1, min(SMALL, int(size.max(initial=1)))):
         i = np.flatnonzero((group[:-d] == group[d:]) & (at[:-d] <= SMALL))
-        i = i[np.bitwise_count(fp[i] ^ fp[i + d]) <= max_bits]
+        i = i[_apart(fps[:, i], fps[:, i + d]) <= max_bits]
         a_all.append(i)
         b_all.append(i + d)
     if a_all:
@@ -107,7 +107,7 @@ def group_links(group: np.ndarray, fp: np.ndarray, max_bits: int) -> tuple[np.nd
         while len(rest):
             root, todo, rest = rest[0], [rest[0]], rest[1:]
             while todo and len(rest):
-                near = np.bitwise_count(fp[rest] ^ fp[todo.pop()]) <= max_bits
+                near = _apart(fps[:, rest], fps[:, todo.pop()][:, None]) <= max_bits
                 found = rest[near]
                 lead[found] = root
                 todo.extend(found.tolist())
@@ -116,44 +116,70 @@ def group_links(group: np.ndarray, fp: np.ndarray, max_bits: int) -> tuple[np.nd
     return rows, lead[rows]
 
 
-def links(fps: DataFrame, max_bits: int = MAX_BITS, tile: int = TILE) -> DataFrame:
-    """(a, b) of distinct fingerprints, enough links at max_bits or fewer bits to give all components.
-
-    fps: distinct fingerprints (column fp), cheap to compute again. Equal variants meet in one group; a group larger than
-    `tile` is cut into parts, and each two parts meet in a group of their own, so that no task gets more than two parts.
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bits in which the fingerprints of each column differ, all together."""
+    return np.bitwise_count(a ^ b).sum(axis=0, dtype=np.int64)
+
+
+def tiled(rows: DataFrame, key: str, row: str, tile: int) -> DataFrame:
+    """rows with a column `tile`, so that no (key, tile) has more than about two tiles of rows and any two rows of a key meet in one."""
+    hot = cut(rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > tile))
+    if not hot.limit(1).count():
+        return rows.withColumn("tile", F.lit(0))
+    parts = hot.select(F.col(key).alias("_key"), F.ceil(F.col("n") / tile).cast("int").alias("_parts"))
+    rows = rows.join(parts, F.col(key) == F.col("_key"), "left")
+    mine = F.pmod(F.xxhash64(row), F.col("_parts")).cast("int")
+    tiles = F.transform(F.sequence(F.lit(0), F.col("_parts") - 1), lambda i: F.least(mine, i) * F.col("_parts") + F.greatest(mine, i))
+    return rows.withColumn("tile", F.explode(F.when(F.col("_parts").isNull(), F.array(F.lit(0))).otherwise(tiles))).drop("_key", "_parts")
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables in which each value of the first two columns (by which the rows are sorted) is whole."""
+    kept: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        new = np.ones(batch.num_rows, bool)
+        new[1:] = np.logical_or(*(batch.column(i).to_numpy(zero_copy_only=False)[1:] != batch.column(i).to_numpy(zero_copy_only=False)[:-1] for i in (0, 1)))
+        if kept:
+            new[0] = any(batch.column(i)[0] != kept[-1].column(i)[-1] for i in (0, 1))
+        last = int(np.flatnonzero(new)[-1]) if new.any() else -1
+        if last < 0:
+            kept.append(batch)
+            continue
+        if last:
+            kept.append(batch.slice(0, last))
+        if kept:
+            yield pa.Table.from_batches(kept)
+        kept = [batch.slice(last)]
+    if kept:
+        yield pa.Table.from_batches(kept)
+
+
+def group_of(rows: pa.Table) -> np.ndarray:
+    """A number for each value of the first two columns of sorted rows."""
+    a, b = (rows.column(i).to_numpy() for i in (0, 1))
+    return np.cumsum(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+
+
+def links(rows: DataFrame, fps: list[str], max_bits: int, segment_bits: int = MAX_BITS, tile: int = TILE) -> DataFrame:
+    """(a, b) of ids, enough links to give all components of rows whose fingerprints differ in max_bits bits or fewer together.
+
+    rows: distinct ids (column id) with the fingerprints `fps`, cheap to compute again. Each fingerprint is cut as for
+    segment_bits; equal variants meet in one group, and groups larger than `tile` meet part by part.
     """
-    rows = fps.select("fp", F.explode(variants(F.col("fp"), max_bits)).alias("key"))
-    hot = cut(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > tile))
-    rows = rows.withColumn("tile", F.lit(0))
-    if hot.limit(1).count():
-        parts = hot.select(F.col("key").alias("_key"), F.ceil(F.col("n") / tile).cast("int").alias("parts"))
-        rows = rows.join(parts, F.col("key") == F.col("_key"), "left")
-        mine = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
-        other = F.sequence(F.lit(0), F.col("parts") - 1)
-        tiles = F.transform(other, lambda i: F.least(mine, i) * F.col("parts") + F.greatest(mine, i))
-        rows = rows.select("fp", "key", F.explode(F.when(F.col("parts").isNull(), F.array(F.lit(0))).otherwise(tiles)).alias("tile"))
+    keys = [k for i, c in enumerate(fps) for k in variants(F.col(c), segment_bits, i)]
+    met = tiled(rows.select("id", *fps, F.explode(F.array(*keys)).alias("key")), "key", "id", tile)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = np.zeros((3, 0), np.int64)
-        for batch in _and_end(batches):
-            if batch is not None:
-                kept = np.concatenate([kept, [batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3)]], axis=1)
-            new = np.r_[True, (kept[0, 1:] != kept[0, :-1]) | (kept[1, 1:] != kept[1, :-1])]
-            whole = kept.shape[1] if batch is None else int(np.flatnonzero(new)[-1]) if kept.shape[1] else 0
-            if whole:
-                fp = kept[2, :whole].view(np.uint64)
-                a, b = group_links(np.cumsum(new[:whole]), fp, max_bits)
-                if len(a):
-                    yield pa.RecordBatch.from_arrays([pa.array(kept[2, a]), pa.array(kept[2, b])], names=["a", "b"])
-                kept = kept[:, whole:]
-
-    met = rows.select("key", "tile", "fp").repartition("key", "tile").sortWithinPartitions("key", "tile", "fp")
-    return met.mapInArrow(run, "a long, b long").distinct()
-
+        for found in whole_groups(batches):
+            bits = np.stack([found.column(3 + i).to_numpy().view(np.uint64) for i in range(len(fps))])
+            a, b = group_links(group_of(found), bits, max_bits)
+            if len(a):
+                ids = found.column(2).to_numpy()
+                yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])], names=["a", "b"])
 
-def _and_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
-    yield from batches
-    yield None
+    return met.select("key", "tile", "id", *fps).repartition("key", "tile").sortWithinPartitions("key", "tile").mapInArrow(run, "a long, b long").distinct()
 
 
 def dedup(docs: DataFrame, n_words: int = SHINGLE, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -166,12 +192,89 @@ def dedup(docs: DataFrame, n_words: int = SHINGLE, max_bits: int = MAX_BITS, id_
     """
     rows = cut(fingerprints(docs, n_words, id_col, text_col))
     fps = rows.groupBy("fp").agg(F.min("doc_id").alias("doc"))
-    led = components(links(fps.select("fp"), max_bits))
+    led = components(links(fps.select(F.col("fp").alias("id"), "fp"), ["fp"], max_bits, max_bits))
     group = fps.join(led, F.col("fp") == F.col("node"), "left").select("fp", "doc", F.coalesce("component", "fp").alias("root"))
     least = group.groupBy("root").agg(F.min("doc").alias("component_id"))
     named = group.join(least, "root").select("fp", "component_id")
     return rows.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def similar_in_groups(group: np.ndarray, sets: list[np.ndarray], share: float) -> tuple[list[int], list[int]]:
+    """Rows and the row that leads each one's component, in which sets of a group are linked at a Jaccard index of `share` or more."""
+    rows, leads = [], []
+    first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+    for start, end in zip(first, np.r_[first[1:], len(group)]):
+        size = np.array([len(x) for x in sets[start:end]])
+        _, number = np.unique(np.concatenate(sets[start:end]), return_inverse=True)
+        own = np.split(number, np.cumsum(size)[:-1])
+        rest = np.arange(end - start)
+        has = np.zeros(int(number.max(initial=-1)) + 1, np.int64)
+        while len(rest):
+            root, todo, rest = rest[0], [rest[0]], rest[1:]
+            while todo and len(rest):
+                i = todo.pop()
+                fits = rest[(size[rest] >= share * size[i]) & (size[i] >= share * size[rest]) & (size[rest] > 0)]
+                if not len(fits) or not size[i]:
+                    continue
+                has[own[i]] = 1
+                both = np.add.reduceat(has[np.concatenate([own[j] for j in fits])], np.r_[0, np.cumsum(size[fits])[:-1]])
+                has[own[i]] = 0
+                found = fits[both >= share * (size[i] + size[fits] - both) - 1e-9]
+                rows.extend((start + found).tolist())
+                leads.extend([int(start + root)] * len(found))
+                todo.extend(found.tolist())
+                rest = np.setdiff1d(rest, found, assume_unique=True)
+    return rows, leads
+
+
+def near_duplicates(docs: DataFrame, n_words: int = 5, share: float = 0.8, max_bits: int = 24, tile: int = 4096, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of docs for each group of near-duplicates, all columns kept.
+
+    Rows with equal texts form a group, and so do texts whose sets of n_words-word shingles (lower case; fewer words: the
+    whole sequence) have a Jaccard index of `share` or more, directly or through others; the row with the smallest id
+    stays. Two fingerprints of each different text, over its different words, bring candidates together by their deletion
+    variants: those that share a variant and differ in at most max_bits of 128 bits. Their components are then compared by
+    the shingles themselves. On the supplied tables no pair at the share was missed by the fingerprints (README).
+    Null texts count as empty; texts without words are only equal to the same text. Of repeated rows one stays. Rows without
+    an id may be dropped for one with an id. Large components meet part by part, so no task holds more than two tiles.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints = []
+            for text in batch.column(3):
+                words = set((text.as_py() or "").encode().lower().split())
+                prints.append([fingerprint(np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))) for seed in (1, 2)])
+            found = np.array(prints, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(found[:, 0]), pa.array(found[:, 1])], names=["id", "k", "doc", "f1", "f2"])
+
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    named = docs.withColumn("_id", F.xxhash64(text)).withColumn("_k", F.xxhash64(F.lit(1), text))
+    rows = named.select("_id", "_k", F.col(id_col).cast("long").alias("doc"), text.alias("text")).mapInArrow(run, "id long, k long, doc long, f1 long, f2 long")
+    texts = cut(rows.groupBy("id", "k").agg(F.min("doc").alias("doc"), F.min("f1").alias("f1"), F.min("f2").alias("f2")))
+    near = components(links(texts.select("id", "f1", "f2"), ["f1", "f2"], max_bits)).select(F.col("node").alias("_node"), "component")
+
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = pa.array([np.unique(shingle_hashes(t.as_py(), n_words)).view(np.int64) for t in batch.column(2)], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), sets], names=["component", "id", "shingles"])
+
+    members = named.select("_id", text.alias("text")).join(near, F.col("_id") == F.col("_node")).groupBy("component", "_id").agg(F.first("text").alias("text"))
+    sets = cut(members.mapInArrow(shingled, "component long, id long, shingles array<long>"))
+    met = tiled(sets, "component", "id", tile).select("component", "tile", "id", "shingles")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found in whole_groups(batches):
+            a, b = similar_in_groups(group_of(found), [np.array(x, np.int64) for x in found.column(3).to_pylist()], share)
+            if a:
+                ids = found.column(2).to_numpy()
+                yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])], names=["a", "b"])
+
+    same = components(met.repartition("component", "tile").sortWithinPartitions("component", "tile").mapInArrow(compare, "a long, b long").distinct())
+    group = texts.join(same, F.col("id") == F.col("node"), "left").withColumn("group", F.coalesce("component", "id"))
+    stays = group.groupBy("group").agg(F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "id", "k")).alias("s")).select("s.*")
+    kept = named.join(stays.select(F.col("id").alias("_i"), F.col("k").alias("_j"), F.col("doc").alias("_doc")), (F.col("_id") == F.col("_i")) & (F.col("_k") == F.col("_j")) & F.col(id_col).cast("long").eqNullSafe(F.col("_doc")), "left_semi")
+    return kept.dropDuplicates(["_id", "_k"]).select(*docs.columns)
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup(table(spark, sf_dir, "documents"))
