@@ -13,11 +13,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir; where it is unset, as in tests, a new one of our own."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        named = tempfile.mkdtemp(prefix="checkpoint-")
+        spark.conf.set("spark.checkpoint.dir", named)
+    return named
+
+
 def cut(df: DataFrame) -> DataFrame:
     """df computed once and kept in the shared checkpoint folder, so that a lost executor costs no recomputation."""
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 

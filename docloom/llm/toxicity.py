@@ -79,26 +79,47 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int =
     return weights
 
 
+def dense(sparse: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    w = np.zeros(N_WEIGHTS + 1)
+    w[sparse[0]] = sparse[1]
+    return w
+
+
+def score(text: str | None, w: np.ndarray) -> float:
+    i = features(text)
+    total = w[np.unique(i[w[i] != 0])].sum() + w[N_WEIGHTS]
+    return float(1 / (1 + np.exp(-np.clip(total, -35, 35))))
+
+
 def scored(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score) of every whole text; null texts count as empty."""
     slots = np.flatnonzero(weights)
     sent = docs.sparkSession.sparkContext.broadcast((slots, weights[slots]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = np.zeros(N_WEIGHTS + 1)
-        w[sent.value[0]] = sent.value[1]
-        used = w != 0
+        w = dense(sent.value)
         for batch in batches:
-            sums = []
-            for text in batch.column(1):
-                i = features(text.as_py())
-                sums.append(w[np.unique(i[used[i]])].sum() + w[N_WEIGHTS])
-            scores = 1 / (1 + np.exp(-np.clip(np.array(sums, float), -35, 35)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
+            scores = pa.array([score(t.as_py(), w) for t in batch.column(1)], pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), scores], names=["doc_id", "score"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, score double")
 
 
+def filtered(docs: DataFrame, weights: np.ndarray, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
+    """The rows of docs whose text scores under the threshold, all columns kept."""
+    slots = np.flatnonzero(weights)
+    sent = docs.sparkSession.sparkContext.broadcast((slots, weights[slots]))
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w = dense(sent.value)
+        for batch in batches:
+            kept = pa.array([score(t.as_py(), w) < threshold for t in batch.column(at)], pa.bool_())
+            yield batch.filter(kept)
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
