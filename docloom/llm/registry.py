@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .chat import op9_chat
 from .decontamination import op7_decontamination
+from .licenses import op5_licenses
 from .packing import op6_packing
 from .quality import op10_quality
 from .secrets import op3_secrets
@@ -11,5 +12,5 @@ from .sharding import op1_sharding
 from .simhash import op2_simhash
 from .toxicity import op8_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_simhash, op3_secrets, op6_packing, op7_decontamination, op8_toxicity, op9_chat, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_simhash, op3_secrets, op5_licenses, op6_packing, op7_decontamination, op8_toxicity, op9_chat, op10_quality)}
 ORACLE: dict[str, str] = {}
