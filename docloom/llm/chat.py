@@ -50,8 +50,9 @@ def paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
     best = leaves.withColumn("_k", F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("sum"), "node"))).where(F.col("_k") <= branches)
     on = best.select("tree", F.col("node").alias("leaf"), "node", F.col("depth"), F.lit(0).cast("long").alias("back"))
     for i in reversed(range(len(jumps))):
-        more = on.join(jumps[i], (F.col("tree") == F.col("_t")) & (F.col("node") == F.col("_n")))
-        on = on.union(more.select("tree", "leaf", F.col("_up").alias("node"), "depth", (F.col("back") + 2**i).alias("back")))
+        met = on.join(jumps[i], (F.col("tree") == F.col("_t")) & (F.col("node") == F.col("_n")), "left")
+        both = F.array(F.struct("node", "back"), F.struct(F.col("_up").alias("node"), (F.col("back") + 2**i).alias("back")))
+        on = met.select("tree", "leaf", "depth", F.inline(both)).where("node is not null")
     return on.select("tree", "leaf", "node", (F.col("depth") - 1 - F.col("back")).alias("pos"))
 
 
