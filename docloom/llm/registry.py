@@ -10,7 +10,8 @@ from .quality import op10_quality
 from .secrets import op3_secrets
 from .sharding import op1_sharding
 from .simhash import op2_simhash
+from .substrings import op4_suffix_dedup
 from .toxicity import op8_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_simhash, op3_secrets, op5_licenses, op6_packing, op7_decontamination, op8_toxicity, op9_chat, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_simhash, op3_secrets, op4_suffix_dedup, op5_licenses, op6_packing, op7_decontamination, op8_toxicity, op9_chat, op10_quality)}
 ORACLE: dict[str, str] = {}
