@@ -6,13 +6,13 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import cut, table
 
 #: A candidate is a run of at least 16 such characters.
-CANDIDATE = r"[A-Za-z0-9+/_=\-]{16,}+"
+CANDIDATE = r"(?<![A-Za-z0-9+/_=\-])[A-Za-z0-9+/_=\-]{16,}+"
 #: Characters of context on either side.
 CONTEXT = 48
 TOLD = r"(?i)(token|secret|passw|passwd|pwd|key|api|auth|credential|bearer|private)"
@@ -31,14 +31,14 @@ def candidates(docs: DataFrame, keep: list[str], text_col: str = "text", path_co
     """keep + (start, token, before, after, path): each candidate of every whole text, with its context; start in characters, from 0."""
     path = F.coalesce(F.col(path_col).cast("string"), F.lit("")) if path_col else F.lit("")
     rows = docs.where(F.col(text_col).rlike(CANDIDATE)).select(*keep, path.alias("path"), F.col(text_col).alias("_text"))
-    rows = rows.select(*keep, "path", F.split("_text", CANDIDATE).alias("_gaps"), F.regexp_extract_all("_text", F.lit(CANDIDATE), 0).alias("_tokens"))
-    sizes = F.transform("_tokens", lambda t, i: F.length(t) + F.length(F.get("_gaps", i)))
-    rows = rows.withColumn("_found", F.arrays_zip(F.col("_tokens").alias("token"), F.slice("_gaps", 1, F.size("_tokens")).alias("gap"), F.slice("_gaps", 2, F.size("_tokens")).alias("next"), sizes.alias("size")))
-    slim = F.transform("_found", lambda x: F.struct(x["token"].alias("token"), F.right(x["gap"], F.lit(CONTEXT)).alias("before"), F.left(x["next"], F.lit(CONTEXT)).alias("after"), x["size"].alias("size")))
-    placed = F.aggregate(slim, F.struct(F.lit(0).alias("end"), F.array().cast("array<int>").alias("starts")), lambda a, x: F.struct((a["end"] + x["size"]).alias("end"), F.concat(a["starts"], F.array(a["end"] + x["size"] - F.length(x["token"]))).alias("starts")))
-    rows = rows.select(*keep, "path", F.arrays_zip(slim.alias("f"), placed["starts"].alias("start")).alias("_f"))
-    rows = rows.select(*keep, "path", F.explode("_f").alias("_f"))
-    return rows.select(*keep, F.col("_f.start").alias("start"), *(F.col(f"_f.f.{c}").alias(c) for c in ("token", "before", "after")), "path")
+    # Each text is split once, in the expression that is exploded; only the ends of what lies between candidates go on.
+    gaps = F.transform(F.split("_text", CANDIDATE), lambda g: F.struct(F.length(g).alias("n"), F.left(g, F.lit(CONTEXT)).alias("head"), F.right(g, F.lit(CONTEXT)).alias("tail")))
+    zipped = F.arrays_zip(gaps.alias("gap"), F.regexp_extract_all("_text", F.lit(CANDIDATE), 0).alias("token"))
+    rows = rows.withColumn("_row", F.monotonically_increasing_id()).select(*keep, "path", "_row", F.posexplode(zipped).alias("_pos", "_x"))
+    order = Window.partitionBy("_row").orderBy("_pos")
+    end = F.sum(F.col("_x.gap.n") + F.coalesce(F.length("_x.token"), F.lit(0))).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.select(*keep, (end - F.length("_x.token")).alias("start"), F.col("_x.token").alias("token"), F.col("_x.gap.tail").alias("before"), F.lead("_x.gap.head").over(order).alias("after"), "path")
+    return rows.where("token is not null")
 
 
 def dictionary(docs: DataFrame, text_col: str = "text", min_texts: int = MIN_TEXTS) -> DataFrame:
@@ -108,7 +108,7 @@ def judged(docs: DataFrame, keep: list[str], text_col: str = "text", path_col: s
         most = [r["word"] for r in words.orderBy(F.desc("n"), "word").limit(N_WORDS).collect()]
         labelled = labelled_findings(spark, most)
     model = train(cut(with_features(labelled, words)))
-    out = model.transform(with_features(candidates(docs, keep, text_col, path_col), words))
+    out = model.transform(with_features(cut(candidates(docs, keep, text_col, path_col)), words))
     return out.select(*keep, "start", "token", vector_to_array("probability")[1].alias("score"))
 
 
