@@ -42,8 +42,9 @@ def paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
     while left and 2 ** len(jumps) <= limit:
         jumps.append(jump.where("up is not null").select(F.col("tree").alias("_t"), F.col("node").alias("_n"), F.col("up").alias("_up")))
         far = jump.select(F.col("tree").alias("_t"), F.col("node").alias("_n"), F.col("up").alias("_up"), F.col("sum").alias("_sum"), F.col("depth").alias("_depth"))
-        met = jump.join(far, (F.col("tree") == F.col("_t")) & (F.col("up") == F.col("_n")), "left")
-        jump = cut(met.select("tree", "node", F.col("_up").alias("up"), (F.col("sum") + F.coalesce("_sum", F.lit(0.0))).alias("sum"), (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth")))
+        met = jump.where("up is not null").join(far, (F.col("tree") == F.col("_t")) & (F.col("up") == F.col("_n")))
+        further = met.select("tree", "node", F.col("_up").alias("up"), (F.col("sum") + F.col("_sum")).alias("sum"), (F.col("depth") + F.col("_depth")).alias("depth"))
+        jump = cut(jump.where("up is null").union(further))
         left = jump.where("up is not null").count()
     parents = known.where("_n is not null").select(F.col("tree").alias("_t"), F.col("_n").alias("_p")).distinct()
     leaves = jump.where("up is null").join(parents, (F.col("tree") == F.col("_t")) & (F.col("node") == F.col("_p")), "left_anti")
