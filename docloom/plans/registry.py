@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
-FLAGSHIP = ""
+from . import governance, graph, matching, records, reports, search, texts  # noqa: F401
+from .base import ORACLE, QUERIES
+
+FLAGSHIP = "facets_dedup"
+
+__all__ = ["FLAGSHIP", "ORACLE", "QUERIES"]
