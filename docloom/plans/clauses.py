@@ -13,12 +13,12 @@ _CLAUSES = f"""with l as ({_LINES}), m as (select *, regexp_matches(text, '^(The
 w as (select *, sum(a::int) over (partition by doc order by line) article, sum(c::int) over (partition by doc order by line) chapter from m)"""
 
 
-@query(_CLAUSES + " select doc, article::bigint as article, min(chapter)::bigint as chapter, max(case when a then regexp_extract(text, '^(The|Of|In|On)(?:[ .,]|$)', 1) end) mark, count(*) n_lines from w where article > 0 and not c group by doc, article")
+@query(_CLAUSES + " select doc, article::bigint as article, min(chapter)::bigint as chapter, max(case when a then regexp_extract(text, '^(The|Of|In|On)(?:[ .,]|$)', 1) end) mark, count(*) filter (where not a or trim(regexp_replace(text, '^(The|Of|In|On)(?:[ .,]|$)', ''), ' ') <> '') n_lines from w where article > 0 and not c group by doc, article")
 def clause_articles(t):
     """Articles of each document with the number of their lines."""
     d = t("documents")
     rows = C.articles(d, "doc_id", "text", ARTICLE, CHAPTER)
-    n = F.size(F.split("body", "\n"))
+    n = F.when(F.col("body") == "", 0).otherwise(F.size(F.split("body", "\n")))
     return rows.select("doc", "article", "chapter", "mark", n.cast("long").alias("n_lines"))
 
 

@@ -17,7 +17,7 @@ def source(spark: SparkSession, path: str, schema: str, files: int = 1) -> DataF
 
 
 def _late(events: DataFrame, delay: str) -> DataFrame:
-    return events.withWatermark("ts", delay) if events.isStreaming else events
+    return events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay) if events.isStreaming else events
 
 
 def tumbling(events: DataFrame, size: str = "1 day", delay: str = "1 day") -> DataFrame:
@@ -40,7 +40,7 @@ def sessions(events: DataFrame, gap: str = "6 hours", delay: str = "1 day") -> D
 
 def once(events: DataFrame, key: str = "event_id", delay: str = "1 day") -> DataFrame:
     """Events without repeats of a key; a stream forgets keys after the delay."""
-    return events.withWatermark("ts", delay).dropDuplicatesWithinWatermark([key]) if events.isStreaming else events.dropDuplicates([key])
+    return _late(events, delay).dropDuplicatesWithinWatermark([key]) if events.isStreaming else events.dropDuplicates([key])
 
 
 def open_items(events: DataFrame, key: str = "user_id", closing: str = "purchase") -> DataFrame:
