@@ -1,0 +1,28 @@
+from __future__ import annotations
+
+import hashlib
+import re
+
+from docloom.llm.secrets import MASK, masked, scan
+
+PLACES = re.compile(r"(?<![A-Za-z0-9+/_=\-])[A-Za-z0-9+/_=\-]{16,}")
+KEY = "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b"
+
+
+def test_every_candidate_and_the_planted_secrets(documents):
+    rows = scan(documents).collect()
+    texts = {r.doc_id: r.text for r in documents.collect()}
+    want = {(d, m.start(), hashlib.sha256(m.group().encode()).hexdigest()) for d, t in texts.items() for m in PLACES.finditer(t or "")}
+    assert {(r.doc_id, r.start, r.sha256) for r in rows} == want
+    told = {(d, m.start(1)) for d, t in texts.items() for m in re.finditer(r'token = "([0-9a-f]{40})"', t or "")}
+    assert {(r.doc_id, r.start) for r in rows if r.is_secret} >= told
+
+
+def test_odd_rows(spark, odd_docs, no_docs):
+    assert scan(odd_docs).count() == 0 and scan(no_docs).count() == 0
+    text = f'the word api_key = "{KEY}" and commit {KEY[::-1]} and aaaaaaaaaaaaaaaaaaaaaaaa end'
+    docs = spark.createDataFrame([(1, text, None, 7), (1, text, None, 7), (2, None, "x", 8)], "doc_id long, text string, source string, token int")
+    out = masked(docs)
+    assert out.columns == docs.columns
+    got = sorted(r.text or "" for r in out.collect())
+    assert got == ["", *[text.replace(f'"{KEY}"', f'"{MASK}"')] * 2]
