@@ -30,6 +30,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """At most `rows` rows of text in an Arrow batch from now on, so that a batch of long texts fits beside others in a task."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
 def numbered(rows: DataFrame, by: list[str], order: list[str], name: str, n_rows: int, block_rows: int = 50_000) -> DataFrame:
     """rows with a long column `name`: gapless numbers from 0 within each value of `by`.
 

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import small_batches, table
 
 #: Features are hashed to so many weights.
 N_WEIGHTS = 1 << 20
@@ -39,7 +39,7 @@ def features(text: str | None) -> np.ndarray:
 def learn(texts: list[str | None], labels: np.ndarray, epochs: int = EPOCHS) -> np.ndarray:
     """Weights, the last one a constant, after `epochs` passes of FTRL-proximal in the given order. A feature counts once a text."""
     z, n = np.zeros(N_WEIGHTS + 1), np.zeros(N_WEIGHTS + 1)
-    slots = [np.append(np.unique(features(t)), N_WEIGHTS) for t in texts]
+    slots = [np.append(np.unique(features(t)), N_WEIGHTS).astype(np.int32) for t in texts]
 
     def weights(i: np.ndarray | slice) -> np.ndarray:
         return np.where(np.abs(z[i]) <= L1, 0.0, -(z[i] - np.sign(z[i]) * L1) / ((BETA + np.sqrt(n[i])) / ALPHA + L2))
@@ -107,6 +107,7 @@ def scored(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_co
 
 def filtered(docs: DataFrame, weights: np.ndarray, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
     """The rows of docs whose text scores under the threshold, all columns kept."""
+    small_batches(docs.sparkSession)
     slots = np.flatnonzero(weights)
     sent = docs.sparkSession.sparkContext.broadcast((slots, weights[slots]))
     at = docs.columns.index(text_col)
