@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import chat
 from .chat import op9_chat
 from .decontamination import op7_decontamination
 from .licenses import op5_licenses
@@ -14,4 +15,4 @@ from .substrings import op4_suffix_dedup
 from .toxicity import op8_toxicity
 
 QUERIES = {f.__name__: f for f in (op1_sharding, op2_simhash, op3_secrets, op4_suffix_dedup, op5_licenses, op6_packing, op7_decontamination, op8_toxicity, op9_chat, op10_quality)}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op9_chat": chat.ORACLE_SQL}
