@@ -14,13 +14,16 @@ def normalize_ws(t):
     return t("documents").select("doc_id", F.length(x).cast("long").alias("chars"), F.sha2(x, 256).alias("digest"))
 
 
-@query()
+_PLAIN = "regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<(script|style)[^>]*>.*?</(script|style)>', ' ', 'g'), '(?s)<!--.*?-->', ' ', 'g'), '(?i)<br\\s*/?>|</(p|div|li|tr|h[1-6])>', chr(10), 'g'), '<[^>]+>', '', 'g')"
+
+
+@query(f"select page_id, unnest(range(len(p)))::int as position, unnest(p) as paragraph from (select page_id, list_filter(list_transform(string_split(replace(replace(replace(replace(replace({_PLAIN}, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&'), chr(10)), lambda x: trim(regexp_replace(x, '[ \\t\\r]+', ' ', 'g'), ' ')), lambda x: x <> '') p from pages)")
 def html_paragraphs(t):
     """(page_id, n, position, paragraph) of each page."""
     return t("pages").select("page_id", F.posexplode(T.paragraphs(F.col("html"))).alias("position", "paragraph"))
 
 
-@query()
+@query("select doc_id, unnest(range(len(s)))::int as position, unnest(s) as sentence from (select doc_id, list_filter(list_transform(string_split(regexp_replace(text, '([.!?])[ \\t\\r\\n\\f]*', '\\1' || chr(10), 'g'), chr(10)), lambda x: trim(x, ' ')), lambda x: x <> '') s from documents)")
 def sentence_split(t):
     return t("documents").select("doc_id", F.posexplode(T.sentences(F.col("text"))).alias("position", "sentence"))
 
