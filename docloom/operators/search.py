@@ -47,14 +47,14 @@ def nearest(vectors: DataFrame, row: str, vector: str, queries: DataFrame, query
     nothing that grows is broadcast, and of each block only the k best of a task's rows are shuffled.
     """
     asked = queries.select(F.col(query), F.col(query_vector)).collect()
-    out = None
+    out, kind = None, dict(queries.dtypes)[query]
     for start in range(0, len(asked), block):
         part = asked[start : start + block]
-        literal = F.array(*(F.struct(F.lit(r[0]).alias("q"), F.array(*map(F.lit, map(float, r[1]))).alias("v")) for r in part))
+        literal = F.array(*(F.struct(F.lit(r[0]).cast(kind).alias("q"), F.array(*map(F.lit, map(float, r[1]))).alias("v")) for r in part))
         each = vectors.select(F.col(row).alias("row"), F.col(vector).alias("_v"), F.explode(literal).alias("_q"))
         distance = (1 - cosine(F.col("_v"), F.col("_q.v"))) if metric == "cosine" else l2(F.col("_v"), F.col("_q.v"))
         each = each.select(F.col("_q.q").alias("query"), "row", F.round(distance, 6).alias("distance"))
-        each = each.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy("distance", "row"))).where(F.col("rank") <= k)
+        each = each.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy("distance", "row")).cast("long")).where(F.col("rank") <= k)
         out = each if out is None else out.union(each)
     return out
 

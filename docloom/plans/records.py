@@ -74,7 +74,7 @@ def version_chain(t):
     from pyspark.sql import Window
 
     order = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    return t("orders").where("o_custkey <= 200").select("o_orderkey", "o_custkey", F.row_number().over(order).alias("version"), F.lag("o_orderkey").over(order).alias("replaces"))
+    return t("orders").where("o_custkey <= 200").select("o_orderkey", "o_custkey", F.row_number().over(order).cast("long").alias("version"), F.lag("o_orderkey").over(order).alias("replaces"))
 
 
 @query("""with s as (select o_custkey, o_orderdate, o_orderkey, o_orderstatus st, case left(o_orderpriority, 1) when '1' then 3 when '2' then 2 when '3' then 1 else 0 end rk from orders),

@@ -21,7 +21,7 @@ def like_fallback(t):
     from ..operators.records import like_tokens
 
     found = t("pages").where(like_tokens("SCRIPT", ["html"]) & like_tokens("http", ["url"]))
-    return found.select("page_id", F.length("url").alias("url_chars")).orderBy("url_chars", "page_id").limit(25)
+    return found.select("page_id", F.length("url").cast("long").alias("url_chars")).orderBy("url_chars", "page_id").limit(25)
 
 
 
