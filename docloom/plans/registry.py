@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import clauses, governance, graph, matching, records, reports, search, texts  # noqa: F401
+from . import clauses, governance, graph, matching, records, reports, runs, search, texts  # noqa: F401
 from .base import ORACLE, QUERIES
 
 FLAGSHIP = "facets_dedup"
