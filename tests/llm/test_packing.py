@@ -48,6 +48,15 @@ def test_same_ids_as_the_tokenizer():
     assert [ranks.encode_ordinary(t) for t in texts] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_added_tokens_as_the_tokenizer(spark):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    mark = "<|endoftext|>"
+    texts = [f"a {mark} b", mark, f"{mark}{mark} \n {mark}x", f"  {mark}  end  ", f"don't{mark}'ll", "<|endoftext|", f"ÄÖ 漢字 {mark * 3} 🙂"]
+    assert tokenizer.encode(texts[0], add_special_tokens=False).ids == [64, 220, 50256, 275]
+    ids = {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 0] for i, t in enumerate(texts)}
+    check(pack_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect(), ids)
+
+
 def test_plan_places_every_piece_once():
     rnd = random.Random(1)
     for _ in range(60):
