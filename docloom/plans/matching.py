@@ -11,7 +11,17 @@ from .base import query
 @query("select l_orderkey, l_linenumber, coalesce((case when l_suppkey % 3 = 0 then s.s_name end), p.p_name, n.n_name) as title from lineitem left join supplier s on s.s_suppkey = l_suppkey and l_suppkey % 3 = 0 left join part p on p.p_partkey = l_partkey and l_partkey % 2 = 0 left join nation n on n.n_nationkey = l_orderkey % 25 where l_linenumber = 1")
 def bridge_cascade(t):
     """A line's name by supplier, else by part, else by a nation key."""
-    lines = t("lineitem").where("l_linenumber = 1").select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey")
+    return _titled(t, t("lineitem").where("l_linenumber = 1"))
+
+
+@query("select l_orderkey, l_linenumber, coalesce((case when l_suppkey % 3 = 0 then s.s_name end), p.p_name, n.n_name) as title from lineitem left join supplier s on s.s_suppkey = l_suppkey and l_suppkey % 3 = 0 left join part p on p.p_partkey = l_partkey and l_partkey % 2 = 0 left join nation n on n.n_nationkey = l_orderkey % 25")
+def bridge_cascade_all(t):
+    """bridge_cascade over all lines."""
+    return _titled(t, t("lineitem"))
+
+
+def _titled(t, lines):
+    lines = lines.select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey")
     sides = [
         (F.col("l_suppkey"), t("supplier").where("s_suppkey % 3 = 0"), "s_suppkey", "s_suppkey", "s_name"),
         (F.col("l_partkey"), t("part").where("p_partkey % 2 = 0"), "p_partkey", "p_partkey", "p_name"),

@@ -71,10 +71,20 @@ def latest_wins(t):
 
 @query("select o_orderkey, o_custkey, row_number() over (partition by o_custkey order by o_orderdate, o_orderkey) as version, lag(o_orderkey) over (partition by o_custkey order by o_orderdate, o_orderkey) as replaces from orders where o_custkey <= 200")
 def version_chain(t):
+    return _versions(t("orders").where("o_custkey <= 200"))
+
+
+@query("select o_orderkey, o_custkey, row_number() over (partition by o_custkey order by o_orderdate, o_orderkey) as version, lag(o_orderkey) over (partition by o_custkey order by o_orderdate, o_orderkey) as replaces from orders")
+def version_chain_all(t):
+    """version_chain over the orders of all customers."""
+    return _versions(t("orders"))
+
+
+def _versions(orders):
     from pyspark.sql import Window
 
     order = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    return t("orders").where("o_custkey <= 200").select("o_orderkey", "o_custkey", F.row_number().over(order).cast("long").alias("version"), F.lag("o_orderkey").over(order).alias("replaces"))
+    return orders.select("o_orderkey", "o_custkey", F.row_number().over(order).cast("long").alias("version"), F.lag("o_orderkey").over(order).alias("replaces"))
 
 
 @query("""with s as (select o_custkey, o_orderdate, o_orderkey, o_orderstatus st, case left(o_orderpriority, 1) when '1' then 3 when '2' then 2 when '3' then 1 else 0 end rk from orders),

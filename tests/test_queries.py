@@ -35,5 +35,10 @@ def test_query(spark, sf_dir, duck, name):
     assert rows == sorted((tuple(plain(r[names.index(c)]) for c in columns) for r in result.fetchall()), key=repr)
 
 
+@pytest.mark.parametrize("name, table", [("version_chain_all", "orders"), ("bridge_cascade_all", "lineitem")])
+def test_no_row_is_left_out(spark, sf_dir, duck, name, table):
+    assert registry.QUERIES[name](spark, sf_dir).count() == duck.execute(f"select count(*) from {table}").fetchone()[0]
+
+
 def test_flagship_is_registered():
     assert registry.FLAGSHIP in registry.QUERIES and set(registry.ORACLE) <= set(registry.QUERIES)
