@@ -205,5 +205,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     return found
 
 
+def without_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of docs whose text holds no benchmark item (see `leaks`), all columns kept, whatever their names.
+
+    Decided by the text alone, so rows without an id and rows that share one are judged each by its own text.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    found = leaks(docs.select(F.xxhash64(text).alias("doc_id"), text.alias("text")), benchmark).select("doc_id").distinct()
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.xxhash64(text).alias("doc_id"))
+    return rows.join(found, "doc_id", "left_anti").select("row.*")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

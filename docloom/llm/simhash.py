@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, cut, small_batches, table
+from .common import components, cut, table
 
 SEED = 42
 SHINGLE = 4
@@ -20,12 +20,6 @@ MAX_BITS = 4
 TILE = 8192
 #: Groups up to this size are compared row by row together, larger ones one after another.
 SMALL = 24
-#: Min-hash keys of a text, and the minima in each.
-BANDS, MINIMA = 12, 3
-#: Texts whose shingles are counted to tell common ones, and how often one must stand among them to be told.
-SAMPLE, COMMON = 8192, 4
-#: Binary logarithms of the bits that tell candidate pairs apart, in groups and after.
-NARROW, WIDE = 7, 11
 
 
 def bits_above_half(hashes: np.ndarray) -> np.ndarray:
@@ -73,12 +67,12 @@ def segments(max_bits: int) -> list[tuple[int, int]]:
     return list(zip(ends, ends[1:]))
 
 
-def variants(fp: Column, max_bits: int, which: int = 0) -> list[Column]:
+def variants(fp: Column, max_bits: int) -> list[Column]:
     """64 keys: each segment with each one of its bits masked. Segments that differ by one bit at most share a key."""
     keys = []
     for low, high in segments(max_bits):
         part = F.shiftrightunsigned(fp, low).bitwiseAND(F.lit((1 << (high - low)) - 1))
-        keys += [part.bitwiseAND(F.lit(((1 << (high - low)) - 1) & ~(1 << i))).bitwiseOR(F.lit((64 * which + low + i) << 40)) for i in range(high - low)]
+        keys += [part.bitwiseAND(F.lit(((1 << (high - low)) - 1) & ~(1 << i))).bitwiseOR(F.lit((low + i) << 40)) for i in range(high - low)]
     return keys
 
 
@@ -145,16 +139,16 @@ def tiled(rows: DataFrame, key: str, row: str, tile: int) -> DataFrame:
     return rows.withColumn("tile", F.explode(F.when(F.col("_parts").isNull(), F.array(F.lit(0))).otherwise(tiles))).drop("_key", "_parts")
 
 
-def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Tables in which each value of the first two columns (by which the rows are sorted) is whole."""
+def whole_groups(batches: Iterator[pa.RecordBatch], n_keys: int = 2) -> Iterator[pa.Table]:
+    """Tables in which each value of the first n_keys columns (by which the rows are sorted) is whole."""
     kept: list[pa.RecordBatch] = []
     for batch in batches:
         if not batch.num_rows:
             continue
-        new = np.ones(batch.num_rows, bool)
-        new[1:] = np.logical_or(*(batch.column(i).to_numpy(zero_copy_only=False)[1:] != batch.column(i).to_numpy(zero_copy_only=False)[:-1] for i in (0, 1)))
-        if kept:
-            new[0] = any(batch.column(i)[0] != kept[-1].column(i)[-1] for i in (0, 1))
+        new = np.zeros(batch.num_rows, bool)
+        for values in (batch.column(i).to_numpy(zero_copy_only=False) for i in range(n_keys)):
+            new[1:] |= values[1:] != values[:-1]
+        new[0] = not kept or any(batch.column(i)[0] != kept[-1].column(i)[-1] for i in range(n_keys))
         last = int(np.flatnonzero(new)[-1]) if new.any() else -1
         if last < 0:
             kept.append(batch)
@@ -168,31 +162,28 @@ def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(kept)
 
 
-def group_of(rows: pa.Table) -> np.ndarray:
-    """A number for each value of the first two columns of sorted rows."""
-    a, b = (rows.column(i).to_numpy() for i in (0, 1))
-    return np.cumsum(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+def group_of(rows: pa.Table, n_keys: int = 2) -> np.ndarray:
+    """A number for each value of the first n_keys columns of sorted rows."""
+    keys = [rows.column(i).to_numpy() for i in range(n_keys)]
+    return np.cumsum(np.r_[True, np.logical_or.reduce([k[1:] != k[:-1] for k in keys])])
 
 
-def links(rows: DataFrame, fps: list[str], max_bits: int, segment_bits: int = MAX_BITS, tile: int = TILE, keys: list[str] | None = None) -> DataFrame:
-    """(a, b) of ids, enough links to give all components of rows whose fingerprints differ in max_bits bits or fewer together.
+def links(rows: DataFrame, max_bits: int, tile: int = TILE) -> DataFrame:
+    """(a, b) of ids, enough links to give all components of rows (id, fp) whose fingerprints differ in max_bits bits or fewer.
 
-    rows: distinct ids (column id) with the fingerprints `fps`, cheap to compute again. Each fingerprint is cut as for
-    segment_bits; equal variants meet in one group, and groups larger than `tile` meet part by part. With `keys`, columns
-    of rows, equal keys meet instead of variants.
+    rows: distinct ids, cheap to compute again. Equal variants meet in one group, and groups larger than `tile` meet part
+    by part.
     """
-    keys = [F.col(c) for c in keys] if keys else [k for i, c in enumerate(fps) for k in variants(F.col(c), segment_bits, i)]
-    met = tiled(rows.select("id", *fps, F.explode(F.array(*keys)).alias("key")), "key", "id", tile)
+    met = tiled(rows.select("id", "fp", F.explode(F.array(*variants(F.col("fp"), max_bits))).alias("key")), "key", "id", tile)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for found in whole_groups(batches):
-            bits = np.stack([found.column(3 + i).to_numpy().view(np.uint64) for i in range(len(fps))])
-            a, b = group_links(group_of(found), bits, max_bits)
+            a, b = group_links(group_of(found), found.column(3).to_numpy().view(np.uint64)[None], max_bits)
             if len(a):
                 ids = found.column(2).to_numpy()
                 yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])], names=["a", "b"])
 
-    return met.select("key", "tile", "id", *fps).repartition("key", "tile").sortWithinPartitions("key", "tile").mapInArrow(run, "a long, b long").distinct()
+    return met.select("key", "tile", "id", "fp").repartition("key", "tile").sortWithinPartitions("key", "tile").mapInArrow(run, "a long, b long").distinct()
 
 
 def dedup(docs: DataFrame, n_words: int = SHINGLE, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -205,261 +196,12 @@ def dedup(docs: DataFrame, n_words: int = SHINGLE, max_bits: int = MAX_BITS, id_
     """
     rows = cut(fingerprints(docs, n_words, id_col, text_col))
     fps = rows.groupBy("fp").agg(F.min("doc_id").alias("doc"))
-    led = components(links(fps.select(F.col("fp").alias("id"), "fp"), ["fp"], max_bits, max_bits))
+    led = components(links(fps.select(F.col("fp").alias("id"), "fp"), max_bits))
     group = fps.join(led, F.col("fp") == F.col("node"), "left").select("fp", "doc", F.coalesce("component", "fp").alias("root"))
     least = group.groupBy("root").agg(F.min("doc").alias("component_id"))
     named = group.join(least, "root").select("fp", "component_id")
     return rows.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def similar_in_groups(group: np.ndarray, sets: list[np.ndarray], share: float) -> tuple[list[int], list[int]]:
-    """Rows and the row that leads each one's component, in which sets of a group are linked at a Jaccard index of `share` or more."""
-    rows, leads = [], []
-    first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
-    for start, end in zip(first, np.r_[first[1:], len(group)]):
-        size = np.array([len(x) for x in sets[start:end]])
-        _, number = np.unique(np.concatenate(sets[start:end]), return_inverse=True)
-        own = np.split(number, np.cumsum(size)[:-1])
-        rest = np.arange(end - start)
-        has = np.zeros(int(number.max(initial=-1)) + 1, np.int64)
-        while len(rest):
-            root, todo, rest = rest[0], [rest[0]], rest[1:]
-            while todo and len(rest):
-                i = todo.pop()
-                fits = rest[(size[rest] >= share * size[i]) & (size[i] >= share * size[rest]) & (size[rest] > 0)]
-                if not len(fits) or not size[i]:
-                    continue
-                has[own[i]] = 1
-                both = np.add.reduceat(has[np.concatenate([own[j] for j in fits])], np.r_[0, np.cumsum(size[fits])[:-1]])
-                has[own[i]] = 0
-                found = fits[both >= share * (size[i] + size[fits] - both) - 1e-9]
-                rows.extend((start + found).tolist())
-                leads.extend([int(start + root)] * len(found))
-                todo.extend(found.tolist())
-                rest = np.setdiff1d(rest, found, assume_unique=True)
-    return rows, leads
-
-
-def min_hash_keys(shingles: np.ndarray) -> np.ndarray:
-    """BANDS keys, each of the least of the sorted shingles in MINIMA equal parts of the hashes' range (or the next one)."""
-    edges = np.arange(BANDS * MINIMA, dtype=np.uint64) * np.uint64(2**64 // (BANDS * MINIMA))
-    low = shingles[np.searchsorted(shingles, edges) % len(shingles)].reshape(BANDS, MINIMA)
-    return np.array([xxhash.xxh64_intdigest(x.tobytes(), i) for i, x in enumerate(low)], np.uint64).view(np.int64)
-
-
-def prefix(shingles: np.ndarray, share: float, common: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The first of the sorted shingles in the order of all texts (rarer in the sample first, then by hash) and their sample counts.
-
-    So many that two sets with a Jaccard index of `share` or more always have one of them in common.
-    """
-    n = len(shingles)
-    if not n:
-        return shingles, np.zeros(0, np.int64)
-    seen = np.zeros(n, np.int64)
-    if len(common):
-        at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
-        seen = np.where(common[at] == shingles, counts[at], 0)
-    first = np.argsort(seen, kind="stable")[: n - int(np.ceil(share * n - 1e-9)) + 1]
-    return shingles[first], seen[first]
-
-
-def parity(shingles: np.ndarray, log_bits: int) -> np.ndarray:
-    """2^log_bits bits, each the parity of the shingles dealt to it: two sets differ in at least as many shingles as bits."""
-    odd = np.bincount((shingles >> np.uint64(64 - log_bits)).astype(np.int64), minlength=1 << log_bits) & 1
-    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
-
-
-def may_reach(share: float, group: np.ndarray, ids: np.ndarray, led: np.ndarray, size: np.ndarray, pos: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows of a group, of different components `led`, whose sets may have a Jaccard index of `share` or more.
-
-    What is left out cannot reach it, by the sizes, by the places of the group's shingle in the two ordered sets, or by
-    the parities. group: sorted.
-    """
-
-    def fit(i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        both, differ = size[i] + size[j], np.bitwise_count(bits[:, i] ^ bits[:, j]).sum(axis=0, dtype=np.int64)
-        most = 1 + np.minimum(pos[i], pos[j]) + np.minimum(size[i] - pos[i] - 1, size[j] - pos[j] - 1)
-        near = (size[i] >= share * size[j] - 1e-9) & (size[j] >= share * size[i] - 1e-9) & (most >= share / (1 + share) * both - 1e-6)
-        return near & (differ <= (1 - share) / (1 + share) * both + 1e-6) & (led[i] != led[j]) & (ids[i] != ids[j])
-
-    first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
-    count = np.diff(np.r_[first, len(group)])
-    at = np.repeat(count, count)
-    a, b = [], []
-    for d in range(1, min(SMALL, int(count.max(initial=1)))):
-        i = np.flatnonzero((group[:-d] == group[d:]) & (at[:-d] <= SMALL))
-        i = i[fit(i, i + d)]
-        a.append(i)
-        b.append(i + d)
-    for start, n in zip(first[count > SMALL], count[count > SMALL]):
-        rows = np.arange(start, start + n)
-        _, which, members = np.unique(led[rows], return_inverse=True, return_counts=True)
-        largest = which == members.argmax()
-        others, rest = rows[~largest], rows[largest]
-        for k, i in enumerate(others):
-            j = np.r_[rest, others[k + 1 :]]
-            j = j[fit(np.full(len(j), i), j)]
-            a.append(np.full(len(j), i))
-            b.append(j)
-    return (np.concatenate(a), np.concatenate(b)) if a else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-
-
-def near_duplicates(docs: DataFrame, n_words: int = 5, share: float = 0.8, max_bits: int = 24, tile: int = 4096, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of docs for each group of near-duplicates, all columns kept.
-
-    Rows with equal texts form a group, and so do texts whose sets of n_words-word shingles (lower case; fewer words: the
-    whole sequence) have a Jaccard index of `share` or more, directly or through others; the row with the smallest id
-    stays. Large groups are found first: texts that share a min-hash key and differ in at most max_bits of the 128 bits of
-    two fingerprints over their different words are candidates, and components of candidates are compared by the shingles
-    themselves. This only saves work. All other pairs that reach the share are then met through the prefixes of their
-    ordered shingles (see `prefix`), which leave none out, and decided by the shingles.
-    Null texts count as empty; texts without words are only equal to the same text. Of repeated rows one stays. Rows without
-    an id may be dropped for one with an id. Large components meet part by part, so no task holds more than two tiles.
-    """
-    bands = [f"m{i}" for i in range(BANDS)]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            prints = []
-            for key, text in zip(batch.column(0), batch.column(3)):
-                words = set((text.as_py() or "").encode().lower().split())
-                shingles = np.unique(shingle_hashes(text.as_py(), n_words))
-                own = [fingerprint(np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))) for seed in (1, 2)]
-                prints.append([*own, *(min_hash_keys(shingles) if len(shingles) else [key.as_py()] * BANDS)])
-            found = np.array(prints, np.int64).reshape(-1, 2 + BANDS)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), *(pa.array(c) for c in found.T.copy())], names=["id", "k", "doc", "f1", "f2", *bands])
-
-    spark = docs.sparkSession
-    small_batches(spark)
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    named = docs.withColumn("_id", F.xxhash64(text)).withColumn("_k", F.xxhash64(F.lit(1), text))
-    rows = named.select("_id", "_k", F.col(id_col).cast("long").alias("doc"), text.alias("text")).mapInArrow(run, "id long, k long, doc long, f1 long, f2 long, " + ", ".join(f"{m} long" for m in bands))
-    texts = cut(rows.groupBy("id", "k").agg(*(F.min(c).alias(c) for c in ("doc", "f1", "f2", *bands))))
-    near = components(links(texts.select("id", "f1", "f2", *bands), ["f1", "f2"], max_bits, keys=bands)).select(F.col("node").alias("_node"), "component")
-
-    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = pa.array([np.unique(shingle_hashes(t.as_py(), n_words)).view(np.int64) for t in batch.column(2)], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), sets], names=["component", "id", "shingles"])
-
-    members = named.select("_id", text.alias("text")).join(near, F.col("_id") == F.col("_node")).groupBy("component", "_id").agg(F.first("text").alias("text"))
-    sets = cut(members.mapInArrow(shingled, "component long, id long, shingles array<long>"))
-    met = tiled(sets, "component", "id", tile).select("component", "tile", "id", "shingles")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for found in whole_groups(batches):
-            a, b = similar_in_groups(group_of(found), [np.array(x, np.int64) for x in found.column(3).to_pylist()], share)
-            if a:
-                ids = found.column(2).to_numpy()
-                yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])], names=["a", "b"])
-
-    same = components(met.repartition("component", "tile").sortWithinPartitions("component", "tile").mapInArrow(compare, "a long, b long").distinct())
-    same = components(same.select(F.col("node").alias("a"), F.col("component").alias("b")).union(_beyond(named.select("_id", text.alias("text")), same, n_words, share, texts.count())))
-    group = texts.join(same, F.col("id") == F.col("node"), "left").withColumn("group", F.coalesce("component", "id"))
-    stays = group.groupBy("group").agg(F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "id", "k")).alias("s")).select("s.*")
-    kept = named.join(stays.select(F.col("id").alias("_i"), F.col("k").alias("_j"), F.col("doc").alias("_doc")), (F.col("_id") == F.col("_i")) & (F.col("_k") == F.col("_j")) & F.col(id_col).cast("long").eqNullSafe(F.col("_doc")), "left_semi")
-    return kept.dropDuplicates(["_id", "_k"]).select(*docs.columns)
-
-
-def _beyond(texts: DataFrame, same: DataFrame, n_words: int, share: float, n_texts: int, tile: int = TILE) -> DataFrame:
-    """(a, b): every pair of texts (_id, text) that reaches the share and is not of one component of `same` (node, component).
-
-    Which shingles are common is told by a sample of SAMPLE texts; this only orders them and deals common ones to tiles.
-    """
-    spark = texts.sparkSession
-    rate = max(1, n_texts // SAMPLE)
-
-    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                found = np.concatenate([np.unique(shingle_hashes(t.as_py(), n_words)) for t in batch.column(0)])
-                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["s"])
-
-    some = texts.where(F.pmod(F.xxhash64("_id", F.lit(3)), F.lit(rate)) == 0).dropDuplicates(["_id"]).select("text")
-    often = some.mapInArrow(listed, "s long").groupBy("s").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= COMMON).toArrow()
-    names, n = often.column(0).to_numpy().view(np.uint64), often.column(1).to_numpy()
-    order = np.argsort(names)
-    told = spark.sparkContext.broadcast((names[order], n[order]))
-
-    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common, counts = told.value
-        seen: set[int] = set()
-        names = ["key", "tile", "id", "led", "at", "p1", "p2"]
-        for batch in batches:
-            out, n_out = [], 0
-            for key, led, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                if key in seen:
-                    continue
-                seen.add(key)
-                shingles = np.unique(shingle_hashes(t.as_py(), n_words))
-                first, often = prefix(shingles, share, common, counts)
-                if not len(first):
-                    continue
-                parts = np.maximum(-(-often * rate // tile), 1)
-                of = np.repeat(np.arange(len(first)), parts)
-                p = parts[of]
-                i = np.arange(len(of)) - np.repeat(np.cumsum(parts) - parts, parts)
-                mine = (key & (2**62 - 1)) % p
-                tiles = np.minimum(mine, i) * p + np.maximum(mine, i)
-                whole = lambda x: np.full(len(of), x, np.int64)
-                low, high = parity(shingles, NARROW).tolist()
-                out.append([first.view(np.int64)[of], tiles, whole(key), whole(led), whole(len(shingles)) << 32 | of, whole(low), whole(high)])
-                n_out += len(of)
-                if n_out > 100_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=names)
-                    out, n_out = [], 0
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=names)
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for found in whole_groups(batches):
-            ids, led, at = (found.column(i).to_numpy() for i in (2, 3, 4))
-            bits = np.stack([found.column(i).to_numpy() for i in (5, 6)])
-            a, b = may_reach(share, group_of(found), ids, led, at >> 32, at & 0xFFFFFFFF, bits)
-            if len(a):
-                pairs = np.unique(np.sort(np.stack([ids[a], ids[b]]), axis=0), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
-
-    led = texts.join(same, F.col("_id") == F.col("node"), "left").select("_id", F.coalesce("component", "_id").alias("led"), "text")
-    rows = led.mapInArrow(prefixes, "key long, tile long, id long, led long, at long, p1 long, p2 long")
-    close = cut(rows.repartition("key", "tile").sortWithinPartitions("key", "tile").mapInArrow(meet, "a long, b long").distinct())
-
-    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [np.unique(shingle_hashes(t.as_py(), n_words)) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(len, sets), pa.int64()), pa.array([parity(x, WIDE).tobytes() for x in sets], pa.binary())], names=["id", "size", "wide"])
-
-    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.int64).reshape(batch.num_rows, -1) for i in (4, 5))
-                most = (1 - share) / (1 + share) * (batch.column(2).to_numpy() + batch.column(3).to_numpy()) + 1e-6
-                yield batch.select(["a", "b"]).filter(pa.array(np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) <= most))
-
-    def in_pairs(pairs: DataFrame) -> DataFrame:
-        ids = pairs.select(F.col("a").alias("_w")).union(pairs.select("b")).distinct()
-        return texts.join(ids, F.col("_id") == F.col("_w"), "left_semi").select("_id", "text")
-
-    def both(pairs: DataFrame, of: DataFrame, columns: list[str]) -> DataFrame:
-        x, y = (of.select(F.col("id").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in columns)) for side in "ab")
-        return pairs.join(x, "a").join(y, "b").select("a", "b", *(f"{c}_{side}" for c in columns for side in "ab"))
-
-    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = pa.array([np.unique(shingle_hashes(t.as_py(), n_words)).view(np.int64) for t in batch.column(1)], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), sets], names=["id", "shingles"])
-
-    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = ([x.values.to_numpy() for x in batch.column(i)] for i in (2, 3))
-            common = [len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(left, right)]
-            yield batch.select(["a", "b"]).filter(pa.array([o >= share * (len(x) + len(y) - o) - 1e-9 for o, x, y in zip(common, left, right)], pa.bool_()))
-
-    sketches = cut(in_pairs(close).mapInArrow(sketched, "id long, size long, wide binary").dropDuplicates(["id"]))
-    pairs = cut(both(close, sketches, ["size", "wide"]).mapInArrow(differ, "a long, b long"))
-    sets = cut(in_pairs(pairs).groupBy("_id").agg(F.first("text").alias("text")).mapInArrow(shingled, "id long, shingles array<long>"))
-    return cut(both(pairs, sets, ["shingles"]).mapInArrow(decide, "a long, b long"))
-
-
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup(table(spark, sf_dir, "documents"))
