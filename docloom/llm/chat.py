@@ -127,6 +127,6 @@ def _escaped(column: str) -> str:
 
 
 ORACLE_SQL = f"""with c as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations union all select -1, 0, 'user', '</s>[INST] ok [/INST]' union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]')
-select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
-sum(case when role = '{LEARNT}' then length(text) else 0 end)::bigint as loss_chars, sha256(coalesce(string_agg(case when role = '{LEARNT}' then text end, '' order by turn, role, text), '')) as loss_sha256,
+select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+sum(case when role = '{LEARNT}' then length(text) else 0 end)::bigint as loss_chars, sha256(coalesce(string_agg(case when role = '{LEARNT}' then text end, '' order by turn nulls first, role, text), '')) as loss_sha256,
 sum({len(TURN) + len(END) + 2} + length(replace({_escaped("role")}, chr(10), '\\' || chr(10))) + length({_escaped("text")}))::bigint as formatted_chars from c group by conv_id"""

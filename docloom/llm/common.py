@@ -3,31 +3,29 @@
 from __future__ import annotations
 
 import math
-import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..checkpoints import cut, shared_folder
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; where it is unset, as in tests, a new one of our own."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = tempfile.mkdtemp(prefix="checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a table of our own in the shared folder that nothing reads any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df computed once and kept in the shared checkpoint folder, so that a lost executor costs no recomputation."""
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+def stored(df: DataFrame) -> DataFrame:
+    """df written once as Parquet in the shared folder, and read from there."""
+    path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def small_batches(spark: SparkSession, rows: int = 2000) -> None:

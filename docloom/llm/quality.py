@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import math
-from itertools import product
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +13,8 @@ from .common import cut, table
 BLANK = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = "[#*$%&|<>]"
+CLEAN = r"^[\p{L}\p{M}\p{N}'’-]+[.,;:!?]?$"
+ENDED = r"[.!?][\x20\x09-\x0D]*$"
 WINDOW = 5
 #: A row is kept from this posterior probability of good quality on.
 KEEP_FROM = 0.5
@@ -23,20 +25,37 @@ def _per(part: str, whole: str) -> Column:
 
 
 def rules() -> dict[str, Column]:
-    """name: vote, 1 for good, -1 for bad, 0 to abstain, over the columns of `measures`."""
-    vote = lambda bad, good: F.when(bad, -1).when(good, 1).otherwise(0)
+    """name: vote, 1 for good, -1 for bad, 0 to abstain, over the columns of `measures`.
+
+    The rules look at the same faults from several sides (decoration is seen by symbols, letters, clean_words and marks,
+    repetition by lines, repeats, variety and top_word), so that expectation-maximisation can tell from their agreement how
+    far each one is to be trusted. None decides alone.
+    """
+
+    def vote(value: Column, bad: float, good: float) -> Column:
+        """Above `bad` objects, below `good` approves; the other way round if bad < good."""
+        objects, approves = (value > bad, value < good) if bad > good else (value < bad, value > good)
+        return F.when(objects, -1).when(approves, 1).otherwise(0)
+
     size = _per("word_chars", "n_words")
     return {
-        "word_size": vote((size < 2.5) | (size > 12), (size >= 3.5) & (size <= 9)),
-        "symbols": vote(_per("n_symbols", "n_words") > 0.1, _per("n_symbols", "n_words") < 0.03),
-        "lines": vote(_per("n_dup_lines", "n_lines") > 0.5, _per("n_dup_lines", "n_lines") < 0.1),
-        "repeats": F.when(_per("n_repeat_words", "n_words") < 0.05, 1).otherwise(0),
-        "marks": vote(_per("n_marks", "n_words") > 0.3, _per("n_marks", "n_words") < 0.05),
+        "word_size": F.when((size < 3.2) | (size > 9), -1).when(size.between(3.8, 8), 1).otherwise(0),
+        "symbols": vote(_per("n_symbols", "n_words"), 0.1, 0.03),
+        "letters": vote(_per("n_alphanumeric", "word_chars"), 0.72, 0.9),
+        "clean_words": vote(_per("n_clean_words", "n_words"), 0.7, 0.9),
+        "marks": vote(_per("n_marks", "n_words"), 0.15, 0.05),
+        "capitals": vote(_per("n_capitals", "n_letters"), 0.3, 0.12),
+        "lines": vote(_per("n_dup_lines", "n_lines"), 0.3, 0.05),
+        "repeats": vote(_per("n_repeat_words", "n_words"), 0.08, 0.03),
+        "variety": vote(F.col("n_different") / F.sqrt(F.greatest("n_words", F.lit(1))), 2.5, 4.0),
+        "ends": vote(_per("n_ended_lines", "n_lines"), 0.25, 0.75),
+        "length": F.when(F.col("n_words") < 30, -1).when(F.col("n_words") >= 60, 1).otherwise(0),
     }
 
 
 def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_marks of every whole text.
+    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_marks, n_letters, n_capitals,
+    n_alphanumeric, n_clean_words (letters and digits, then at most one mark), n_different (words) and n_ended_lines of every whole text.
 
     n_repeat_words: windows of five words are compared by a 64-bit hash of their words' hashes. Texts in which all windows
     differ, most of them, are told by a distinct count; in the others the hashes are sorted with their places, equal
@@ -51,6 +70,9 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         "doc_id", n.cast("long").alias("n_words"), F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
         F.regexp_count("_text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"), (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         F.size("_lines").cast("long").alias("n_lines"), F.regexp_count("_text", F.lit("[!?]")).cast("long").alias("n_marks"),
+        F.length(F.regexp_replace("_text", r"\P{L}+", "")).alias("n_letters"), F.length(F.regexp_replace("_text", r"[^\p{L}\p{N}]+", "")).alias("n_alphanumeric"), F.length(F.regexp_replace("_text", r"\P{Lu}+", "")).alias("n_capitals"),
+        F.size(F.filter("_words", lambda w: w.rlike(CLEAN))).alias("n_clean_words"), F.size(F.array_distinct("_words")).alias("n_different"),
+        F.size(F.filter("_lines", lambda x: x.rlike(ENDED))).alias("n_ended_lines"),
         F.transform("_words", lambda w: F.xxhash64(w)).alias("_h"),
     )
     window = F.transform(F.sequence(F.lit(1), F.size("_h") - WINDOW + 1), lambda i: F.xxhash64(F.slice("_h", i, WINDOW)))
@@ -66,32 +88,35 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return rows.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long")).drop("_h", "_w", "_s", "_starts")
 
 
-def fit(votes: DataFrame, names: list[str], rounds: int = 50, prior: float = 0.9) -> tuple[float, dict[str, dict[int, float]]]:
+def fit(votes: DataFrame, names: list[str], rounds: int = 200) -> tuple[float, dict[str, dict[int, float]]]:
     """(share of good rows, {rule: {vote: log odds}}) by expectation-maximisation over the counts of vote patterns.
 
-    The counts cover all rows; there are at most 3 ** rules patterns, whatever the number of rows. For good and for bad
-    rows, each rule has its own rate of each vote, so its accuracy as it objects and as it approves may differ: a good row
-    seldom draws an objection, while a bad one is approved by every rule that looks at something else. A rule is
-    never taken to object to more than one good row in a hundred, or to approve bad rows more readily than good ones,
-    which keeps the two classes from changing places. To abstain tells nothing.
+    The counts cover all rows; there are at most 3 ** rules patterns, whatever the number of rows. Every rule has two rates,
+    how often its vote is an objection on good rows and on bad ones; both are estimated from the rows alone, with one
+    row added to either side, and nothing holds them to a range. The start is each row's own balance of votes, so the class
+    with fewer objections is the good one. To abstain tells nothing. Without rows all votes count alike.
     """
-    counts = {tuple(r[:-1]): r[-1] for r in votes.groupBy(*names).agg(F.count(F.lit(1)).alias("_n")).collect()}
-    rate = {1: {n: {1: 0.9, 0: 0.095, -1: 0.005} for n in names}, -1: {n: {1: 0.7, 0: 0.05, -1: 0.25} for n in names}}
-    for _ in range(rounds if counts else 0):
-        share = {}
-        for pattern in counts:
-            odds = math.log(prior / (1 - prior)) + sum(math.log(rate[1][n][v] / rate[-1][n][v]) for n, v in zip(names, pattern) if v)
-            share[pattern] = 1 / (1 + math.exp(-max(-700.0, min(700.0, odds))))
-        total = {1: sum(c * share[p] for p, c in counts.items()), -1: sum(c * (1 - share[p]) for p, c in counts.items())}
-        prior = min(0.99, max(0.5, total[1] / sum(counts.values())))
-        for y, (i, n), v in product((1, -1), enumerate(names), (1, 0, -1)):
-            seen = sum(c * (share[p] if y == 1 else 1 - share[p]) for p, c in counts.items() if p[i] == v)
-            rate[y][n][v] = (seen + 1) / (total[y] + 3)
-        for n in names:
-            good, bad = rate[1][n], rate[-1][n]
-            good[-1] = min(good[-1], 0.01)
-            bad[1] = min(bad[1], good[1])
-    return prior, {n: {v: v and math.log(rate[1][n][v] / rate[-1][n][v]) for v in (1, 0, -1)} for n in names}
+    found = votes.groupBy(*names).agg(F.count(F.lit(1)).alias("_n")).collect()
+    seen = np.array([r[:-1] for r in found], float).reshape(-1, len(names))
+    return estimate(seen, np.array([r[-1] for r in found], float), names, rounds)
+
+
+def estimate(seen: np.ndarray, count: np.ndarray, names: list[str], rounds: int) -> tuple[float, dict[str, dict[int, float]]]:
+    """What `fit` returns, from the patterns of votes and how many rows have each."""
+    against, for_ = (seen < 0).astype(float), (seen > 0).astype(float)
+    good = (1 + for_.sum(axis=1)) / (2 + (seen != 0).sum(axis=1))
+    for _ in range(rounds):
+        mass = np.stack([count * good, count * (1 - good)])
+        objected, approved = mass @ against + 1, mass @ for_ + 1
+        rate = objected / (objected + approved)
+        prior = (mass[0].sum() + 1) / (count.sum() + 2)
+        said = np.log(rate[0] / rate[1]), np.log((1 - rate[0]) / (1 - rate[1]))
+        new = 1 / (1 + np.exp(-np.clip(np.log(prior / (1 - prior)) + against @ said[0] + for_ @ said[1], -700, 700)))
+        done = np.abs(new - good).max(initial=0.0) < 1e-9
+        good = new
+        if done:
+            break
+    return float(prior), {n: {-1: float(said[0][i]), 0: 0.0, 1: float(said[1][i])} for i, n in enumerate(names)}
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_from: float = KEEP_FROM) -> DataFrame:

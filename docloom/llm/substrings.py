@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_folder, table
+from .common import stored, table
 from .simhash import whole_groups
 
 WINDOW = 100
@@ -22,7 +21,9 @@ SPREAD = WINDOW - GRAM + 1
 #: Bytes of text hashed at once.
 CHUNK = 1 << 21
 #: Variants around one anchor that one task indexes; windows of larger groups are met by their digest.
-WIDE = 50_000
+WIDE = 8_000
+#: Regions that a task remembers while it reads on, in a table of so many slots.
+SLOTS = 1 << 20
 
 _BYTE = np.random.default_rng(11).integers(1, 1 << 63, 256, np.uint64)
 
@@ -61,13 +62,31 @@ def anchored(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return h[at[starts[first]]], starts[first], starts[np.r_[first[1:], len(starts)] - 1]
 
 
+class _Seen:
+    """The least place seen of some regions, one to a slot; a region may lose its slot to another one."""
+
+    def __init__(self):
+        self.region, self.doc, self.start = (np.zeros(SLOTS, np.int64) for _ in range(3))
+        self.used = np.zeros(SLOTS, bool)
+
+    def later(self, region: np.ndarray, doc: np.ndarray, start: np.ndarray) -> np.ndarray:
+        """Whether a lesser place of each region has been seen; the other places are remembered."""
+        at = region & (SLOTS - 1)
+        later = self.used[at] & (self.region[at] == region) & ((self.doc[at] < doc) | ((self.doc[at] == doc) & (self.start[at] < start)))
+        own = np.flatnonzero(~later)
+        self.used[at[own]] = True
+        self.region[at[own]], self.doc[at[own]], self.start[at[own]] = region[own], doc[own], start[own]
+        return later
+
+
 def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """part, region, doc, key, start, last, known: a row for each anchor of doc, key, text.
 
-    region: digest of all bytes of the anchor's windows. Rows of one chunk with the same region meet here already: all but
-    the earliest are known to be repeats, and are dealt by another key, so a passage that many texts share is thinned out
-    before it is shuffled.
+    region: digest of all bytes of the anchor's windows. Rows of one task with the same region mostly meet here already: all
+    but the earliest are known to be repeats, and are dealt by another key. So of a passage that many texts share, a task
+    sends few rows to the part of its anchor, whatever the number of copies.
     """
+    seen = _Seen()
     for doc, key, texts in _chunks(batches):
         data = b"".join(t for _, t in texts)
         size = np.array([len(t) for _, t in texts], np.int64)
@@ -79,15 +98,18 @@ def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin = np.array([b for b, _ in texts], np.int64)[text] - (ends - size)[text]
         digest = xxhash.xxh3_64_intdigest
         region = np.fromiter((digest(data[a : b + WINDOW]) for a, b in zip(first.tolist(), last.tolist())), np.uint64, len(first)).view(np.int64)
-        docs, keys = np.array(doc, np.int64)[text], np.array(key, np.int64)[text]
-        order = np.lexsort((first + begin, docs, region))
+        docs, keys, starts = np.array(doc, np.int64)[text], np.array(key, np.int64)[text], first + begin
+        order = np.lexsort((starts, docs, region))
         known = np.zeros(len(first), bool)
-        r, d, s = region[order], docs[order], (first + begin)[order]
+        r, d, s = region[order], docs[order], starts[order]
         again = np.r_[False, r[1:] == r[:-1]]
         head = np.maximum.accumulate(np.where(again, 0, np.arange(len(r))))
-        known[order] = again & ((d != d[head]) | (s != s[head]))
-        part = np.where(known, keys ^ (first + begin), anchor.view(np.int64))
-        columns = [part, region, docs, keys, first + begin, last + begin, known]
+        inside = again & ((d != d[head]) | (s != s[head]))
+        before = np.zeros(len(r), bool)
+        before[~again] = seen.later(r[~again], d[~again], s[~again])
+        known[order] = inside | before[head]
+        part = np.where(known, keys ^ starts, anchor.view(np.int64))
+        columns = [part, region, docs, keys, starts, last + begin, known]
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["part", "region", "doc", "key", "start", "last", "known"])
 
 
@@ -231,13 +253,6 @@ def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["part", "digest", "doc", "key", "start"])
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """df written once as Parquet in the shared folder, and read from there."""
-    path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def repeats(docs: DataFrame) -> DataFrame:
     """(doc, key, start, last): runs of windows of docs (doc, key, text) that start earlier as well.
 

@@ -56,14 +56,15 @@ def learn(texts: list[str | None], labels: np.ndarray, epochs: int = EPOCHS) ->
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE) -> np.ndarray:
     """Weights learnt from about `sample` labelled documents.
 
-    The sample is dealt to learners by a hash of doc_id, so each learns from a bounded number of rows, and their
-    weights are averaged. L1 leaves few that are not zero; only these reach the driver (N_WEIGHTS at most).
+    The sample is dealt to learners by a hash of doc_id, so each learns from a bounded number of texts (of rows that share
+    a doc_id, the least text), and their weights are averaged. L1 leaves few that are not zero; only these reach the driver (N_WEIGHTS at most).
     """
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).cast("double").alias("y"))
     n = known.count()
     share, shards = min(1.0, sample / max(1, n)), max(1, math.ceil(min(n, sample) / PER_LEARNER))
     known = known.where(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1_000_000)) < int(share * 1_000_000))
-    rows = docs.select("doc_id", "text").join(known, "doc_id").withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(shards)))
+    texts = docs.select("doc_id", "text").join(known.select("doc_id"), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    rows = texts.join(known, "doc_id").withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(shards)))
 
     def run(shard: pa.Table) -> pa.Table:
         order = np.argsort([xxhash.xxh64_intdigest(str(i)) for i in shard["doc_id"].to_pylist()], kind="stable")

@@ -2,9 +2,10 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 
-from docloom.llm.decontamination import edits_of, leaks, words_of
+from docloom.llm.decontamination import Items, edits_of, leaks, sampled_walks, without_leaks, words_of
 
 
 def distance(item, words):
@@ -73,3 +74,49 @@ def test_odd_rows(spark, odd_docs, no_docs):
     rows = leaks(odd_docs, items).collect()
     assert [(r.doc_id, r.item_id, r.edits) for r in rows] == [(5, 1, 0)] * 2
     assert leaks(no_docs, items).count() == 0 and leaks(odd_docs, items.limit(0)).count() == 0
+
+
+def test_skip_loses_nothing(planted):
+    docs, items = planted
+    ready = Items([(i, t) for i, t in items])
+    texts = [t for _, t in docs[:60]]
+    own = ready.search(texts)
+    every = ready.search(texts, skip=False)
+    assert {x[:2] for x in own} == {x[:2] for x in every}
+    best = {x[:2]: x[2] for x in every}
+    assert all(d >= best[t, i] for t, i, d, _ in own)
+
+
+@pytest.mark.parametrize("share, least", [(0.05, 0.99), (0.1, 0.97), (0.15, 0.95), (0.2, 0.9)])
+def test_recall_of_walks_alone(share, least):
+    """One window, laid where the edited passage begins, with no help from others."""
+    rnd = random.Random(11)
+    word = lambda: rnd.getrandbits(62) | 1
+    n, found, unrelated, total = 40, 0, 0, 300
+    for _ in range(total):
+        item = [word() for _ in range(n)]
+        other = list(item)
+        for _ in range(int(share * n)):
+            at = rnd.randrange(1, len(other))
+            kind = rnd.choice("rid")
+            other[at : at + (kind != "i")] = [] if kind == "d" else [word()]
+        other = (other + [word() for _ in range(n)])[:n]
+        rows = np.array([item, other, [word() for _ in range(n)]], np.uint64)
+        keys = sampled_walks(rows)
+        found += (keys[0] == keys[1]).any()
+        unrelated += (keys[0] == keys[2]).any()
+    assert found >= least * total and unrelated == 0
+
+
+def test_other_scripts(spark):
+    docs = spark.createDataFrame([(1, "前面的话。今天天气很好我们去公园散步吧，后面的话"), (2, "别的内容完全不同的一句话"), (3, "so — “the quick brown fox…jumps” over")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, "今天天气很好，我们去公园散步吧"), (8, "the quick brown fox jumps over")], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in leaks(docs, items).collect()} == {(1, 7), (3, 8)}
+
+
+def test_decided_by_the_text(spark):
+    leaked = "one two three four five six seven"
+    docs = spark.createDataFrame([(None, f"x {leaked} y", 1), (5, f"z {leaked}", 2), (5, "clean text of the same id", 3), (None, None, 4), (6, "", 5)], "doc_id long, text string, row int")
+    items = spark.createDataFrame([(1, leaked)], "item_id long, text string")
+    kept = without_leaks(docs, items)
+    assert kept.columns == docs.columns and sorted(r.row for r in kept.collect()) == [3, 4, 5]

@@ -1,9 +1,14 @@
 from __future__ import annotations
 
+import math
 import zlib
 
+import numpy as np
+import pytest
+import xxhash
 from pyspark.sql import functions as F
 
+from docloom.llm import toxicity as T
 from docloom.llm.toxicity import filtered, fit, held_out, rate
 
 
@@ -30,3 +35,45 @@ def test_filter_keeps_columns_and_civil_rows(spark):
     labels = docs.select("doc_id", F.lit(1).alias("quality"), (F.col("doc_id") % 3 == 0).cast("int").alias("toxic"))
     kept = filtered(docs, fit(docs, labels.where(~held_out())))
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i in range(240) if i % 3}
+
+
+def plain_slots(text):
+    words = "".join(c if ord(c) > 127 or c.isalnum() else " " for c in (text or "").lower()).encode().split()
+    hashes = [xxhash.xxh64_intdigest(w) for w in words]
+    found = set(hashes) | {xxhash.xxh64_intdigest(w[:k], k) for w in words for k in T.PREFIXES}
+    for skip, mix in ((1, 0x9E3779B97F4A7C15), (2, 0xC2B2AE3D27D4EB4F)):
+        found |= {((a * mix + b) * 0xFF51AFD7ED558CCD) % 2**64 for a, b in zip(hashes, hashes[skip:])}
+    return {h >> 44 for h in found} | {T.N_WEIGHTS}
+
+
+def plain_ftrl(rows, epochs):
+    """FTRL-proximal coordinate by coordinate, in dictionaries."""
+    z, n = {}, {}
+
+    def weight(i):
+        zi = z.get(i, 0.0)
+        return 0.0 if abs(zi) <= T.L1 else -(zi - math.copysign(T.L1, zi)) / ((T.BETA + math.sqrt(n.get(i, 0.0))) / T.ALPHA + T.L2)
+
+    for _ in range(epochs):
+        for text, y in rows:
+            own = plain_slots(text)
+            w = {i: weight(i) for i in own}
+            g = 1 / (1 + math.exp(-max(-35, min(35, sum(w.values()))))) - y
+            for i in own:
+                z[i] = z.get(i, 0.0) + g - (math.sqrt(n.get(i, 0.0) + g * g) - math.sqrt(n.get(i, 0.0))) / T.ALPHA * w[i]
+                n[i] = n.get(i, 0.0) + g * g
+    return {i: weight(i) for i in z if weight(i)}
+
+
+def test_against_plain_ftrl(spark, sf_dir, documents):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    y = {r.doc_id: float(r.toxic) for r in labels.where(~held_out()).collect()}
+    texts = {r.doc_id: r.text for r in documents.collect()}
+    ids = sorted((i for i in y if i in texts), key=lambda i: xxhash.xxh64_intdigest(str(i)))
+    want = plain_ftrl([(texts[i], y[i]) for i in ids], T.EPOCHS)
+    got = fit(documents.union(documents), labels.where(~held_out()))  # rows given twice teach once
+    assert want and set(np.flatnonzero(got).tolist()) == set(want)
+    assert all(got[i] == pytest.approx(w) for i, w in want.items())
+    for r in T.scored(documents, got).collect():
+        total = sum(want.get(i, 0.0) for i in plain_slots(texts[r.doc_id]))
+        assert r.score == pytest.approx(1 / (1 + math.exp(-total)))
