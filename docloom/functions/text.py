@@ -5,6 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Fixed: the range of Han characters; blanks other than the plain one; replacement and box characters.
+HAN, UNUSUAL_BLANKS, GARBLE = "一-鿿", "\\u00a0\\u2002\\u2003\\u2007\\u2009\\u200a\\u202f\\u205f", "[�▇□■◇◆●○◎※→←↑↓＊①-⑩]"
+#: Fixed: left-overs of web pages.
+NOISE = [
+    r"版权所有\s*[©]?.*?(?:京ICP备\d+号|保留所有权利|技术支持).{0,60}", r"网站标识码[:：]?\d{10,}", r"主办单位[:：].{0,80}", r"地址[:：].{0,60}", r"邮编[:：]\d{6}", r"联系电话[:：][0-9\-（）()]{5,20}", r"无障碍浏览.{0,40}",
+    r"分享到[:：]?[微信微博QQ空间]*", r"扫一扫.{0,40}", r"打印本页|关闭窗口|返回顶部", r"document\.write\(.*?\)", r"var\s+\w+\s*=.*?;", r"function\s+\w+\s*\(.*?\)\s*\{.*?\}",
+]
+#: Fixed: words in the heads of tables; conjunctions that long sentences are cut before; shapes and formats of dates.
+TABLE_WORDS = ["序号", "项目", "金额", "单位", "名称", "数量", "备注", "指标", "合计", "总计", "科目", "收入", "支出", "同比", "环比"]
+CONJUNCTIONS = ["因为", "所以", "但是", "然而", "于是", "此外", "同时", "因此", "鉴于"]
+DATE_FORMATS = [
+    (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$", "yyyy-M-d H:m:s"), (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"), (r"^\d{4}/\d{1,2}/\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$", "yyyy/M/d H:m:s"), (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
+    (r"^\d{4}年\d{1,2}月\d{1,2}日 \d{1,2}:\d{1,2}:\d{1,2}$", "yyyy年M月d日 H:m:s"), (r"^\d{4}年\d{1,2}月\d{1,2}日$", "yyyy年M月d日"), (r"^\d{8}$", "yyyyMMdd"), (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}$", "yyyy-M-d H:m"), (r"^\d{4}/\d{1,2}/\d{1,2} \d{1,2}:\d{1,2}$", "yyyy/M/d H:m"),
+]
+
 
 def filled(text: Column) -> Column:
     """Missing values (null, '', N/A, NA, NULL, NONE in any case) as the empty string, others trimmed."""
@@ -12,14 +27,80 @@ def filled(text: Column) -> Column:
     return F.when(F.upper(t).isin("", "N/A", "NA", "NULL", "NONE"), "").otherwise(t)
 
 
-def plain_space(text: Column) -> Column:
-    """Control and zero-width characters removed, line ends unified, blanks collapsed, three or more line ends cut to two."""
-    t = F.regexp_replace(text, r"\r\n?", "\n")
-    t = F.regexp_replace(t, r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]", "")
-    t = F.regexp_replace(t, "[​-‏⁠﻿]", "")
-    t = F.regexp_replace(t, "[  -  　\t]", " ")
-    t = F.regexp_replace(t, " {2,}", " ")
-    return F.trim(F.regexp_replace(t, "\n{3,}", "\n\n"))
+def plain_space(text: Column, keep_lines: bool = True) -> Column:
+    """Control and zero-width characters removed, line ends unified, unusual blanks deleted between Han characters and made
+    plain elsewhere, blanks collapsed. With keep_lines three or more line ends are cut to two, without they become blanks."""
+    t = F.regexp_replace(text, r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]", "")
+    t = F.regexp_replace(t, "[\\u200b-\\u200d\\u2060\\ufeff]", "")
+    t = F.regexp_replace(t, r"\r\n?", "\n")
+    t = F.regexp_replace(t, f"(?<=[{HAN}])[{UNUSUAL_BLANKS}]+(?=[{HAN}])", "")
+    t = F.regexp_replace(t, f"[{UNUSUAL_BLANKS}]", " ")
+    if keep_lines:
+        t = F.regexp_replace(F.regexp_replace(t, "[ \t\\u3000]+", " "), "\n{3,}", "\n\n")
+    else:
+        t = F.regexp_replace(F.replace(t, F.lit("\n"), F.lit(" ")), "[ \t\\u3000]+", " ")
+    return F.regexp_replace(t, r"(?U)^\s+|\s+$", "")
+
+
+def denoised(text: Column, keep_lines: bool = False) -> Column:
+    """Text without footers, navigation and script left-overs of web pages (NOISE)."""
+    t = F.coalesce(text, F.lit(""))
+    for pattern in NOISE:
+        t = F.regexp_replace(t, f"(?isU){pattern}", " ")
+    return plain_space(t, keep_lines)
+
+
+def clean_body(text: Column, keep_lines: bool = False) -> Column:
+    """A body denoised, with plain white space and without replacement and box characters."""
+    t = F.regexp_replace(denoised(text, keep_lines), GARBLE, "")
+    return F.regexp_replace(F.regexp_replace(t, "\n{3,}", "\n\n") if keep_lines else t, r"(?U)^\s+|\s+$", "")
+
+
+def single_lead(text: Column) -> Column:
+    """Text whose first paragraph up to a colon stands twice in a row, with one of the two."""
+    return F.when(text.rlike(r"(?s)^(.{10,300}?[：:])\1"), F.regexp_replace(F.regexp_replace(text, r"(?s)^(.{10,300}?[：:])\1", "$1"), r"(?U)^\s+", "")).otherwise(text)
+
+
+def is_table(text: Column) -> Column:
+    """Whether a block of text is a table: header words in its first five lines, many bars, or lines with digits of like length."""
+    rows = F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: F.regexp_replace(x, r"(?U)^\s+|\s+$", "")), lambda x: x != "")
+    n, sizes = F.size(rows), F.transform(rows, lambda x: F.length(x))
+    total = F.aggregate(sizes, F.lit(0), lambda a, x: a + x)
+    headed = F.exists(F.slice(rows, 1, 5), lambda x: x.rlike("|".join(TABLE_WORDS)))
+    barred = (F.regexp_count(text, F.lit(r"\|")) >= 2 * n) & (n >= 2)
+    even = (F.size(F.filter(rows, lambda x: x.rlike(r"\d"))) >= 0.6 * n) & (n >= 3) & ((F.array_max(sizes) - F.array_min(sizes)) / F.greatest(total / n, F.lit(1.0)) < 0.35)
+    return F.when(n > 0, headed | barred | even).otherwise(F.lit(False))
+
+
+def broken_up(text: Column) -> Column:
+    """A line end after each sentence end and a blank after commas, semicolons and colons."""
+    return F.regexp_replace(F.regexp_replace(text, "([。！？])", "$1\n"), "([，；、,:])", "$1 ")
+
+
+def spaced(text: Column) -> Column:
+    """A blank between Han characters and Latin letters or digits."""
+    return F.regexp_replace(F.regexp_replace(text, f"([{HAN}])([A-Za-z0-9])", "$1 $2"), f"([A-Za-z0-9])([{HAN}])", "$1 $2")
+
+
+def cut_long(text: Column) -> Column:
+    """Pieces of a text over 50 characters without any sentence end, cut on both sides of conjunctions after a comma or
+    semicolon (the whole text if there are none); empty for other texts."""
+    t = F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)^\s+|\s+$", "")
+    marked = F.split(F.regexp_replace(t, f"(?<=[，,;；])({'|'.join(CONJUNCTIONS)})", "\x01$1\x01"), "\x01")
+    parts = F.filter(F.transform(marked, lambda x: F.regexp_replace(x, r"(?U)^\s+|\s+$", "")), lambda x: x != "")
+    return F.when((t != "") & ~t.rlike("[。！？]") & (F.length(t) > 50), parts).otherwise(F.array().cast("array<string>"))
+
+
+def repaired(text: Column) -> Column:
+    """Text with sentences on lines of their own, spaced; tables are left as they are."""
+    t = plain_space(F.coalesce(text, F.lit("")), keep_lines=False)
+    t = F.when(F.contains(t, F.lit("<")) & F.contains(t, F.lit(">")), unmarked(t)).otherwise(t)
+    return F.when(is_table(text), text).otherwise(plain_space(spaced(broken_up(t))))
+
+
+def unbroken(text: Column) -> Column:
+    """Runs of over 30 letters, digits and Han characters without any mark or blank."""
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"[{HAN}A-Za-z0-9]{{31,}}"), 0)
 
 
 def unmarked(html: Column) -> Column:
@@ -43,30 +124,15 @@ def sentences(text: Column) -> Column:
     return F.filter(F.transform(F.split(F.regexp_replace(text, r"([.!?。！？])[ \t\r\n\f]*", "$1\n"), "\n"), lambda x: F.trim(x)), lambda x: x != "")
 
 
-def docno(text: Column) -> Column:
-    """A document number as a key: brackets and white space removed, the final ordinal mark dropped, null words emptied."""
-    t = F.regexp_replace(F.trim(F.coalesce(text, F.lit(""))), "[\\s〔〕\\[\\]（）()]", "")
-    t = F.regexp_replace(t, "号$", "")
-    return F.when(F.lower(t).isin("", "n/a", "na", "无", "-", "none", "null", "未注明", "不详"), "").otherwise(t)
-
-
-def signature(text: Column) -> Column:
-    """Year and number at the end of a document number, joined; null if there are none."""
-    year, number = (F.regexp_extract(docno(text), r"(\d{4})\D*?(\d{1,4})$", i) for i in (1, 2))
-    return F.when(year != "", F.concat(year, F.lit("-"), number))
-
-
-def title(text: Column) -> Column:
-    """A title as a loose key: a final (…) version mark, blanks and punctuation removed, lower case."""
-    t = F.regexp_replace(F.coalesce(text, F.lit("")), "[（(](已废止|已失效|试行|修订)[)）]$", "")
-    return F.lower(F.regexp_replace(t, r"[\s\p{Punct}《》“”、，。]", ""))
-
-
-def first_date(text: Column) -> Column:
-    """A date in one of several forms as yyyy-MM-dd; other texts as they are."""
-    ymd = [F.regexp_extract(text, r"^\s*(\d{4})\s*[-/.年]\s*(\d{1,2})\s*[-/.月]\s*(\d{1,2})", i) for i in (1, 2, 3)]
-    found = F.concat_ws("-", ymd[0], F.lpad(ymd[1], 2, "0"), F.lpad(ymd[2], 2, "0"))
-    return F.when(ymd[0] != "", found).otherwise(text)
+def date_normal(text: Column) -> Column:
+    """A date in one of DATE_FORMATS as yyyy-MM-dd, with HH:mm:ss unless that is midnight; else the first date that stands in
+    the text; else, and for dates that do not exist, the text as it is. Null counts as empty."""
+    t = F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)^\s+|\s+$", "")
+    at = F.coalesce(*(F.when(t.rlike(shape), F.try_to_timestamp(t, F.lit(form))) for shape, form in DATE_FORMATS))
+    found = [F.regexp_extract(t, r"(\d{4})[-/年.](\d{1,2})[-/月.](\d{1,2})", i) for i in (1, 2, 3)]
+    day = F.try_to_timestamp(F.concat_ws("-", *found), F.lit("yyyy-M-d"))
+    midnight = F.date_format(at, "HH:mm:ss") == "00:00:00"
+    return F.when(at.isNotNull() & midnight, F.date_format(at, "yyyy-MM-dd")).when(at.isNotNull(), F.date_format(at, "yyyy-MM-dd HH:mm:ss")).otherwise(F.coalesce(F.date_format(F.when(found[0] != "", day), "yyyy-MM-dd"), t))
 
 
 def quoted(text: Column, least: int = 2, most: int = 80) -> Column:

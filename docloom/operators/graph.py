@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..checkpoints import cut
+
 
 def unique_edges(edges: DataFrame, keys: list[str], order: str, values: list[str]) -> DataFrame:
     """The first edge of each key."""
@@ -26,8 +28,8 @@ def ego(edges: DataFrame, src: str, dst: str, centre: int) -> DataFrame:
 def reach(edges: DataFrame, src: str, dst: str, start: list, depth: int = 6) -> DataFrame:
     """(node, level): nodes reached from `start` in at most `depth` steps, by the fewest steps; safe on cycles.
 
-    Each step joins the frontier alone with the edges, drops what was seen by an anti-join, and is checkpointed if the
-    session has a folder for it.
+    Each step joins the frontier alone with the edges, drops what was seen by an anti-join, and is checkpointed, so the plan
+    does not grow with the depth.
     """
     spark = edges.sparkSession
     kind = dict(edges.dtypes)[src]
@@ -37,8 +39,7 @@ def reach(edges: DataFrame, src: str, dst: str, start: list, depth: int = 6) ->
     for level in range(1, depth + 1):
         step = front.join(e, F.col("node") == F.col("_s")).select(F.col("_d").alias("node")).distinct()
         front = step.join(seen.select(F.col("node").alias("_n")), F.col("node") == F.col("_n"), "left_anti").withColumn("level", F.lit(level))
-        if spark.conf.get("spark.checkpoint.dir", None):
-            front = front.checkpoint()
+        front = cut(front)
         seen = seen.union(front)
     return seen
 
@@ -59,6 +60,59 @@ def pair_strength(edges: DataFrame, a: str, b: str) -> DataFrame:
 def majority(votes: DataFrame, item: str, choice: str) -> DataFrame:
     """(item, choice, confidence, votes): the only most frequent choice, else uncertain with confidence 0."""
     n = votes.groupBy(item, choice).agg(F.count(F.lit(1)).alias("n"))
-    best = n.groupBy(item).agg(F.max("n").alias("most"), F.sum("n").alias("votes"), F.max_by(choice, "n").alias("_c"), F.array_sort(F.collect_list("n")).alias("_all"))
-    tie = F.size(F.filter("_all", lambda x: x == F.col("most"))) > 1
+    best = n.groupBy(item).agg(F.max("n").alias("most"), F.sum("n").alias("votes"), F.max_by(choice, F.struct("n", choice)).alias("_c"), F.min_by(choice, F.struct(-F.col("n"), choice)).alias("_d"))
+    tie = F.col("_c") != F.col("_d")  # the last and the first choice with the largest count
     return best.select(item, F.when(tie, "uncertain").otherwise(F.col("_c").cast("string")).alias("choice"), F.when(tie, 0.0).otherwise(F.round(F.col("most") / F.col("votes"), 3)).alias("confidence"), "votes")
+
+
+def samples(df: DataFrame, by: list[str], order: list[Column | str], value: str, k: int) -> DataFrame:
+    """(by, n, samples): how many rows each group has, and the values of its first k as an array; only k rows of a group are
+    gathered, and Spark drops the others before the shuffle."""
+    n = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    first = df.withColumn("_k", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("_k") <= k)
+    shown = first.groupBy(*(F.col(c).alias(f"_{c}") for c in by)).agg(F.array_sort(F.collect_list(F.struct("_k", F.col(value).alias("v")))).alias("_s"))
+    on = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
+    return n.join(shown, on).select(*by, "n", F.transform("_s", lambda x: x["v"]).alias("samples"))
+
+
+def ego_page(edges: DataFrame, src: str, dst: str, centre: int, weak: Column, limit: int) -> DataFrame:
+    """(neighbour, n_out, n_in, weak, truncated): a node's neighbours, most edges first, `limit` at most; each once, with its
+    edges by direction and how many are weak."""
+    mine = edges.where((F.col(src) == centre) | (F.col(dst) == centre)).withColumn("_out", (F.col(src) == centre).cast("long"))
+    other = F.when(F.col("_out") == 1, F.col(dst)).otherwise(F.col(src))
+    nodes = mine.groupBy(other.alias("neighbour")).agg(F.sum("_out").alias("n_out"), F.sum(1 - F.col("_out")).alias("n_in"), F.sum(weak.cast("long")).alias("weak"))
+    total = nodes.agg((F.count(F.lit(1)) > limit).alias("truncated"))
+    return nodes.orderBy(F.desc(F.col("n_out") + F.col("n_in")), "neighbour").limit(limit).join(F.broadcast(total))
+
+
+def overview(edges: DataFrame, src: str, dst: str, group: str, k: int) -> DataFrame:
+    """(kind, src, dst, n): a graph to look at: edges of the k largest hubs by target (star), and all edges by group of the
+    source and target (bipartite)."""
+    top = edges.groupBy(F.col(src).alias("_h")).agg(F.count(F.lit(1)).alias("_n")).orderBy(F.desc("_n"), "_h").limit(k)
+    star = edges.join(F.broadcast(top.select("_h")), F.col(src) == F.col("_h"), "left_semi").groupBy(F.col(src).cast("string").alias("src"), F.col(dst).cast("string").alias("dst")).agg(F.count(F.lit(1)).alias("n"))
+    both = edges.groupBy(F.col(group).cast("string").alias("src"), F.col(src).cast("string").alias("dst")).agg(F.count(F.lit(1)).alias("n"))
+    return star.select(F.lit("star").alias("kind"), "src", "dst", "n").union(both.select(F.lit("group"), "src", "dst", "n"))
+
+
+def through(produced: DataFrame, used: DataFrame, node: str, artifact: str) -> DataFrame:
+    """(node, neighbour, artifacts): nodes that use what a node produces, and over how many artifacts."""
+    a = produced.select(F.col(node).alias("node"), F.col(artifact).alias("_a")).distinct()
+    b = used.select(F.col(node).alias("neighbour"), F.col(artifact).alias("_b")).distinct()
+    return a.join(b, F.col("_a") == F.col("_b")).where("node <> neighbour").groupBy("node", "neighbour").agg(F.count(F.lit(1)).alias("artifacts"))
+
+
+def levels(edges: DataFrame, src: str, dst: str, most: int = 64) -> DataFrame:
+    """(node, level): for each node of an acyclic graph the length of the longest path that ends in it.
+
+    Each round lifts the nodes after those lifted last; it ends when none is lifted, after as many rounds as the longest
+    path has steps. Raises ValueError after `most` rounds, as a cycle would never end.
+    """
+    e = edges.select(F.col(src).alias("_s"), F.col(dst).alias("_d")).distinct()
+    now = cut(e.select(F.col("_s").alias("node")).union(e.select("_d")).distinct().withColumn("level", F.lit(0)))
+    front = now
+    for level in range(1, most + 1):
+        front = cut(front.select("node").join(e, F.col("node") == F.col("_s")).select(F.col("_d").alias("node")).distinct().withColumn("lifted", F.lit(level)))
+        if not front.limit(1).count():
+            return now
+        now = cut(now.join(front.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left").select("node", F.coalesce("lifted", "level").alias("level")))
+    raise ValueError(f"a path has over {most} steps, or there is a cycle")

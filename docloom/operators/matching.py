@@ -44,30 +44,84 @@ def tiers(refs: DataFrame, ref: str, index: DataFrame, value: str, keys: list[tu
     return out.drop(*(f"_{x}{i}" for i in range(len(keys)) for x in "rkt"))
 
 
-def contained(texts: DataFrame, text_id: str, text: str, names: DataFrame, name_id: str, name: str, block: int = 500) -> DataFrame:
+def contained(texts: DataFrame, text_id: str, text: str, names: DataFrame, name_id: str, name: str) -> DataFrame:
     """(text_id, name_id): names that stand in a text, case aside; empty names stand nowhere.
 
-    A name that stands in a text brings its inner words (neither the first nor the last) as whole words of the text. So
-    texts give their different words once each, an equi-join on each name's longest inner word finds candidates, and only
-    those are compared, instead of every name with every text. Names of one or two words have no inner word: they are the
-    query set that meets all texts, in blocks of `block`.
+    A name that stands in a text brings its inner words (neither the first nor the last) as whole words of the text, and the
+    three-letter pieces of its other words stand in the text's words. So texts give their different words and, where names of
+    one or two words ask for them, the pieces of these words once each; an equi-join on each name's longest inner word, or on
+    a piece of its longest word, finds candidates, and only those are compared, instead of every name with every text. Names
+    whose words all have under three characters are met with the different words of all texts by their first character.
     """
     lower = lambda c: F.lower(F.coalesce(F.col(c), F.lit("")))
-    named = names.select(F.col(name_id).alias("_n"), lower(name).alias("_name")).where("_name <> ''").withColumn("_words", F.split("_name", r"\s+"))
+    blank = r"\s+"
+    named = names.select(F.col(name_id).alias("_n"), lower(name).alias("_name")).where("_name <> ''").withColumn("_words", F.split("_name", blank))
     inner = F.array_sort(F.transform(F.slice("_words", 2, F.greatest(F.size("_words") - 2, F.lit(0))), lambda w: F.struct((-F.length(w)).alias("l"), w.alias("w"))))
-    key = named.select("_n", "_name", F.get(inner, 0)["w"].alias("_word"))
+    longest = F.array_sort(F.transform("_words", lambda w: F.struct((-F.length(w)).alias("l"), w.alias("w"))))
+    key = named.select("_n", "_name", F.get(inner, 0)["w"].alias("_word"), F.get(longest, 0)["w"].alias("_long"))
     body = texts.select(F.col(text_id).alias("_t"), lower(text).alias("_text"))
-    words = body.select("_t", F.explode(F.array_distinct(F.split("_text", r"\s+"))).alias("_word"))
-    pairs = words.join(key.where("_word is not null"), "_word").select("_t", "_n", "_name")
-    found = pairs.join(body.withColumnRenamed("_t", "_u"), F.col("_t") == F.col("_u")).where(F.contains("_text", "_name")).select("_t", "_n")
-    short = key.where("_word is null").select("_n", "_name").collect()
-    for start in range(0, len(short), block):
-        asked = F.array(*(F.struct(F.lit(r[0]).alias("n"), F.lit(r[1]).alias("name")) for r in short[start : start + block]))
-        hits = F.filter(asked, lambda x: F.contains(F.col("_text"), x["name"]))
-        found = found.union(body.select("_t", F.explode(hits).alias("_x")).select("_t", F.col("_x.n").alias("_n")))
+    words = body.select("_t", F.explode(F.array_distinct(F.split("_text", blank))).alias("_word"))
+    whole = words.join(key.where("_word is not null"), "_word").select("_t", "_n", "_name")
+    short = key.where("_word is null").withColumn("_size", F.least(F.length("_long"), F.lit(3)))
+    pieces = lambda n: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("_word") - n + 1), lambda i: F.substr(F.col("_word"), i, F.lit(n))))
+    pairs = whole
+    for n in (1, 2, 3):
+        asked = short.where(F.col("_size") == n).select("_n", "_name", F.left("_long", F.lit(n)).alias("_piece"))
+        each = words.where(F.length("_word") >= n).select("_t", F.explode(pieces(n)).alias("_piece")).join(asked.select("_piece").distinct(), "_piece", "left_semi").distinct()
+        pairs = pairs.union(each.join(asked, "_piece").select("_t", "_n", "_name"))
+    found = pairs.join(body.withColumnRenamed("_t", "_u"), F.col("_t") == F.col("_u")).where(F.contains("_text", "_name"))
     return found.select(F.col("_t").alias(text_id), F.col("_n").alias(name_id)).distinct()
 
 
+def by_first_key(rows: DataFrame, keys: list[tuple[str, Column]], ledger: DataFrame, ledger_keys: list[Column], value: str, order: str) -> DataFrame:
+    """rows with (value, method): the ledger's value for the first key that both sides have; of a key's rows the last counts.
+
+    keys: (method, key of rows); an empty or null key matches nothing.
+    """
+    for i, ((_, mine), theirs) in enumerate(zip(keys, ledger_keys)):
+        once = ledger.where(theirs.isNotNull() & (theirs != "")).groupBy(theirs.alias(f"_k{i}")).agg(F.max_by(value, order).alias(f"_v{i}"), F.lit(True).alias(f"_h{i}"))
+        rows = rows.withColumn(f"_m{i}", mine).join(once, F.col(f"_m{i}") == F.col(f"_k{i}"), "left")
+    method = F.coalesce(*(F.when(F.col(f"_h{i}"), F.lit(name)) for i, (name, _) in enumerate(keys)), F.lit("none"))
+    out = rows.withColumn("method", method).withColumn(value, F.coalesce(*(F.when(F.col(f"_h{i}"), F.col(f"_v{i}")) for i in range(len(keys)))))
+    return out.drop(*(f"_{x}{i}" for i in range(len(keys)) for x in "mkvh"))
+
+
+def by_keywords(texts: DataFrame, text_id: str, text: str, items: DataFrame, item: str, keywords: str, explicit: str | None = None, confirm: float = 0.75) -> DataFrame:
+    """(text_id, item, method, confidence, status): items that a text names or whose keywords it holds.
+
+    Keywords (an array of single lower-case words) meet the text's words in an equi-join; confidence is
+    min(0.9, 0.5 + 0.4 * share of the item's keywords). An item whose `explicit` word stands in the text has confidence 1,
+    and counts by that alone. Below `confirm` a person has to look (review).
+    """
+    words = texts.select(F.col(text_id).alias("_t"), F.explode(F.array_distinct(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}\p{N}]+"))).alias("_w"))
+    wanted = items.select(F.col(item).alias("_i"), F.size(F.array_distinct(keywords)).alias("_size"), F.explode(F.array_distinct(keywords)).alias("_w"))
+    hits = words.join(wanted, "_w").groupBy("_t", "_i", "_size").agg(F.count(F.lit(1)).alias("_n"))
+    by_words = hits.select("_t", "_i", F.lit("keyword").alias("method"), F.least(F.lit(0.9), 0.5 + 0.4 * F.col("_n") / F.col("_size")).alias("confidence"))
+    if explicit:
+        told = words.join(items.select(F.col(item).alias("_i"), F.lower(F.col(explicit)).alias("_w")), "_w").select("_t", "_i", F.lit("explicit").alias("method"), F.lit(1.0).alias("confidence"))
+        by_words = told.union(by_words)
+    best = by_words.groupBy("_t", "_i").agg(F.max("confidence").alias("confidence"), F.max_by("method", "confidence").alias("method"))
+    return best.select(F.col("_t").alias(text_id), F.col("_i").alias(item), "method", F.round("confidence", 4).alias("confidence"), F.when(F.col("confidence") >= confirm, "confirmed").otherwise("review").alias("status"))
+
+
+def inherited(rows: DataFrame, row: str, text: str, value: str, least: int = 30, snippet: int = 60) -> DataFrame:
+    """(row, value) of rows without a value whose first words stand in exactly one other row that has one.
+
+    A row's snippet is its first `snippet` characters up to a word end, of `least` characters at least.
+    """
+    told = F.regexp_replace(F.left(F.regexp_replace(F.trim(F.coalesce(F.col(text), F.lit(""))), r"\s+", " "), F.lit(snippet)), r" \S*$", "")
+    asking = rows.where(F.coalesce(F.col(value), F.lit("")) == "").select(F.col(row).alias("_q"), told.alias("_s")).where(F.length("_s") >= least)
+    known = rows.where(F.coalesce(F.col(value), F.lit("")) != "").select(F.col(row).alias("_r"), F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"\s+", " ").alias("_x"), F.col(value).alias("_v"))
+    met = contained(known, "_r", "_x", asking, "_q", "_s").join(known.select(F.col("_r").alias("_o"), "_v"), F.col("_r") == F.col("_o"))
+    return met.groupBy(F.col("_q").alias(row)).agg(F.min("_v").alias(value), F.max("_v").alias("_other")).where(F.col(value) == F.col("_other")).drop("_other")
+
+
+def storage_plan(files: DataFrame, digest: str, path: str) -> DataFrame:
+    """(path, keep): of files with the same content the one with the least path is kept, and the others point to it."""
+    first = files.groupBy(F.col(digest).alias("_d")).agg(F.min(path).alias("keep"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    return files.join(first, F.col(digest) == F.col("_d")).where(F.col(path) != F.col("keep")).select(path, "keep")
+
+
 def drift(old: DataFrame, new: DataFrame, key: str, full: str, core: Column) -> DataFrame:
     """(key, drift): ok (same full title), C1 (same core title only), C2 (another core title), absent."""
     a = old.select(F.col(key).alias("_k"), F.col(full).alias("_full"), core.alias("_core"))

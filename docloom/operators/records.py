@@ -86,6 +86,12 @@ def survivorship(df: DataFrame, keys: list[str], order: list[str], status: str,
     return folded.select(*keys, F.col("_f.s").alias("status"), F.col("_f.r").alias("rank"), "_f.confirmed", "_f.applied", "_f.skipped", "_f.conflicts")
 
 
+def version_chain(df: DataFrame, keys: list[str], order: list[str], row: str) -> DataFrame:
+    """df with version (from 1) and replaces (the row before) of each key's rows in order."""
+    at = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("version", F.row_number().over(at).cast("long")).withColumn("replaces", F.lag(row).over(at))
+
+
 def snapshot_diff(before: DataFrame, after: DataFrame, key: str, digest: str) -> DataFrame:
     """(key, change) of rows added, removed or changed between two snapshots."""
     a, b = before.select(F.col(key).alias("_a"), F.col(digest).alias("_x")), after.select(F.col(key).alias("_b"), F.col(digest).alias("_y"))
@@ -94,8 +100,9 @@ def snapshot_diff(before: DataFrame, after: DataFrame, key: str, digest: str) ->
 
 
 def table_digest(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One row (n, digest) that tells whether two tables have the same rows in any order; sums of hashes, no sort."""
-    h = F.xxhash64(*columns).cast("decimal(38,0)")
+    """One row (n, digest) that tells whether two tables have the same rows in any order; sums of parts of MD5 digests, no sort."""
+    text = F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns))
+    h = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(38,0)")
     return df.agg(F.count(F.lit(1)).alias("n"), F.sum(h).cast("string").alias("digest"))
 
 

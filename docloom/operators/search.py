@@ -40,6 +40,51 @@ def bm25(df: DataFrame, row: str, weights: dict[str, float], text: str, k: int)
     return rows.where(found).select(row, F.round(score, 6).alias("score")).orderBy(F.desc("score"), row).limit(k)
 
 
+def fts_capable(text: str) -> bool:
+    """Whether every token of a query has three characters or more, so that trigrams can find it."""
+    tokens = [t.strip("\"'") for t in text.split()]
+    return bool(tokens) and all(len(t) >= 3 for t in tokens)
+
+
+def trigrams(text: Column) -> Column:
+    """Different runs of three characters, in lower case."""
+    t = F.lower(F.coalesce(text, F.lit("")))
+    return F.when(F.length(t) >= 3, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(t) - 2), lambda i: F.substr(t, i, F.lit(3))))).otherwise(F.array().cast("array<string>"))
+
+
+def postings(df: DataFrame, row: str, column: str) -> DataFrame:
+    """(gram, row): an index of a text column by trigrams; write it once, partitioned by gram, to search it often."""
+    return df.select(F.explode(trigrams(F.col(column))).alias("gram"), row)
+
+
+def by_postings(index: DataFrame, df: DataFrame, row: str, column: str, text: str) -> DataFrame:
+    """Rows of df that hold every token of `text`, found through the index and then compared."""
+    tokens = [t.strip("\"'").lower() for t in text.split()]
+    grams = sorted({t[i : i + 3] for t in tokens for i in range(len(t) - 2)})
+    found = index.where(F.col("gram").isin(grams)).groupBy(row).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") == len(grams)).select(F.col(row).alias("_r"))
+    holds = F.lit(True)
+    for t in tokens:
+        holds = holds & F.contains(F.lower(F.col(column)), F.lit(t))
+    return df.join(found, F.col(row) == F.col("_r"), "left_semi").where(holds)
+
+
+def bm25_once(df: DataFrame, row: str, weights: dict[str, float], text: str, k: int, same: list[str]) -> DataFrame:
+    """bm25's best 2k rows, of rows with equal `same` the best, and of these the k best."""
+    best = bm25(df, row, weights, text, 2 * k)
+    met = best.join(df.select(F.col(row).alias("_r"), *(F.col(c).alias(f"_{c}") for c in same)), F.col(row) == F.col("_r"))
+    first = F.row_number().over(Window.partitionBy(*(f"_{c}" for c in same)).orderBy(F.desc("score"), row))
+    return met.withColumn("_n", first).where("_n = 1").select(row, "score").orderBy(F.desc("score"), row).limit(k)
+
+
+def search(df: DataFrame, row: str, column: str, text: str, k: int) -> DataFrame:
+    """(row, score): by bm25 if the query can be found by trigrams, else rows that hold every token, shortest first, score 0."""
+    if fts_capable(text):
+        return bm25(df, row, {column: 1.0}, text, k)
+    from .records import like_tokens
+
+    return df.where(like_tokens(text, [column])).orderBy(F.length(column), row).limit(k).select(row, F.lit(0.0).alias("score"))
+
+
 def nearest(vectors: DataFrame, row: str, vector: str, queries: DataFrame, query: str, query_vector: str, k: int, metric: str = "cosine", block: int = 256) -> DataFrame:
     """(query, row, distance, rank): the k nearest rows of each query, by exact comparison.
 

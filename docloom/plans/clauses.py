@@ -29,6 +29,9 @@ def clause_counts(t):
     return C.structure(d, clauses).select("doc", "n_articles")
 
 
-@query()
+_BODIES = _CLAUSES + ", b as (select doc, article, string_agg(x, chr(10) order by line) body from (select doc, article, line, case when a then trim(regexp_replace(text, '^(The|Of|In|On)(?:[ .,]|$)', ''), ' ') else text end x from w where article > 0 and not c) where x <> '' group by all), k as (select distinct doc, article from w where article > 0 and not c)"
+
+
+@query(_BODIES + " select concat_ws(':', 'clause', k.doc::varchar, k.article::varchar, substr(sha256(coalesce(b.body, '')), 1, 12)) chunk_id, k.doc, k.article::bigint as article, coalesce(b.body, '') body from k left join b using (doc, article)")
 def clause_chunks(t):
     return C.chunks(C.articles(t("documents"), "doc_id", "text", ARTICLE, CHAPTER))

@@ -29,15 +29,10 @@ def ego_graph(t):
     return G.ego(_edges(t), "src", "dst", 7)
 
 
-@query("with recursive e as (select distinct l_partkey s, (l_partkey * 7 + l_suppkey) % 2000 d from lineitem where l_linenumber = 1 and l_partkey % 3 = 0), r as (select 3 as node, 0 as level union select d, level + 1 from r join e on s = node where level < 6) select node::bigint node, min(level)::int as level from r group by 1")
-def upstream_bfs(t):
-    """What can be reached from part 3 in six steps over edges made by rule from lines."""
-    return _reached(t("lineitem").where("l_linenumber = 1 and l_partkey % 3 = 0"))
-
-
 @query()
-def upstream_bfs_all(t):
-    """upstream_bfs over the edges of all lines; the recursive SQL would walk every path, so a test walks them by brute force."""
+def upstream_bfs(t):
+    """What can be reached from part 3 in six steps over edges made by rule from all lines; recursive SQL would walk every
+    path, so a test walks them by brute force."""
     return _reached(t("lineitem"))
 
 
@@ -85,6 +80,42 @@ def theme_votes(t):
 @query("select l_suppkey, l_returnflag kind, count(*) n, (list(l_orderkey order by l_orderkey, l_linenumber))[1:3]::varchar samples from lineitem group by all")
 def external_grouping(t):
     """Evidence of each supplier by kind, with the first three orders as samples."""
-    rows = t("lineitem").groupBy("l_suppkey", F.col("l_returnflag").alias("kind")).agg(F.count(F.lit(1)).alias("n"), F.slice(F.array_sort(F.collect_list(F.struct("l_orderkey", "l_linenumber"))), 1, 3).alias("s"))
-    shown = F.concat(F.lit("["), F.array_join(F.transform("s", lambda x: x["l_orderkey"].cast("string")), ", "), F.lit("]"))
-    return rows.select("l_suppkey", "kind", "n", shown.alias("samples"))
+    rows = t("lineitem").select("l_suppkey", F.col("l_returnflag").alias("kind"), "l_orderkey", "l_linenumber")
+    first = G.samples(rows, ["l_suppkey", "kind"], ["l_orderkey", "l_linenumber"], "l_orderkey", 3)
+    shown = F.concat(F.lit("["), F.array_join(F.transform("samples", lambda x: x.cast("string")), ", "), F.lit("]"))
+    return first.select("l_suppkey", "kind", "n", shown.alias("samples"))
+
+
+@query(f"with e as ({EDGES}), m as (select case when src = 7 then dst else src end neighbour, (src = 7)::int o, (kind = 'R')::int w from e where src = 7 or dst = 7), n as (select neighbour, sum(o)::bigint n_out, sum(1 - o)::bigint n_in, sum(w)::bigint weak from m group by 1) select neighbour, n_out, n_in, weak, (select count(*) > 15 from n) truncated from n order by n_out + n_in desc, neighbour limit 15")
+def ego_limited(t):
+    """Fifteen neighbours of node 7 with their edges by direction."""
+    return G.ego_page(_edges(t), "src", "dst", 7, F.col("kind") == "R", 15)
+
+
+@query(f"with e as ({EDGES}), h as (select src from e group by 1 order by count(*) desc, src limit 5) select 'star' kind, src::varchar src, dst::varchar dst, count(*) n from e where src in (select src from h) group by src, dst union all select 'group', kind, src::varchar, count(*) from e group by kind, src")
+def global_graph(t):
+    return G.overview(_edges(t), "src", "dst", "kind", 5)
+
+
+@query("with p as (select distinct l_suppkey node, l_partkey a from lineitem where l_linestatus = 'F'), u as (select distinct l_suppkey node, l_partkey a from lineitem where l_linestatus = 'O') select p.node, u.node neighbour, count(*) artifacts from p join u using (a) where p.node <> u.node group by all")
+def artifact_neighbours(t):
+    """Suppliers whose finished parts other suppliers still have open."""
+    lines = t("lineitem").select(F.col("l_suppkey").alias("node"), "l_partkey", "l_linestatus")
+    return G.through(lines.where("l_linestatus = 'F'"), lines.where("l_linestatus = 'O'"), "node", "l_partkey")
+
+
+@query("with recursive e as (select distinct c_nationkey s, s_nationkey d from lineitem join orders on o_orderkey = l_orderkey join customer on c_custkey = o_custkey join supplier on s_suppkey = l_suppkey where c_nationkey < s_nationkey and s_nationkey - c_nationkey > 5), r as (select n as node, 0 as level from (select s n from e union select d from e) union select d, level + 1 from r join e on s = node) select node, max(level)::int as level from r group by 1")
+def dag_levels(t):
+    """Levels of nations over trade to nations with keys larger by more than five."""
+    e = _nation_pairs(t).where("a < b and b - a > 5").distinct()
+    return G.levels(e, "a", "b")
+
+
+@query(f"select src, dst, n, kinds from (select src, dst, sum(n)::bigint n, string_agg(kind || ':' || n::varchar, ',' order by kind) kinds from (select a as src, b as dst, l_returnflag kind, count(*) n from (select c.c_nationkey a, s.s_nationkey b, l_returnflag from lineitem join orders on o_orderkey = l_orderkey join customer c on c.c_custkey = o_custkey join supplier s on s.s_suppkey = l_suppkey) where a = b group by all) group by all)")
+def inner_edges(t):
+    """Edges inside a nation with a histogram of their kinds."""
+    lines = t("lineitem").select("l_orderkey", "l_suppkey", F.col("l_returnflag").alias("kind")).join(t("orders").select("o_orderkey", "o_custkey"), F.col("o_orderkey") == F.col("l_orderkey"))
+    lines = lines.join(t("customer").select("c_custkey", F.col("c_nationkey").alias("src")), F.col("c_custkey") == F.col("o_custkey")).join(t("supplier").select("s_suppkey", F.col("s_nationkey").alias("dst")), F.col("s_suppkey") == F.col("l_suppkey"))
+    n = lines.where("src = dst").groupBy("src", "dst", "kind").agg(F.count(F.lit(1)).alias("n"))
+    shown = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("kind", "n"))), lambda x: F.concat(x["kind"], F.lit(":"), x["n"].cast("string"))), ",")
+    return n.groupBy("src", "dst").agg(F.sum("n").alias("n"), shown.alias("kinds"))

@@ -8,15 +8,9 @@ from ..operators import matching as M
 from .base import query
 
 
-@query("select l_orderkey, l_linenumber, coalesce((case when l_suppkey % 3 = 0 then s.s_name end), p.p_name, n.n_name) as title from lineitem left join supplier s on s.s_suppkey = l_suppkey and l_suppkey % 3 = 0 left join part p on p.p_partkey = l_partkey and l_partkey % 2 = 0 left join nation n on n.n_nationkey = l_orderkey % 25 where l_linenumber = 1")
-def bridge_cascade(t):
-    """A line's name by supplier, else by part, else by a nation key."""
-    return _titled(t, t("lineitem").where("l_linenumber = 1"))
-
-
 @query("select l_orderkey, l_linenumber, coalesce((case when l_suppkey % 3 = 0 then s.s_name end), p.p_name, n.n_name) as title from lineitem left join supplier s on s.s_suppkey = l_suppkey and l_suppkey % 3 = 0 left join part p on p.p_partkey = l_partkey and l_partkey % 2 = 0 left join nation n on n.n_nationkey = l_orderkey % 25")
-def bridge_cascade_all(t):
-    """bridge_cascade over all lines."""
+def bridge_cascade(t):
+    """Every line's name by supplier, else by part, else by a nation key."""
     return _titled(t, t("lineitem"))
 
 
@@ -89,3 +83,34 @@ def clause_span_interval(t):
 def mark_spans(t):
     marks = t("events").where("event_type = 'purchase'").select("event_id", "user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("at")).withColumn("end", F.lit(9999999999999999))
     return M.spans(marks, "user_id", "at", "end").drop("end")
+
+
+@query("select o_orderkey, coalesce(a.v, b.v) status, case when a.k is not null then 'number' when b.k is not null then 'title' else 'none' end as method from (select o_orderkey, o_custkey::varchar k1, left(o_orderpriority, 3) k2 from orders) left join (select c_custkey::varchar k, arg_max(c_mktsegment, c_custkey) v from customer where c_custkey % 3 = 0 group by 1) a on a.k = k1 left join (select left(c_mktsegment, 3) k, arg_max(c_mktsegment, c_custkey) v from customer where c_custkey % 3 = 0 group by 1) b on b.k = k2")
+def status_match(t):
+    """Orders matched with a ledger by number, else by the head of a title."""
+    ledger = t("customer").where("c_custkey % 3 = 0").select(F.col("c_custkey").cast("string").alias("no"), F.left("c_mktsegment", F.lit(3)).alias("head"), F.col("c_mktsegment").alias("status"), "c_custkey")
+    keys = [("number", F.col("o_custkey").cast("string")), ("title", F.left("o_orderpriority", F.lit(3)))]
+    return M.by_first_key(t("orders"), keys, ledger, [F.col("no"), F.col("head")], "status", "c_custkey").select("o_orderkey", "status", "method")
+
+
+@query("""with w as (select distinct doc_id, unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+')) w from documents), i as (select item, n, unnest(k) w from (values (1, 3, ['the', 'of', 'token']), (2, 2, ['licensed', 'apache']), (3, 4, ['der', 'die', 'und', 'mit'])) v(item, n, k)), h as (select doc_id, item, n, count(*) c from w join i using (w) group by all), e as (select doc_id, x.item from w join (values (1, 'secret'), (2, 'license'), (3, 'wort')) x(item, w) using (w)),
+a as (select doc_id, item, 'keyword' m, least(0.9, 0.5 + 0.4 * c / n) s from h union all select doc_id, item, 'explicit', 1.0 from e)
+select doc_id, item, arg_max(m, s) as method, round(max(s), 4)::double confidence, case when max(s) >= 0.75 then 'confirmed' else 'review' end as status from a group by all""")
+def clause_items(t):
+    """Documents and items of a framework, by an explicit word or by keywords."""
+    d = t("documents")
+    items = d.sparkSession.createDataFrame([(1, "secret", ["the", "of", "token"]), (2, "license", ["licensed", "apache"]), (3, "wort", ["der", "die", "und", "mit"])], "item int, word string, keywords array<string>")
+    return M.by_keywords(d, "doc_id", "text", items, "item", "keywords", "word")
+
+
+@query("select p, keep from (select doc_id::varchar p, min(doc_id::varchar) over (partition by coalesce(text, '')) keep from documents) where p <> keep")
+def storage_duplicates(t):
+    files = t("documents").select(F.col("doc_id").cast("string").alias("p"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha"))
+    return M.storage_plan(files, "sha", "p")
+
+
+@query("with s as (select doc_id, regexp_replace(trim(coalesce(text, ''), ' '), '\\s+', ' ', 'g') x from documents), a as (select doc_id q, lower(regexp_replace(left(x, 60), ' \\S*$', '')) s from s where doc_id % 2 = 1 and length(regexp_replace(left(x, 60), ' \\S*$', '')) >= 30), k as (select doc_id::varchar v, lower(regexp_replace(coalesce(text, ''), '\\s+', ' ', 'g')) x from documents where doc_id % 2 <> 1) select q doc_id, min(v) as number from a join k on contains(k.x, a.s) group by 1 having count(distinct v) = 1")
+def number_inheritance(t):
+    """Documents without a number (made by rule) take that of the only document that holds their first words."""
+    d = t("documents").select("doc_id", "text", F.when(F.col("doc_id") % 2 != 1, F.col("doc_id").cast("string")).otherwise("").alias("number"))
+    return M.inherited(d, "doc_id", "text", "number")

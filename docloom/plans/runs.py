@@ -28,3 +28,19 @@ def citation_check(t):
     drafts = t("orders").select("o_orderkey", (F.col("o_orderkey") % 150).cast("long").alias("s_suppkey"))
     side = t("supplier").select(F.col("s_suppkey").cast("long").alias("s_suppkey"), F.when(F.col("s_acctbal") < 0, "void").otherwise("valid").alias("state"))
     return I.citations(drafts, side, "s_suppkey", "state", ["void"]).select("o_orderkey", "verdict")
+
+
+@query("select count(*) as rows, count(distinct lang) n_lang, count(distinct source) n_source from documents")
+def value_counts(t):
+    from ..sources.files import value_counts
+
+    return value_counts(t("documents"), ["lang", "source"])
+
+
+@query("select folder, arg_max(path, (newest, path)) as path from (select 'store/' || source folder, 'store/' || source || '/' || doc_id::varchar || case doc_id % 4 when 0 then '.json' when 1 then '.json.bak' when 2 then '.tmp' else '-quarantine.json' end path, doc_id % 100 as newest from documents) where path not like '%.bak%' and path not like '%.tmp%' and path not like '%quarantine%' group by 1")
+def main_files(t):
+    """The newest proper file of each source's folder; names and times made by rule from documents."""
+    from ..sources.files import main_files
+
+    end = F.when(F.col("doc_id") % 4 == 0, ".json").when(F.col("doc_id") % 4 == 1, ".json.bak").when(F.col("doc_id") % 4 == 2, ".tmp").otherwise("-quarantine.json")
+    return main_files(t("documents").select(F.concat(F.lit("store/"), "source", F.lit("/"), F.col("doc_id").cast("string"), end).alias("path"), (F.col("doc_id") % 100).alias("at")))

@@ -50,8 +50,34 @@ def prototype_argmax(t):
     return rows.groupBy("vec_id", "label").agg(F.max_by(F.col("m.l"), score).alias("nearest"))
 
 
-@query()
+_RANKED = "select q.vec_id as query, v.vec_id as row, row_number() over (partition by q.vec_id order by {d}, v.vec_id) as rank from embeddings v, (select * from embeddings where vec_id % 100 = 0) q"
+_COSINE = _RANKED.format(d="round(1 - list_cosine_similarity(v.embedding::double[], q.embedding::double[]), 6)")
+_L2 = _RANKED.format(d="round(list_distance(v.embedding::double[], q.embedding::double[]), 6)")
+
+
+@query(f"with a as (select query, row from ({_COSINE}) where rank <= 10), b as (select query, row from ({_L2}) where rank <= 10), n as (select query, count(*) n from (select query, row from a union select query, row from b) group by 1) select n.query, round((select count(*) from a join b on a.query = b.query and a.row = b.row where a.query = n.query) / n.n, 4) overlap from n")
 def ab_jaccard(t):
     v = t("embeddings")
     asked = v.where("vec_id % 100 = 0")
     return S.jaccard(S.nearest(v, "vec_id", "embedding", asked, "vec_id", "embedding", 10), S.nearest(v, "vec_id", "embedding", asked, "vec_id", "embedding", 10, "l2"), "query", "row")
+
+
+@query("select page_id from pages where contains(lower(url), 'http') and contains(lower(url), 'page')")
+def trigram_candidates(t):
+    """Pages by two tokens of their URL, through an index of trigrams."""
+    p = t("pages")
+    return S.by_postings(S.postings(p, "page_id", "url"), p, "page_id", "url", "HTTP page").select("page_id")
+
+
+@query(f"""with r as (select page_id, length(url) + length(html) len, 10.0 * {_COUNT("url", "http")} + 1.0 * {_COUNT("html", "http")} f0, 10.0 * {_COUNT("url", "script")} + 1.0 * {_COUNT("html", "script")} f1, html from pages), s as (select count(*) n, avg(len) av, sum((f0 > 0)::int) d0, sum((f1 > 0)::int) d1 from r),
+c as (select page_id, html, round(greatest(1e-6, ln((n - d0 + 0.5) / (d0 + 0.5))) * (f0 * 2.2) / (f0 + 1.2 * (0.25 + 0.75 * len / av)) + greatest(1e-6, ln((n - d1 + 0.5) / (d1 + 0.5))) * (f1 * 2.2) / (f1 + 1.2 * (0.25 + 0.75 * len / av)), 6) score from r, s where f0 > 0 and f1 > 0 order by score desc, page_id limit 20)
+select page_id, score from c qualify row_number() over (partition by html order by score desc, page_id) = 1 order by score desc, page_id limit 10""")
+def bm25_weighted(t):
+    """URL ten times as heavy as the page; of the best twenty, one of each text, ten at most."""
+    return S.bm25_once(t("pages"), "page_id", {"url": 10.0, "html": 1.0}, "http script", 10, ["html"])
+
+
+@query("select doc_id, 0.0::double score from documents where contains(lower(text), 'of') and contains(lower(text), 'le') order by length(text), doc_id limit 15")
+def search_facade(t):
+    """A query with tokens too short for trigrams falls back to LIKE, shortest first."""
+    return S.search(t("documents"), "doc_id", "text", "of le", 15)

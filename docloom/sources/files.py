@@ -8,8 +8,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+def resolved(spark: SparkSession, path: str) -> str:
+    """path, or where there is no such .json file the .jsonl one of the same name."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there = at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+    return path if there or not path.endswith(".json") else f"{path}l"
+
+
 def read_records(spark: SparkSession, path: str, schema: str | None = None, array: bool = False) -> DataFrame:
-    """Records of JSON lines (or of one JSON array a file); a leading _meta row is left out, broken rows go to _broken."""
+    """Records of JSON lines (or of one JSON array a file); a leading _meta row is left out, broken rows go to _broken. A
+    .json path that is not there stands for the .jsonl one."""
+    path = resolved(spark, path)
     reader = spark.read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_broken").option("multiLine", array)
     rows = (reader.schema(schema) if schema else reader).json(path)
     return rows.where("_meta is null").drop("_meta") if "_meta" in rows.columns else rows
@@ -24,8 +33,28 @@ def write_records(df: DataFrame, path: str, by: list[str] | None = None) -> None
     (writer.partitionBy(*by) if by else writer).parquet(path)
 
 
-def write_lines(df: DataFrame, path: str) -> None:
+def write_lines(df: DataFrame, path: str, meta: dict[str, str] | None = None) -> None:
+    """JSON lines; with meta, a file of its own holds one row _meta, which `read_records` leaves out."""
     df.write.mode("overwrite").json(path)
+    if meta is not None:
+        one = df.sparkSession.createDataFrame([(meta,)], "_meta map<string, string>")
+        one.coalesce(1).write.mode("append").json(path)
+
+
+def oversize(df: DataFrame, key: str, limit: int, k: int = 3) -> DataFrame:
+    """(key, size): the k largest records over `limit` characters as JSON."""
+    return df.select(key, F.length(F.to_json(F.struct(*df.columns))).cast("long").alias("size")).where(F.col("size") > limit).orderBy(F.desc("size"), key).limit(k)
+
+
+def main_files(paths: DataFrame, path: str = "path", at: str = "at") -> DataFrame:
+    """(folder, path): the newest file of each folder that is no quarantine, backup or temporary file."""
+    own = paths.where(~F.lower(F.col(path)).rlike(r"quarantine|\.bak|\.tmp|~$"))
+    return own.groupBy(F.regexp_replace(F.col(path), "/[^/]*$", "").alias("folder")).agg(F.max_by(path, F.struct(at, path)).alias("path"))
+
+
+def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One row: the number of rows, and of different values of each column (exact)."""
+    return df.agg(F.count(F.lit(1)).alias("rows"), *(F.countDistinct(c).alias(f"n_{c}") for c in columns))
 
 
 def write_table(df: DataFrame, path: str) -> None:
@@ -51,7 +80,8 @@ def keep_newest(snapshots: DataFrame, by: list[str], at: str, k: int) -> DataFra
 
 
 def files(spark: SparkSession, path: str) -> DataFrame:
-    """(path, length, digest) of the files under a path, to compare snapshots by content."""
+    """(path, length, digest) of the files under a path, to compare snapshots by content. Files are read whole, so each must
+    be smaller than 2 GB."""
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length", F.sha2("content", 256).alias("digest"))
 
 

@@ -46,15 +46,19 @@ def once(events: DataFrame, key: str = "event_id", delay: str = "1 day") -> Data
 def open_items(events: DataFrame, key: str = "user_id", closing: str = "purchase") -> DataFrame:
     """A work queue as a stateful stream: after each batch, (key, seen, state) of the keys that it touched.
 
-    An entry opens a closed item or adds to the open one; a closing entry closes it. State: one number for each key.
+    An entry opens a closed item or adds to the open one; a closing entry closes it. State: one number for each open item; a
+    closed one leaves nothing behind.
     """
 
     def fold(keys: tuple[Any, ...], frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         seen = state.get[0] if state.exists else 0
         rows = pd.concat(list(frames)).sort_values(["ts", "event_id"])
-        for kind in rows["event_type"]:
-            seen = 0 if kind == closing else seen + 1
-        state.update((seen,))
+        closes = (rows["event_type"] == closing).to_numpy()
+        seen = int(closes[::-1].argmax()) if closes.any() else seen + len(rows)
+        if seen:
+            state.update((seen,))
+        elif state.exists:
+            state.remove()
         yield pd.DataFrame({key: [keys[0]], "seen": [seen], "state": ["open" if seen else "closed"]})
 
     return events.groupBy(key).applyInPandasWithState(fold, f"{key} long, seen long, state string", "seen long", "update", GroupStateTimeout.NoTimeout)

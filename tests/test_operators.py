@@ -19,19 +19,6 @@ def value(spark, column, text):
     return spark.createDataFrame([(text,)], "t string").select(column(F.col("t"))).first()[0]
 
 
-def test_document_numbers(spark):
-    assert value(spark, T.docno, "银保监发〔2020〕 12号") == "银保监发202012"
-    assert value(spark, T.docno, "无") == "" and value(spark, T.docno, None) == ""
-    assert value(spark, T.signature, "财会〔2017〕22号") == "2017-22"
-    assert value(spark, T.title, "《办法》（试行）") == "办法"
-
-
-def test_dates_keep_what_they_cannot_read(spark):
-    assert value(spark, T.first_date, "2021年3月5日") == "2021-03-05"
-    assert value(spark, T.first_date, "2021/3/15 10:00") == "2021-03-15"
-    assert value(spark, T.first_date, "soon") == "soon"
-
-
 def test_html(spark):
     html = "<script>x</script><p>One &amp; two</p><!-- no --><div> three<br>four</div>"
     assert value(spark, T.paragraphs, html) == ["One & two", "three", "four"]
