@@ -89,6 +89,114 @@ def check(clauses: DataFrame) -> DataFrame:
     return rows.withColumn("issues", issues).select("doc", "n", status.alias("status"), "issues")
 
 
+#: Fixed: marks of three outline levels.
+OUTLINE = [rf"^({NUMERAL})、", rf"^[（(]({NUMERAL})[)）]", r"^([0-9]+)[.．](?![0-9])"]
+#: Fixed: lines that end a document: dates, bodies, attachments, notes of printing; starts and ends of articles that were cut by mistake.
+TAIL = r"^(\d{4}年\d{1,2}月\d{1,2}日|[一二三四五六七八九〇零十]{4}年.*日|附件[:：]?.*|抄送[:：].*|主题词[:：].*|.{0,30}(印发|公章))$"
+CUT_START, CUT_END = r"^([、，；：,;:]|的|规定)", r"(和|与|或|及|以及|、|按照|根据|依照)$"
+
+
+def without_tail(docs: DataFrame, doc: str = "doc_id", text: str = "text", tail: str = TAIL) -> DataFrame:
+    """(doc, line, text): lines up to the last one that is no part of a document's tail."""
+    rows = lines(docs, doc, text)
+    last = rows.where(~F.col("text").rlike(tail)).groupBy(F.col("doc").alias("_d")).agg(F.max("line").alias("_last"))
+    return rows.join(last, (F.col("doc") == F.col("_d")) & (F.col("line") <= F.col("_last")), "left_semi")
+
+
+def outline(docs: DataFrame, doc: str = "doc_id", text: str = "text", marks: list[str] | None = None) -> DataFrame:
+    """(doc, unit, level, number, parent, body): units of an outline in the text's order, from 1; parent is the unit above (0: none).
+
+    A line with a mark opens a unit of the mark's level, other lines go on with the open unit; lines before the first mark
+    are left out. A unit's parent is the last unit before it of a smaller level.
+    """
+    marks = marks or OUTLINE
+    at = Window.partitionBy("doc").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
+    level, mark = F.lit(None).cast("int"), F.lit(None).cast("string")
+    for i, m in reversed(list(enumerate(marks))):
+        level, mark = F.when(F.col("text").rlike(m), i + 1).otherwise(level), F.when(F.col("text").rlike(m), F.regexp_extract("text", m, 1)).otherwise(mark)
+    rows = lines(docs, doc, text).withColumn("_level", level).withColumn("_mark", mark)
+    stripped = F.coalesce(*(F.when(F.col("_level") == i + 1, F.trim(F.regexp_replace("text", m, ""))) for i, m in enumerate(marks)), F.col("text"))
+    rows = rows.withColumn("_text", stripped).withColumn("unit", F.count("_level").over(at))
+    for i in range(1, len(marks)):
+        rows = rows.withColumn(f"_p{i}", F.last(F.when(F.col("_level") == i, F.col("unit")), ignorenulls=True).over(at))
+    above = F.lit(0).cast("long")
+    for i in range(1, len(marks)):
+        above = F.when(F.col("level") > i, F.greatest(above, F.coalesce(F.col(f"_p{i}"), F.lit(0)))).otherwise(above)
+    joined = F.array_join(F.filter(F.transform(F.array_sort(F.collect_list(F.struct("line", "_text"))), lambda x: x["_text"]), lambda x: x != ""), "\n")
+    heads = [F.min_by(f"_p{i}", "line").alias(f"_p{i}") for i in range(1, len(marks))]
+    units = rows.where("unit > 0").groupBy("doc", "unit").agg(F.max("_level").alias("level"), F.max("_mark").alias("_mark"), joined.alias("body"), *heads)
+    return units.select("doc", "unit", "level", numeral(F.col("_mark")).alias("number"), above.alias("parent"), "body")
+
+
+def repair(clauses: DataFrame, start: str = CUT_START, end: str = CUT_END, least: int = 20, stop: str = "。") -> DataFrame:
+    """clauses with articles that are none put back to the one before, repeats of number and body dropped, numbered anew.
+
+    An article is none if its body is empty or has at most `least` characters without a full stop, begins as a sentence goes
+    on, or follows a body that ends in a connective. Returns doc, article, mark, number, chapter, chapter_mark, body.
+    """
+    at = Window.partitionBy("doc").orderBy("article")
+    short = (F.length("body") <= least) & ~F.contains(F.col("body"), F.lit(stop))
+    wrong = short | F.col("body").rlike(start) | F.coalesce(F.lag("body").over(at).rlike(end), F.lit(False))
+    rows = clauses.withColumn("_own", (~wrong | (F.row_number().over(at) == 1)).cast("int"))
+    rows = rows.withColumn("_unit", F.sum("_own").over(at.rowsBetween(Window.unboundedPreceding, 0)))
+    parts = F.transform(F.array_sort(F.collect_list(F.struct("article", "_own", "mark", "body"))), lambda x: F.when(x["_own"] == 1, x["body"]).otherwise(F.concat(F.lit("第"), F.coalesce(x["mark"], F.lit("")), F.lit("条"), x["body"])))
+    first = lambda c: F.min_by(c, "article").alias(c)
+    units = rows.groupBy("doc", "_unit").agg(first("mark"), first("number"), first("chapter"), first("chapter_mark"), F.min("article").alias("_at"), F.array_join(parts, "").alias("body"))
+    once = units.withColumn("_n", F.row_number().over(Window.partitionBy("doc", "number", "body").orderBy("_at"))).where("_n = 1")
+    return once.withColumn("article", F.row_number().over(Window.partitionBy("doc").orderBy("_at")).cast("long")).select("doc", "article", "mark", "number", "chapter", "chapter_mark", "body")
+
+
+def validate(meta: DataFrame, clauses: DataFrame, tail: str = TAIL) -> DataFrame:
+    """(doc, status, errors, warnings): rules V001 to V010 on parsed documents, names of broken ones joined by commas.
+
+    meta: doc, dedup_key, title, source_url, rfn, article_count (declared; null is not checked). V001 key and title (error),
+    V002 numbers that fall back (error) or skip or do not begin at 1 (warning), V003 repeated numbers, V004 declared count,
+    V005 chapters that fall back, V006 empty bodies, V007 form of the reference, V008 a title swallowed at a body's end, V009 a
+    tail in the last body, V010 runs of blanks. FAILED with an error, PASSED_WITH_WARNINGS, else PASSED.
+    """
+    at = Window.partitionBy("doc").orderBy("article")
+    last = F.lead("article").over(at).isNull()
+    rows = clauses.withColumn("_before", F.lag("number").over(at)).withColumn("_chapter", F.lag("chapter").over(at)).withColumn("_last", last)
+    some = lambda c: F.coalesce(F.max(c.cast("int")), F.lit(0))
+    n, body = F.col("number"), F.col("body")
+    found = rows.groupBy(F.col("doc").alias("_d")).agg(
+        F.count(F.lit(1)).alias("_n"), some(n.isNull() | (n <= F.col("_before"))).alias("_back"), some((n > F.col("_before") + 1) | (F.col("_before").isNull() & (F.col("article") == 1) & (n != 1))).alias("_skip"), (F.count("number") - F.countDistinct("number")).alias("_dup"),
+        some(F.col("chapter") < F.col("_chapter")).alias("_chap"), some(F.trim("body") == "").alias("_empty"), some(body.rlike(rf"\n第\s*({NUMERAL})\s*[章节][^\n]{{0,30}}$")).alias("_swallowed"),
+        some(F.col("_last") & F.regexp_extract("body", r"([^\n]*)$", 1).rlike(tail)).alias("_tail"), some(body.rlike(r"[ \t　]{2,}")).alias("_blank"),
+    )
+    met = meta.join(found, F.col("doc") == F.col("_d"), "left")
+    on = lambda c: F.coalesce(F.col(c), F.lit(0)) > 0
+    said = lambda c: F.trim(F.coalesce(F.col(c), F.lit(""))) != ""
+    errors = [("V001", ~said("dedup_key") | ~said("title")), ("V002", on("_back")), ("V003", on("_dup")), ("V005", on("_chap"))]
+    warnings = [("V001", ~said("source_url")), ("V002", ~on("_back") & on("_skip")), ("V004", F.coalesce(F.col("article_count") != F.coalesce("_n", F.lit(0)), F.lit(False))), ("V006", on("_empty")), ("V007", ~F.coalesce(F.col("rfn"), F.lit("")).rlike("^[A-Z]+[A-Za-z0-9-]*[0-9]$")), ("V008", on("_swallowed")), ("V009", on("_tail")), ("V010", on("_blank"))]
+    names = lambda rules: F.concat_ws(",", *(F.when(holds, F.lit(name)) for name, holds in rules))
+    out = met.select("doc", names(errors).alias("errors"), names(warnings).alias("warnings"))
+    return out.select("doc", F.when(F.col("errors") != "", "FAILED").when(F.col("warnings") != "", "PASSED_WITH_WARNINGS").otherwise("PASSED").alias("status"), "errors", "warnings")
+
+
+def semantics(clauses: DataFrame, mark: str = rf"^[（(]({NUMERAL})[)）]", quote: str = "《[^《》]+》", must: str = "应当|不得|必须") -> DataFrame:
+    """(doc, articles, items, references, duties, characters): what a document's clauses hold."""
+    each = clauses.select("doc", "article", "body", F.size(F.filter(F.split("body", "\n"), lambda x: x.rlike(mark))).alias("_i"))
+    return each.groupBy("doc").agg(F.count(F.lit(1)).alias("articles"), F.sum("_i").alias("items"), F.sum(F.regexp_count("body", F.lit(quote))).alias("references"), F.sum(F.regexp_count("body", F.lit(must))).alias("duties"), F.sum(F.length("body")).alias("characters"))
+
+
+def markdown(clauses: DataFrame, titles: DataFrame | None = None) -> DataFrame:
+    """(doc, text): a document's clauses as Markdown: title, chapters as headings where they begin, articles in bold.
+
+    titles: doc, title. One document's clauses are gathered in one task, and no more.
+    """
+    before = F.lag("chapter").over(Window.partitionBy("doc").orderBy("article"))
+    opens = (F.col("chapter") > 0) & (F.col("_before").isNull() | (F.col("chapter") != F.col("_before")))
+    head = F.when(opens, F.concat(F.lit("## "), F.coalesce("chapter_mark", F.lit("")), F.lit("\n\n"))).otherwise("")
+    rows = clauses.withColumn("_before", before).select("doc", "article", F.concat(head, F.lit("**"), F.coalesce("mark", F.lit("")), F.lit("** "), "body").alias("_t"))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("article", "_t"))), lambda x: x["_t"]), "\n\n")
+    out = rows.groupBy("doc").agg(text.alias("text"))
+    if titles is None:
+        return out
+    met = out.join(titles.select(F.col("doc").alias("_d"), "title"), F.col("doc") == F.col("_d"), "left")
+    return met.select("doc", F.concat(F.coalesce(F.concat(F.lit("# "), "title", F.lit("\n\n")), F.lit("")), "text").alias("text"))
+
+
 def chunks(clauses: DataFrame) -> DataFrame:
     """(chunk_id, doc, article, body): clauses for retrieval, with ids that change with the text."""
     digest = F.substring(F.sha2("body", 256), 1, 12)

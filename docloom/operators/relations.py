@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .clauses import NUMERAL, numeral
+from ..functions import keys as K
+from ..functions.decisions import NOMINAL, is_body, is_generic, is_no_document, target_class
+from .clauses import NUMERAL, lines, numeral
+from .matching import tiers
 
-#: Fixed: words before a quoted title that make it a basis, words after or before it that repeal it (longest first), and
-#: words near a repeal that undo it.
-BASIS = ["根据", "依据", "按照", "依照", "遵照"]
-REPEAL = ["同时废止", "予以废止", "自行废止", "停止执行", "废止", "失效"]
-NEGATION = ["不得废止", "未废止", "尚未失效", "不予废止"]
+#: Fixed: words before a quoted title that make it a basis; words after or before it that repeal it, longer ones first;
+#: contexts in which a title is neither, and in which nothing is repealed; heads of lists of repealed documents.
+BASIS = ["根据", "依据", "依照", "按照", "遵照", "基于", "循", "参照"]
+REPEAL = ["同时废止", "予以废止", "宣布废止", "宣布失效", "停止执行", "不再适用", "予以取消", "废止", "失效", "取消"]
+EXCLUDED = ["负责解释", "解释权", "授权解释", "委托解释", "行政复议", "行政诉讼", "申请复议", "提起诉讼", "法律适用", "参考资料"]
+NEGATION = ["拟废止", "建议废止", "征求意见", "草案", "待废止", "是否废止", "不得废止", "未废止", "尚未失效", "不予废止"]
+LIST_HEAD = "(下列|以下|附件所列|如下).{0,30}(" + "|".join(REPEAL) + ")"
+LIST_LINE = rf"^[（(]?({NUMERAL})[)）、.．]\s*.{{0,40}}《([^《》]+)》"
 REACH = 100
 
 
@@ -33,26 +39,66 @@ def _any(text: Column, words: list[str], end: str = "") -> Column:
     return text.rlike("(" + "|".join(words) + ")" + end)
 
 
+def listed(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc, pos, title): titles in numbered lines after a line that says that what is listed is repealed; the first line
+    without a number ends the list."""
+    at = Window.partitionBy("doc").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
+    rows = lines(docs.where(F.col(text).rlike(LIST_HEAD)), doc, text)
+    item = F.col("text").rlike(LIST_LINE)
+    state = F.when(F.col("text").rlike(LIST_HEAD), F.lit(True)).when(~item, F.lit(False))
+    rows = rows.withColumn("_open", F.last(state, ignorenulls=True).over(at))
+    return rows.where(item & F.col("_open")).select("doc", F.col("line").alias("pos"), F.regexp_extract("text", LIST_LINE, 2).alias("title"))
+
+
 def relations(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """(relation_id, doc, kind, title, article, action): basis and repeal edges, one for each document, kind and title.
 
     A title is a basis if a trigger stands right before it, or before the title that it is listed with. It is repealed if a
-    repealing word follows it or stands right before it, unless a negation stands near. The first place counts; a later
-    place may add its article. Ids are digests of what makes an edge, so they are the same in every run.
+    repealing word that is no part of a noun follows it or stands right before it, unless a negation stands near, or if it
+    stands in a list of repealed documents; with an article the repeal is partial (action ends in _partial). Titles in
+    contexts of interpretation and procedure are neither. Names of bodies, of kinds of documents and of what is no document
+    make no edge. The first place counts; a later place may add its article. Ids are digests of what makes an edge, so they
+    are the same in every run.
     """
-    q = quotes(docs, doc, text)
-    listed = r"[^，。；;]{0,12}$"
-    is_basis = _any(F.col("before"), BASIS, listed)
-    negated = _any(F.concat(F.col("before"), F.col("after")), NEGATION)
-    action = F.regexp_extract(F.regexp_extract("after", r"^[^。；;]*", 0), "(" + "|".join(REPEAL) + ")", 1)
+    q = quotes(docs, doc, text).withColumn("_own", _any(F.col("before"), BASIS, r"[^，。；;]{0,12}$"))
+    # A title behind another one, with nothing but a conjunction between them, is listed with it.
+    q = q.withColumn("_list", F.sum((~F.col("before").rlike(r"^[、，和及与以或\s]*$") | (F.col("pos") == 0)).cast("int")).over(Window.partitionBy("doc").orderBy("pos")))
+    q = q.withColumn("_basis", F.max("_own").over(Window.partitionBy("doc", "_list")))
+    q = q.where(~is_generic(F.col("title")) & ~is_body(F.col("title")) & ~is_no_document(F.col("title")))
+    near = F.concat(F.col("before"), F.lit(" "), F.col("after"))
+    q = q.where(~_any(near, EXCLUDED))
+    is_basis = F.col("_basis")
+    negated = _any(near, NEGATION)
+    verb = "(" + "|".join(REPEAL) + ")(?!" + "|".join(NOMINAL) + ")"
+    action = F.regexp_extract(F.regexp_extract("after", r"^[^。；;]*", 0), verb, 1)
     action = F.when(action != "", action).otherwise(F.regexp_extract("before", "(" + "|".join(REPEAL) + ")[^。；;，]{0,6}$", 1))
     basis = q.where(is_basis).select("doc", "pos", F.lit("basis").alias("kind"), "title", "article", F.lit("").alias("action"))
-    repeal = q.where(~is_basis & ~negated).withColumn("action", action).where("action <> ''").select("doc", "pos", F.lit("repeal").alias("kind"), "title", "article", "action")
-    edges = basis.union(repeal).groupBy("doc", "kind", "title").agg(F.min_by("action", "pos").alias("action"), F.min_by("article", F.when(F.col("article").isNotNull(), F.col("pos"))).alias("article"))
+    repeal = q.where(~is_basis & ~negated).withColumn("action", action).where("action <> ''")
+    repeal = repeal.select("doc", "pos", F.lit("repeal").alias("kind"), "title", "article", F.concat("action", F.when(F.col("article").isNotNull(), "_partial").otherwise("")).alias("action"))
+    in_list = listed(docs, doc, text).select("doc", (F.col("pos") + 1_000_000).alias("pos"), F.lit("repeal").alias("kind"), "title", F.lit(None).cast("int").alias("article"), F.lit("listed").alias("action"))
+    edges = basis.union(repeal).union(in_list).groupBy("doc", "kind", "title").agg(F.min_by("action", "pos").alias("action"), F.min_by("article", F.when(F.col("article").isNotNull(), F.col("pos"))).alias("article"))
     key = F.concat_ws("|", F.col("doc").cast("string"), "kind", "title", "action")
     return edges.select(F.substring(F.sha1(key), 1, 16).alias("relation_id"), "doc", "kind", "title", "article", "action")
 
 
+def resolve(refs: DataFrame, index: DataFrame, ref: str = "ref", number: str = "number", title: str = "title") -> DataFrame:
+    """refs (title, number) with target, method and confidence: the one entity of index (ref, number, title) that they stand for.
+
+    Tiers, best first: strong number, number, signature of the number (0.95), quoted title, title without version, without
+    the country's name, exact title (0.9). A key that stands for several entities resolves nothing. Else unresolved.
+    """
+    no, name = F.col(number), F.col(title)
+    plain = lambda c: K.title_quoted(c)
+    tiers_ = [("docno_strong", K.docno_strong(no), 1.0), ("docno", K.docno(no), 1.0), ("docno_sig", F.coalesce(K.signature(no), F.lit("")), 0.95), ("title", plain(name), 0.9), ("title_version", plain(K.without_version(name)), 0.9), ("title_country", plain(K.without_country(K.without_version(name))), 0.9), ("title_strict", K.title_strict(name), 0.9)]
+    return tiers(refs, ref, index, ref, [(method, key, key, confidence) for method, key, confidence in tiers_])
+
+
+def edges(found: DataFrame, index: DataFrame) -> DataFrame:
+    """Relations with their target (see `resolve`), its class, and confidence; edges to bodies and kinds of documents are left out."""
+    met = resolve(found.withColumn("number", F.lit("")), index).withColumn("target_class", target_class(F.col("target"), F.lit(""), F.col("title")))
+    return met.where(~F.col("target_class").isin("organ", "generic")).drop("number")
+
+
 def statistics(edges: DataFrame) -> DataFrame:
     """(kind, n, documents, targets, with_article)."""
     return edges.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("doc").alias("documents"), F.countDistinct("title").alias("targets"), F.round(F.avg(F.col("article").isNotNull().cast("double")), 4).alias("with_article"))
