@@ -107,7 +107,10 @@ def scored(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_co
 
 
 def filtered(docs: DataFrame, weights: np.ndarray, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
-    """The rows of docs whose text scores under the threshold, all columns kept."""
+    """The rows of docs whose text scores under the threshold, all columns kept. Weights that are all zero, as too few
+    labels leave them, know nothing, and reject nothing."""
+    if not weights.any():
+        return docs
     small_batches(docs.sparkSession)
     slots = np.flatnonzero(weights)
     sent = docs.sparkSession.sparkContext.broadcast((slots, weights[slots]))
