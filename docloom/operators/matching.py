@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .windows import ranked
+
 
 def cascade(df: DataFrame, sides: list[tuple[Column, DataFrame, str, str, str]], name: str) -> DataFrame:
     """df with `name`: the value of the first side that knows the row's key.
@@ -144,3 +147,29 @@ def locate(points: DataFrame, point: str, marks: DataFrame, by: str, at: str, la
     all_rows = marks.select(by, F.col(at).alias("_at"), F.lit(0).alias("_kind"), F.col(label).alias("_label")).unionByName(both)
     carried = F.last("_label", ignorenulls=True).over(Window.partitionBy(by).orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0))
     return all_rows.withColumn(label, carried).where("_kind = 1").select(by, F.col("_at").alias(point), label)
+
+
+def aliases(refs: DataFrame, ref: str, name: str, registry: DataFrame, entity: str, title: str, key: Callable[[Column], Column]) -> DataFrame:
+    """(ref, target, method): the entity whose title equals a name, else whose key does, else the only one whose title holds it."""
+    exact, loose = F.coalesce(F.col(name), F.lit("")), key(F.coalesce(F.col(name), F.lit("")))
+    out = tiers(refs, ref, registry, entity, [("exact", exact, F.coalesce(F.col(title), F.lit("")), 1.0), ("key", loose, key(F.coalesce(F.col(title), F.lit(""))), 0.9)])
+    open_ = out.where(F.col("target").isNull()).select(F.col(ref).alias("_ref"), F.col(name).alias("_name")).where(F.length("_name") >= 4)
+    held = contained(registry.select(F.col(entity).alias("_e"), F.col(title).alias("_title")), "_e", "_title", open_, "_ref", "_name")
+    only = held.groupBy("_ref").agg(F.min("_e").alias("_only"), F.max("_e").alias("_other")).where(F.col("_only") == F.col("_other")).drop("_other")
+    met = out.join(only, F.col(ref) == F.col("_ref"), "left")
+    method = F.when(F.col("method") != "unresolved", F.col("method")).when(F.col("_only").isNotNull(), "contains").otherwise("unresolved")
+    return met.select(ref, F.coalesce("target", "_only").alias("target"), method.alias("method"))
+
+
+def registered(registry: DataFrame, new: DataFrame, keys: list[str], number: str) -> DataFrame:
+    """New rows that the registry does not have by its unique keys, each key once, numbered on from the registry's last number."""
+    fresh = new.dropDuplicates(keys).join(registry.select(*keys).distinct(), keys, "left_anti")
+    last = registry.agg(F.coalesce(F.max(number), F.lit(0)).alias("_last"))
+    return ranked(fresh, keys, "_n").join(F.broadcast(last)).withColumn(number, (F.col("_last") + F.col("_n")).cast("long")).drop("_n", "_last")
+
+
+def filled_from(rows: DataFrame, key: str, meta: DataFrame, columns: list[str]) -> DataFrame:
+    """rows whose blank columns take what the metadata of their key has (one row a key: the least value)."""
+    side = meta.groupBy(F.col(key).alias("_k")).agg(*(F.min(F.nullif(F.trim(F.col(c)), F.lit(""))).alias(f"_{c}") for c in columns))
+    met = rows.join(side, F.col(key) == F.col("_k"), "left")
+    return met.select(*(F.when(F.trim(F.coalesce(F.col(c), F.lit(""))) == "", F.coalesce(F.col(f"_{c}"), F.lit(""))).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in rows.columns))

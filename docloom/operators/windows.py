@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..checkpoints import cut
+
 
 def forward_fill(df: DataFrame, by: str, order: list[str], column: str, name: str) -> DataFrame:
     """The last value before or at each row that is not null."""
@@ -45,3 +47,17 @@ def streak(df: DataFrame, by: str, order: list[str], bad: Column) -> DataFrame:
     at = F.struct(*order)
     last_good = df.groupBy(F.col(by).alias("_g")).agg(F.max(F.when(~bad, at)).alias("_at"))
     return df.join(last_good, F.col(by) == F.col("_g")).groupBy(by).agg(F.sum((F.col("_at").isNull() | (at > F.col("_at"))).cast("int")).cast("long").alias("streak"))
+
+
+def ranked(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """df with a long column `name`: gapless numbers from 1 in the given order of columns, which should tell rows apart.
+
+    Rows are dealt to ranges of the order, numbered in their range, and moved up by the counts of the ranges before; only
+    these counts, one a range, pass one task.
+    """
+    dealt = cut(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    before = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).select(F.col("_range").alias("_r"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    inside = dealt.withColumn("_i", F.row_number().over(Window.partitionBy("_range").orderBy(*order)))
+    met = inside.join(F.broadcast(starts), F.col("_range") == F.col("_r"))
+    return met.withColumn(name, (F.col("_i") + F.col("_start")).cast("long")).drop("_range", "_r", "_i", "_start")

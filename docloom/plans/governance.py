@@ -138,3 +138,11 @@ def event_session(t):
     from ..streaming.events import sessions
 
     return sessions(t("events"))
+
+
+@query("select distinct user_id from events")
+def stream_dedupe(t):
+    """Each user once: the batch form of the stream's deduplication."""
+    from ..streaming.events import once
+
+    return once(t("events"), "user_id").select("user_id")

@@ -150,3 +150,11 @@ def acceptance_check(t):
 def table_blocks(t):
     rows = t("pages").where(F.trim(F.regexp_replace("html", r"\s", "")) != "")
     return rows.select("page_id", T.is_table(F.col("html")).alias("is_table"))
+
+
+@query("with g as (select case when p_size % 5 = 0 then 'internal_history' when p_size % 5 in (1, 4) then 'law' when p_size % 5 = 2 then 'admin_regulation' when p_size % 5 = 3 then 'department_rule' end g from part) select g guise, count(*) n from g group by 1")
+def guise_summary(t):
+    """External authorities by how they look; titles made by rule from parts."""
+    n = F.col("p_size") % 5
+    title = F.when(n == 0, "本社办法").when(n == 1, "民法典").when(n == 2, "保险条例").when(n == 3, "统计规定").otherwise("公司法")
+    return t("part").groupBy(D.guise(title, F.lit(""), "本社").alias("guise")).agg(F.count(F.lit(1)).alias("n"))

@@ -114,3 +114,43 @@ def number_inheritance(t):
     """Documents without a number (made by rule) take that of the only document that holds their first words."""
     d = t("documents").select("doc_id", "text", F.when(F.col("doc_id") % 2 != 1, F.col("doc_id").cast("string")).otherwise("").alias("number"))
     return M.inherited(d, "doc_id", "text", "number")
+
+
+@query("""with r as (select p_partkey e, p_name t from part where p_partkey % 2 = 1), q as (select p_partkey ref, case p_partkey % 3 when 0 then p_name when 1 then upper(p_name) || ' ' else substr(p_name, 1, 12) end n from part where p_partkey % 4 = 0),
+a as (select t k, min(e) v from r group by 1 having min(e) = max(e)), b as (select lower(regexp_replace(t, '\\s', '', 'g')) k, min(e) v from r group by 1 having min(e) = max(e)), c as (select q.ref, min(r.e) v from q join r on contains(lower(r.t), lower(q.n)) where length(q.n) >= 4 group by 1 having min(r.e) = max(r.e))
+select q.ref p_partkey, coalesce(a.v, b.v, c.v) target, case when a.v is not null then 'exact' when b.v is not null then 'key' when c.v is not null then 'contains' else 'unresolved' end as method from q left join a on a.k = q.n left join b on b.k = lower(regexp_replace(q.n, '\\s', '', 'g')) left join c on c.ref = q.ref""")
+def alias_resolution(t):
+    """Names of parts written in three ways against a registry of other parts."""
+    n = F.col("p_partkey") % 3
+    name = F.when(n == 0, F.col("p_name")).when(n == 1, F.concat(F.upper("p_name"), F.lit(" "))).otherwise(F.substring("p_name", 1, 12))
+    refs = t("part").where("p_partkey % 4 = 0").select("p_partkey", name.alias("name"))
+    registry = t("part").where("p_partkey % 2 = 1").select(F.col("p_partkey").alias("entity"), "p_name")
+    return M.aliases(refs, "p_partkey", "name", registry, "entity", "p_name", lambda c: F.lower(F.regexp_replace(c, r"\s", "")))
+
+
+@query("select p_brand, p_type, (select max(p_partkey) from part where p_size < 25) + row_number() over (order by p_brand, p_type) as number from (select distinct p_brand, p_type from part where p_size >= 25 and (p_brand, p_type) not in (select (p_brand, p_type) from part where p_size < 25))")
+def registration(t):
+    """Kinds of large parts that small ones do not have, registered with new numbers."""
+    old = t("part").where("p_size < 25").select("p_brand", "p_type", F.col("p_partkey").alias("number"))
+    return M.registered(old, t("part").where("p_size >= 25").select("p_brand", "p_type"), ["p_brand", "p_type"], "number")
+
+
+@query("select o_orderkey, case when trim(s) = '' then coalesce(m, '') else s end o_orderstatus from (select o_orderkey, o_custkey c, case when o_orderkey % 3 = 0 then ' ' else o_orderstatus end s from orders) left join (select c_custkey k, c_mktsegment m from customer where c_custkey % 2 = 0) on k = c")
+def fill_blank(t):
+    """Orders without a state take their customer's segment."""
+    rows = t("orders").select("o_orderkey", "o_custkey", F.when(F.col("o_orderkey") % 3 == 0, " ").otherwise(F.col("o_orderstatus")).alias("o_orderstatus"))
+    meta = t("customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("o_orderstatus"))
+    return M.filled_from(rows, "o_custkey", meta, ["o_orderstatus"]).select("o_orderkey", "o_orderstatus")
+
+
+@query("select l_suppkey, string_agg(distinct l_returnflag, ',' order by l_returnflag) cited_by, arg_max(l_partkey, (l_extendedprice, l_partkey)) as best from (select l_suppkey, l_returnflag, l_extendedprice, l_partkey from lineitem) group by 1")
+def upper_anchors(t):
+    """Anchors with the set of kinds that cite them and their best candidate."""
+    cited = F.array_join(F.array_sort(F.collect_set("l_returnflag")), ",")
+    return t("lineitem").groupBy("l_suppkey").agg(cited.alias("cited_by"), F.max_by("l_partkey", F.struct("l_extendedprice", "l_partkey")).alias("best"))
+
+
+@query("select l_orderkey, l_linenumber from lineitem where l_partkey = 7 or l_suppkey = 3")
+def clause_lookup(t):
+    """Lines of a part or of a supplier, each once."""
+    return t("lineitem").where("l_partkey = 7 or l_suppkey = 3").select("l_orderkey", "l_linenumber")

@@ -81,3 +81,15 @@ def bm25_weighted(t):
 def search_facade(t):
     """A query with tokens too short for trigrams falls back to LIKE, shortest first."""
     return S.search(t("documents"), "doc_id", "text", "of le", 15)
+
+
+@query("with d as (select q.vec_id as query, v.vec_id as row, case when v.label < 5 then 'a' else 'b' end origin, round(1 - list_cosine_similarity(v.embedding::double[], q.embedding::double[]), 6) distance from embeddings v, (select * from embeddings where vec_id % 100 = 0) q) select query, row, origin, distance from d qualify row_number() over (partition by query order by distance, row) <= 8")
+def semantic_tables(t):
+    """The eight nearest rows of two tables together, with the table that each comes from."""
+    from pyspark.sql import Window
+
+    v = t("embeddings")
+    asked = v.where("vec_id % 100 = 0")
+    found = [S.nearest(v.where(part), "vec_id", "embedding", asked, "vec_id", "embedding", 8).withColumn("origin", F.lit(name)) for name, part in (("a", "label < 5"), ("b", "label >= 5"))]
+    both = found[0].union(found[1]).withColumn("n", F.row_number().over(Window.partitionBy("query").orderBy("distance", "row")))
+    return both.where("n <= 8").select("query", "row", "origin", "distance")

@@ -57,7 +57,7 @@ CASES = [
     (D.canonical_timeliness, [("现行有效", "valid"), ("N/A", "uncertain"), ("Valid", "valid"), ("?", "")]),
     (D.canonical_body_source, [("网页+文档", "both"), ("本地PDF", "downloaded_doc"), ("页面", "webpage"), (None, "webpage")]),
     (D.level, [(("中华人民共和国公司法", ""), "法律"), (("保险条例", ""), "行政法规"), (("保险规定", "银保监令"), "部门规章"), (("管理办法（试行）", ""), "规范性文件(试行/暂行)"), (("关于通知", ""), "规范性文件(通知/意见)"), ((None, None), "其他")]),
-    (lambda t, n: D.guise(t, n, "阳光"), [(("阳光办法", ""), "internal_history"), (("民法典", ""), "law"), (("某条例", ""), "admin_regulation"), (("某通知", "财会〔2017〕2号"), "department_rule"), (("某物", ""), "unknown")]),
+    (lambda t, n: D.guise(t, n, "本社"), [(("本社办法", ""), "internal_history"), (("民法典", ""), "law"), (("某条例", ""), "admin_regulation"), (("某通知", "财会〔2017〕2号"), "department_rule"), (("某物", ""), "unknown")]),
     (D.is_generic, [("《办法》", True), ("管理办法", False), (None, False)]),
     (D.is_body, [("国务院", True), ("自然资源标准化工作管理委员会", True), ("管理办法", False), ("部", False)]),
     (D.is_no_document, [("全国会议精神", True), ("统计资料", True), ("会议精神管理办法与其他的一切规定", False)]),
