@@ -141,6 +141,61 @@ def quoted(text: Column, least: int = 2, most: int = 80) -> Column:
     return F.array_distinct(F.filter(found, lambda x: F.length(x).between(least, most)))
 
 
+def year_of(text: Column) -> Column:
+    """The first four digits in a row; 未知 if there are none."""
+    found = F.regexp_extract(F.coalesce(text, F.lit("")), r"(\d{4})", 1)
+    return F.when(found == "", "未知").otherwise(found)
+
+
+def redacted(url: Column) -> Column:
+    """A URL without its query and fragment; other texts as they are."""
+    return F.when(url.rlike("^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]"), F.regexp_replace(url, r"[?#].*$", "")).otherwise(url)
+
+
+def safe_name(name: Column, fallback: str = "unnamed") -> Column:
+    """A name without characters that paths cannot have, outer blanks and final dots; `fallback` if nothing is left."""
+    t = F.regexp_replace(F.trim(F.regexp_replace(F.coalesce(name, F.lit("")), r"""[\\/:*?"<>|]+""", "_")), r"\.+$", "")
+    return F.when(t == "", fallback).otherwise(t)
+
+
+def alike(a: Column, b: Column, least: float = 0.82, inner: int = 6) -> Column:
+    """Whether two keys of titles stand for one document: equal, one in the other (`inner` characters or more), or alike.
+
+    Likeness is 1 - edits / length of the longer one, by Levenshtein's distance; empty keys are never alike.
+    """
+    filled_ = (F.length(a) > 0) & (F.length(b) > 0)
+    short, long_ = F.when(F.length(a) <= F.length(b), a).otherwise(b), F.when(F.length(a) <= F.length(b), b).otherwise(a)
+    held = (F.length(short) >= inner) & F.contains(long_, short)
+    near = 1 - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b), F.lit(1)) >= least
+    return F.coalesce(filled_ & ((a == b) | held | near), F.lit(False))
+
+
+def confusions_replaced(text: Column, confusions: dict[str, str]) -> Column:
+    """Text with wrongly read strings replaced in one pass; of two that begin at a place the longer counts."""
+    import re
+
+    keys = sorted(confusions, key=len, reverse=True)
+    pattern = "(" + "|".join(map(re.escape, keys)) + ")"
+    right = F.create_map(*(F.lit(x) for pair in confusions.items() for x in pair))
+    gaps, found = F.split(text, pattern), F.regexp_extract_all(text, F.lit(pattern), 1)
+    return F.array_join(F.zip_with(gaps, F.transform(found, lambda k: F.element_at(right, k)), lambda g, x: F.concat(g, F.coalesce(x, F.lit("")))), "")
+
+
+def controlled(raw: Column, values: dict[str, str], otherwise: str) -> Column:
+    """Struct (value, known): a controlled value by the text without white space, or the first key that it holds; else `otherwise`."""
+    t = F.regexp_replace(F.coalesce(raw, F.lit("")), r"(?U)\s+", "")
+    exact = F.coalesce(*(F.when(t == k, F.lit(v)) for k, v in values.items()))
+    held = F.coalesce(*(F.when(F.contains(t, F.lit(k)), F.lit(v)) for k, v in values.items() if k))
+    value = F.coalesce(exact, held)
+    return F.struct(F.coalesce(value, F.lit(otherwise)).alias("value"), value.isNotNull().alias("known"))
+
+
+def without_repeat(text: Column, least: int = 8, most: int = 40) -> Column:
+    """A title cut where its own beginning (`least` to `most` characters, the longest that is found) stands again."""
+    at = F.get(F.filter(F.transform(F.sequence(F.lit(most), F.lit(least), F.lit(-1)), lambda n: F.when((n <= F.length(text) - least) & (F.instr(F.substr(text, n + 1), F.substr(text, F.lit(1), n)) > 0), F.instr(F.substr(text, n + 1), F.substr(text, F.lit(1), n)) + n)), lambda x: x.isNotNull()), 0)
+    return F.when(at.isNotNull(), F.substr(text, F.lit(1), at - 1)).otherwise(text)
+
+
 def cosine(a: Column, b: Column) -> Column:
     """Cosine similarity of two arrays of numbers; 0 if one has no length."""
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)

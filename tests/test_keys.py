@@ -53,6 +53,13 @@ CASES = [
     (T.spaced, [("中文ABC中", "中文 ABC 中")]),
     (T.cut_long, [("甲" * 30 + "，因此" + "乙" * 30, ["甲" * 30 + "，", "因此", "乙" * 30]), ("甲" * 60, ["甲" * 60]), ("甲" * 60 + "。", []), ("短", []), (None, [])]),
     (T.unbroken, [("字" * 31 + "，" + "b" * 30, ["字" * 31])]),
+    (T.year_of, [("发布于2020年", "2020"), ("x", "未知"), (None, "未知")]),
+    (T.redacted, [("https://a.b/c?token=1#x", "https://a.b/c"), ("a?b", "a?b"), (None, None)]),
+    (T.safe_name, [('a/b:c*?.', "a_b_c_"), ("", "unnamed"), (None, "unnamed")]),
+    (T.alike, [(("管理办法的通知", "管理办法的通知"), True), (("保险销售管理办法", "关于保险销售管理办法的通知"), True), (("保险销售管理办法甲", "保险销售管理办法乙"), True), (("甲", "乙"), False), (("", ""), False), ((None, "a"), False)]),
+    (lambda c: T.confusions_replaced(c, {"己": "已", "己经": "已经", "日": "目"}), [("己经日己", "已经目已"), ("x", "x"), (None, None)]),
+    (lambda c: T.controlled(c, {"已执行": "executed", "部分": "partial"}, "not_executed")["value"], [("已 执行", "executed"), ("部分完成", "partial"), ("?", "not_executed"), (None, "not_executed")]),
+    (T.without_repeat, [("某某保险公司招聘管理办法某某保险公司招聘管理", "某某保险公司招聘管理办法"), ("管理办法", "管理办法"), ("甲乙丙丁戊己庚辛", "甲乙丙丁戊己庚辛")]),
     (D.canonical_source, [("XZFGK", "gov"), ("mof.gov.cn", "mof"), ("other", ""), (None, "")]),
     (D.canonical_timeliness, [("现行有效", "valid"), ("N/A", "uncertain"), ("Valid", "valid"), ("?", "")]),
     (D.canonical_body_source, [("网页+文档", "both"), ("本地PDF", "downloaded_doc"), ("页面", "webpage"), (None, "webpage")]),
