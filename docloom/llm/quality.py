@@ -13,7 +13,7 @@ from .common import cut, table
 BLANK = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = "[#*$%&|<>]"
-CLEAN = r"^[\p{L}\p{M}\p{N}'’-]+[.,;:!?]?$"
+CLEAN = r"(?<!\S)[\p{L}\p{M}\p{N}'’-]++[.,;:!?]?+(?!\S)"
 ENDED = r"[.!?][\x20\x09-\x0D]*$"
 WINDOW = 5
 #: A row is kept from this posterior probability of good quality on.
@@ -71,7 +71,7 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.regexp_count("_text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"), (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         F.size("_lines").cast("long").alias("n_lines"), F.regexp_count("_text", F.lit("[!?]")).cast("long").alias("n_marks"),
         F.length(F.regexp_replace("_text", r"\P{L}+", "")).alias("n_letters"), F.length(F.regexp_replace("_text", r"[^\p{L}\p{N}]+", "")).alias("n_alphanumeric"), F.length(F.regexp_replace("_text", r"\P{Lu}+", "")).alias("n_capitals"),
-        F.size(F.filter("_words", lambda w: w.rlike(CLEAN))).alias("n_clean_words"), F.size(F.array_distinct("_words")).alias("n_different"),
+        F.regexp_count("_text", F.lit(CLEAN)).alias("n_clean_words"), F.size(F.array_distinct("_words")).alias("n_different"),
         F.size(F.filter("_lines", lambda x: x.rlike(ENDED))).alias("n_ended_lines"),
         F.transform("_words", lambda w: F.xxhash64(w)).alias("_h"),
     )
@@ -119,12 +119,12 @@ def estimate(seen: np.ndarray, count: np.ndarray, names: list[str], rounds: int)
     return float(prior), {n: {-1: float(said[0][i]), 0: 0.0, 1: float(said[1][i])} for i, n in enumerate(names)}
 
 
-def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_from: float = KEEP_FROM) -> DataFrame:
+def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_from: float = KEEP_FROM, with_votes: bool = False) -> DataFrame:
     """Measures, votes and the posterior probability of good quality of every row.
 
     Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, quality. base_failed:
     under 10 words, or over a fifth of the words repeated. kept: not base_failed, and quality >= keep_from. Null and empty
-    texts count as no words and fail. Repeated rows are judged alike and all returned; an empty table gives no rows; other
+    texts count as no words and fail. With with_votes each rule's vote follows as a column of its name. Repeated rows are judged alike and all returned; an empty table gives no rows; other
     columns are left out.
     """
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
@@ -136,7 +136,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_
     for n in names:
         total = total + F.when(F.col(n) > 0, odds[n][1]).when(F.col(n) < 0, odds[n][-1]).otherwise(odds[n][0])
     out = votes.withColumn("quality", 1 / (1 + F.exp(-total)))
-    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & (F.col("quality") >= keep_from)).alias("kept"), "quality")
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & (F.col("quality") >= keep_from)).alias("kept"), "quality", *(F.col(f"_v_{n}").alias(n) for n in rules() if with_votes))
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

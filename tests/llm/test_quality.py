@@ -32,6 +32,8 @@ def test_measures(spark, documents):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     for r in measures(docs).collect():
         assert found(r) == plain(texts[r.doc_id])
+        words = re.findall(r"[^\x20\x09-\x0D]+", texts[r.doc_id] or "")
+        assert r.n_clean_words == sum(bool(re.fullmatch(r"[\w'’-]+[.,;:!?]?", w)) and "_" not in w for w in words)
     whole = {r.doc_id: r.text for r in documents.collect()}
     for r in judge(documents).collect():
         assert found(r) == plain(whole[r.doc_id])
@@ -80,11 +82,11 @@ def test_against_plain_em(spark):
 def test_agrees_with_labels_and_is_no_veto(spark):
     folder = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
-    votes = measures(docs).select("doc_id", *(v.alias(n) for n, v in rules().items()))
-    rows = judge(docs).where("not base_failed").join(labels.select("doc_id", F.col("quality").alias("label")), "doc_id", "left").join(votes, "doc_id").collect()
+    rows = judge(docs, with_votes=True).where("not base_failed").join(labels.select("doc_id", F.col("quality").alias("label")), "doc_id", "left").collect()
     good, bad = [r for r in rows if r.label == 1], [r for r in rows if r.label == 0]
     assert sum(r.kept for r in good) >= 0.999 * len(good) and sum(r.kept for r in bad) <= 0.03 * len(bad)
-    objections = [sum(r[n] < 0 for n in rules()) for r in rows]
+    names = list(rules())
+    objections = [sum(r[n] < 0 for n in names) for r in rows]
     assert any(k and r.kept for k, r in zip(objections, rows)), "an objection is no veto"
 
 
