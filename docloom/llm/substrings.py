@@ -108,8 +108,9 @@ def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = np.zeros(len(r), bool)
         before[~again] = seen.later(r[~again], d[~again], s[~again])
         known[order] = inside | before[head]
-        part = np.where(known, keys ^ starts, anchor.view(np.int64))
-        columns = [part, region, docs, keys, starts, last + begin, known]
+        # Known rows of a text stay together, as such rows take less room in the shuffle; each chunk deals them anew.
+        part = np.where(known, keys ^ np.array([digest(data)], np.uint64).view(np.int64)[0], anchor.view(np.int64))
+        columns = [part, np.where(known, 0, region), docs, keys, starts, last + begin, known]
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["part", "region", "doc", "key", "start", "last", "known"])
 
 
