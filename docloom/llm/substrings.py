@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored, table
+from .common import cut, stored, table
 from .simhash import whole_groups
 
 WINDOW = 100
@@ -24,6 +24,10 @@ CHUNK = 1 << 21
 WIDE = 8_000
 #: Regions that a task remembers while it reads on, in a table of so many slots.
 SLOTS = 1 << 20
+#: One text in so many is looked at for anchors that many regions share.
+SAMPLED = 64
+#: What a row of `anchors` is: dealt by its anchor, known to be a repeat, or dealt by its region as its anchor is hot.
+PLAIN, KNOWN, HOT = 0, 1, 2
 
 _BYTE = np.random.default_rng(11).integers(1, 1 << 63, 256, np.uint64)
 
@@ -63,28 +67,31 @@ def anchored(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 class _Seen:
-    """The least place seen of some regions, one to a slot; a region may lose its slot to another one."""
+    """The least place seen of some regions, one to a slot; a region may lose its slot to another one.
+
+    Regions are told by two 64-bit hashes, of their bytes and of their anchor.
+    """
 
     def __init__(self):
-        self.region, self.doc, self.start = (np.zeros(SLOTS, np.int64) for _ in range(3))
+        self.region, self.anchor, self.doc, self.start = (np.zeros(SLOTS, np.int64) for _ in range(4))
         self.used = np.zeros(SLOTS, bool)
 
-    def later(self, region: np.ndarray, doc: np.ndarray, start: np.ndarray) -> np.ndarray:
+    def later(self, region: np.ndarray, anchor: np.ndarray, doc: np.ndarray, start: np.ndarray) -> np.ndarray:
         """Whether a lesser place of each region has been seen; the other places are remembered."""
         at = region & (SLOTS - 1)
-        later = self.used[at] & (self.region[at] == region) & ((self.doc[at] < doc) | ((self.doc[at] == doc) & (self.start[at] < start)))
+        later = self.used[at] & (self.region[at] == region) & (self.anchor[at] == anchor) & ((self.doc[at] < doc) | ((self.doc[at] == doc) & (self.start[at] < start)))
         own = np.flatnonzero(~later)
         self.used[at[own]] = True
-        self.region[at[own]], self.doc[at[own]], self.start[at[own]] = region[own], doc[own], start[own]
+        self.region[at[own]], self.anchor[at[own]], self.doc[at[own]], self.start[at[own]] = region[own], anchor[own], doc[own], start[own]
         return later
 
 
-def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """part, region, doc, key, start, last, known: a row for each anchor of doc, key, text.
+def anchors(batches: Iterator[pa.RecordBatch], hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """part, region, doc, key, start, last, kind: a row for each anchor of doc, key, text.
 
     region: digest of all bytes of the anchor's windows. Rows of one task with the same region mostly meet here already: all
-    but the earliest are known to be repeats, and are dealt by another key. So of a passage that many texts share, a task
-    sends few rows to the part of its anchor, whatever the number of copies.
+    but the earliest are KNOWN to be repeats, and are dealt by another key. So of a passage that many texts share, a task
+    sends few rows to the part of its anchor, whatever the number of copies. Anchors in `hot` (sorted) are dealt by region.
     """
     seen = _Seen()
     for doc, key, texts in _chunks(batches):
@@ -94,24 +101,26 @@ def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchor, first, last = anchored(np.frombuffer(data, np.uint8), ends)
         if not len(anchor):
             continue
+        anchor = anchor.view(np.int64)
         text = np.searchsorted(ends, first, "right")
         begin = np.array([b for b, _ in texts], np.int64)[text] - (ends - size)[text]
         digest = xxhash.xxh3_64_intdigest
         region = np.fromiter((digest(data[a : b + WINDOW]) for a, b in zip(first.tolist(), last.tolist())), np.uint64, len(first)).view(np.int64)
         docs, keys, starts = np.array(doc, np.int64)[text], np.array(key, np.int64)[text], first + begin
-        order = np.lexsort((starts, docs, region))
+        order = np.lexsort((starts, docs, anchor, region))
         known = np.zeros(len(first), bool)
-        r, d, s = region[order], docs[order], starts[order]
-        again = np.r_[False, r[1:] == r[:-1]]
+        r, a, d, s = region[order], anchor[order], docs[order], starts[order]
+        again = np.r_[False, (r[1:] == r[:-1]) & (a[1:] == a[:-1])]
         head = np.maximum.accumulate(np.where(again, 0, np.arange(len(r))))
         inside = again & ((d != d[head]) | (s != s[head]))
         before = np.zeros(len(r), bool)
-        before[~again] = seen.later(r[~again], d[~again], s[~again])
+        before[~again] = seen.later(r[~again], a[~again], d[~again], s[~again])
         known[order] = inside | before[head]
         # Known rows of a text stay together, as such rows take less room in the shuffle; each chunk deals them anew.
-        part = np.where(known, keys ^ np.array([digest(data)], np.uint64).view(np.int64)[0], anchor.view(np.int64))
-        columns = [part, np.where(known, 0, region), docs, keys, starts, last + begin, known]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["part", "region", "doc", "key", "start", "last", "known"])
+        is_hot = ~known & np.isin(anchor, hot)
+        part = np.where(known, keys ^ np.array([digest(data)], np.uint64).view(np.int64)[0], np.where(is_hot, anchor ^ region, anchor))
+        columns = [part, np.where(known, 0, region), docs, keys, starts, last + begin, np.where(known, KNOWN, np.where(is_hot, HOT, PLAIN)).astype(np.int8)]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["part", "region", "doc", "key", "start", "last", "kind"])
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list[int], list[tuple[int, bytes]]]]:
@@ -135,21 +144,63 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list
 
 
 def sort_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From anchors sorted by part, region, doc, start: repeats of a whole region (variant: false), and, where an anchor
-    has several regions, the earliest place of each (variant: true)."""
-    for rows in whole_groups(batches):
-        part, region, doc, key, start, last, known = (rows.column(i).to_numpy() for i in (0, 2, 3, 4, 5, 6, 7))
-        fresh = np.r_[True, (part[1:] != part[:-1]) | (region[1:] != region[:-1]) | known[1:] | known[:-1]]
-        head = np.maximum.accumulate(np.where(fresh, np.arange(len(part)), 0))
-        tied = (doc == doc[head]) & (start == start[head])
-        lead = fresh & ~known
-        group = np.cumsum(np.r_[True, part[1:] != part[:-1]]) - 1
-        several = np.bincount(group, weights=lead)[group] > 1
-        removed, variant = known | ~(fresh | tied), (lead | tied & ~known) & several
-        for mask, is_variant in ((removed, False), (variant, True)):
-            if mask.any():
-                columns = [part[mask], doc[mask], key[mask], start[mask], last[mask], np.full(mask.sum(), is_variant)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["part", "doc", "key", "start", "last", "variant"])
+    """From anchors sorted by part, region, doc, start, key: repeats of a whole region (variant: -1), and, where an anchor
+    has several regions, the earliest place of each (variant: PLAIN, or HOT for regions of hot anchors).
+
+    Rows are read on batch by batch. Between batches the first row of the region is kept, and, as long as an anchor has
+    one region, its earliest place; so no anchor is held as a whole.
+    """
+    names = ["part", "doc", "key", "start", "last", "variant"]
+    head: list[np.ndarray] | None = None
+    regions, waiting, tail = 0, [], None
+
+    def out(rows: list[np.ndarray], mask: np.ndarray, variant: np.ndarray) -> pa.RecordBatch:
+        part, _, doc, key, start, last, _ = rows
+        return pa.RecordBatch.from_arrays([pa.array(c[mask]) for c in (part, doc, key, start, last, variant.astype(np.int8))], names=names)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        old = 0 if head is None else 1  # the rows of the region's head come first, and have been told already
+        rows = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        if head is not None:
+            rows = [np.r_[h, c] for h, c in zip(head, rows)]
+        part, region, doc, key, start, last, kind = rows
+        n, known = len(part), kind == KNOWN
+        new_part = np.r_[True, part[1:] != part[:-1]]
+        fresh = new_part | np.r_[True, (region[1:] != region[:-1]) | known[1:] | known[:-1]]
+        first = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
+        told = np.arange(n) < old
+        repeated = ~fresh & np.r_[False, (doc[1:] == doc[:-1]) & (start[1:] == start[:-1]) & (key[1:] == key[:-1])]
+        if tail is not None and len(part) > 1:
+            repeated[1] = not known[1] and tail == (part[1], region[1], doc[1], start[1], key[1])
+        tied = (doc == doc[first]) & (start == start[first])
+        group = np.cumsum(new_part) - 1
+        counts = np.bincount(group, weights=fresh & ~known & ~told).astype(int)
+        if old:
+            counts[0] += regions
+        else:
+            waiting = []
+        last_group = group[-1]
+        mine = tied & ~known & ~repeated & ~told
+        variant = mine & ((counts[group] > 1) | (kind == HOT))
+        if waiting and counts[0] > 1:
+            yield from waiting
+            waiting = []
+        if last_group > 0:
+            waiting = []
+        removed = ~told & ~repeated & (known | ~tied)
+        if removed.any():
+            yield out(rows, removed, np.full(n, -1))
+        if variant.any():
+            yield out(rows, variant, kind)
+        if counts[last_group] <= 1:
+            undecided = mine & ~variant & (group == last_group)
+            if undecided.any():
+                waiting.append(out(rows, undecided, kind))
+        regions = int(counts[last_group])
+        head = [c[first[-1] : first[-1] + 1] for c in rows]
+        tail = None if known[-1] else (part[-1], region[-1], doc[-1], start[-1], key[-1])
 
 
 def run_length_index(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -244,14 +295,30 @@ def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each window of the variants of wide groups: part, digest, doc, key, start."""
+    """A row for each window of the variants of wide groups: digest, doc, key, start."""
     for batch in batches:
         out = []
-        for part, _, doc, key, start, text in zip(*(c.to_pylist() for c in batch.columns)):
-            out += [(part, xxhash.xxh3_128_digest(text[i : i + WINDOW]), doc, key, start + i) for i in range(len(text) - WINDOW + 1)]
+        for _, _, doc, key, start, text in zip(*(c.to_pylist() for c in batch.columns)):
+            out += [(xxhash.xxh3_128_digest(text[i : i + WINDOW]), doc, key, start + i) for i in range(len(text) - WINDOW + 1)]
         if out:
-            kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["part", "digest", "doc", "key", "start"])
+            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["digest", "doc", "key", "start"])
+
+
+ANCHORS = "part long, region long, doc long, key long, start long, last long, kind byte"
+
+
+def hot_anchors(docs: DataFrame) -> np.ndarray:
+    """Anchors that hold more than a quarter of an average partition, by one text in SAMPLED; so there are few.
+
+    They are only dealt in another way; what meets in the end is the same, whichever anchors the sample shows.
+    """
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    some = docs.where(F.pmod(F.xxhash64("key", F.lit(9)), F.lit(SAMPLED)) == 0)
+    nothing = np.zeros(0, np.int64)
+    counts = cut(some.mapInArrow(lambda batches: anchors(batches, nothing), ANCHORS).where(F.col("kind") == PLAIN).groupBy("part").count())
+    total = counts.agg(F.sum("count")).first()[0] or 0
+    return np.sort(np.array([r[0] for r in counts.where((F.col("count") > total / (4 * n)) & (F.col("count") * SAMPLED > WIDE)).select("part").collect()], np.int64))
 
 
 def repeats(docs: DataFrame) -> DataFrame:
@@ -260,38 +327,45 @@ def repeats(docs: DataFrame) -> DataFrame:
     The corpus is dealt to blocks so that equal windows always meet: by their anchors. Where all windows of an anchor agree
     with an earlier place (its region), the region is a repeat, whatever the number of copies; what is left to compare is
     one place of each region of those anchors that have several, the edges of the repeated passages. A task indexes a
-    block of these and marks the windows that match an earlier one.
+    block of these and marks the windows that match an earlier one. Anchors with many different regions are dealt by
+    region, and their windows then meet one by one, by digests. Rows with equal doc and key are cut once.
     """
-    sorted_rows = docs.mapInArrow(anchors, "part long, region long, doc long, key long, start long, last long, known boolean").repartition("part").sortWithinPartitions("part", "region", "doc", "start")
-    parted = sorted_rows.select("part", F.col("part").alias("same"), "region", "doc", "key", "start", "last", "known").mapInArrow(sort_regions, "part long, doc long, key long, start long, last long, variant boolean")
-    found = stored(parted)
-    removed = found.where("not variant").select("doc", "key", "start", "last")
-    variants = found.where("variant")
-    wide = [r["part"] for r in variants.groupBy("part").count().where(F.col("count") > WIDE).select("part").limit(1).collect()]
-    asked = variants.groupBy("doc", "key").agg(F.collect_list(F.struct("part", "start", "last")).alias("places"))
-    texts = docs.join(asked.select(F.col("doc").alias("_d"), F.col("key").alias("_k"), "places"), (F.col("doc") == F.col("_d")) & (F.col("key") == F.col("_k"))).select("doc", "key", "text", "places")
-    cuts = texts.mapInArrow(_cut_out, "part long, same long, doc long, key long, start long, bytes binary")
-    if wide:
+    hot = hot_anchors(docs)
+    sorted_rows = docs.mapInArrow(lambda batches: anchors(batches, hot), ANCHORS).repartition("part").sortWithinPartitions("part", "region", "doc", "start", "key")
+    found = stored(sorted_rows.mapInArrow(sort_regions, "part long, doc long, key long, start long, last long, variant byte"))
+    removed = found.where("variant < 0").select("doc", "key", "start", "last")
+    cuts = cut_outs(docs, found.where("variant >= 0"))
+    sizes = found.where(F.col("variant") == PLAIN).groupBy(F.col("part").alias("_part")).count()
+    wide = sizes.where(F.col("count") > WIDE).select("_part")
+    if wide.limit(1).count() or found.where(F.col("variant") == HOT).limit(1).count():
         cuts = stored(cuts)
-        groups = variants.groupBy("part").count().where(F.col("count") > WIDE).select(F.col("part").alias("_part"))
-        each = cuts.join(groups, F.col("part") == F.col("_part"), "left_semi").mapInArrow(digests, "part long, digest binary, doc long, key long, start long")
-        first = each.groupBy(F.col("part").alias("_p"), F.col("digest").alias("_g")).agg(F.min(F.struct("doc", "start")).alias("_first"))
-        late = each.join(first, (F.col("part") == F.col("_p")) & (F.col("digest") == F.col("_g"))).where(F.struct("doc", "start") > F.col("_first"))
+        many = cuts.where(F.col("variant") == HOT).union(cuts.join(wide, F.col("part") == F.col("_part"), "left_semi").where(F.col("variant") == PLAIN))
+        each = many.select("part", "same", "doc", "key", "start", "bytes").mapInArrow(digests, "digest binary, doc long, key long, start long")
+        first = each.groupBy(F.col("digest").alias("_g")).agg(F.min(F.struct("doc", "start")).alias("_first"))
+        late = each.join(first, F.col("digest") == F.col("_g")).where(F.struct("doc", "start") > F.col("_first"))
         removed = removed.union(late.select("doc", "key", "start", F.col("start").alias("last")))
-        cuts = cuts.join(groups, F.col("part") == F.col("_part"), "left_anti")
-    compared = cuts.repartition("part").sortWithinPartitions("part", "doc", "start").mapInArrow(compare, "doc long, key long, start long, last long")
+        cuts = cuts.where(F.col("variant") == PLAIN).join(wide, F.col("part") == F.col("_part"), "left_anti")
+    compared = cuts.select("part", "same", "doc", "key", "start", "bytes").repartition("part").sortWithinPartitions("part", "doc", "start").mapInArrow(compare, "doc long, key long, start long, last long")
     return removed.union(compared)
 
 
+def cut_outs(docs: DataFrame, variants: DataFrame) -> DataFrame:
+    """(part, same, variant, doc, key, start, bytes) of the variants' places, cut once from one row of each doc and key."""
+    asked = variants.groupBy("doc", "key").agg(F.collect_set(F.struct("part", "variant", "start", "last")).alias("places"))
+    met = docs.join(asked.select(F.col("doc").alias("_d"), F.col("key").alias("_k"), "places"), (F.col("doc") == F.col("_d")) & (F.col("key") == F.col("_k")))
+    texts = met.groupBy("doc", "key").agg(F.first("text").alias("text"), F.first("places").alias("places"))
+    return texts.mapInArrow(_cut_out, "part long, same long, variant byte, doc long, key long, start long, bytes binary")
+
+
 def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
         for doc, key, text, places in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
             data = (text.as_py() or "").encode()
-            out += [(p["part"], p["part"], doc, key, p["start"], data[p["start"] : p["last"] + WINDOW]) for p in places.as_py()]
+            out += [(p["part"], p["part"], p["variant"], doc, key, p["start"], data[p["start"] : p["last"] + WINDOW]) for p in places.as_py()]
         if out:
-            kinds = (pa.int64(),) * 5 + (pa.binary(),)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["part", "same", "doc", "key", "start", "bytes"])
+            kinds = (pa.int64(), pa.int64(), pa.int8(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["part", "same", "variant", "doc", "key", "start", "bytes"])
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -70,3 +70,46 @@ def test_odd_rows(odd_docs, no_docs):
     assert len(rows) == odd_docs.count() and S.dedup(no_docs).count() == 0
     assert [(r.n_bytes > 0, r.n_removed == r.n_bytes) for r in rows if r.doc_id == 4] == [(True, True)]
     assert all(r.n_removed == 0 for r in rows if r.doc_id in (1, 2, 5, 6, 7))
+
+
+def test_hot_anchors_are_dealt_by_region(spark, monkeypatch):
+    monkeypatch.setattr(S, "SAMPLED", 1)
+    monkeypatch.setattr(S, "WIDE", 4)
+    rnd = random.Random(8)
+    docs = [(i, "".join(rnd.choice("xyz ") for _ in range(rnd.randint(30, 90))) + "-" * rnd.randint(33, 150) + f"{i}" * 40) for i in range(80)]
+    rows = spark.createDataFrame([(d, d, t) for d, t in docs], "doc long, key long, text string")
+    assert len(S.hot_anchors(rows))
+    check(spark, docs)
+
+
+def test_repeated_rows_are_cut_once(spark, monkeypatch):
+    rnd = random.Random(9)
+    text = "".join(rnd.choice("abc ") for _ in range(400))
+    docs = [(1, text)] * 2000 + [(2, text[:200] + "#" + text[200:])]
+    asked, cut_outs = [], S.cut_outs
+    monkeypatch.setattr(S, "cut_outs", lambda docs, variants: asked.append(cut_outs(docs, variants)) or asked[-1])
+    rows = S.dedup(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()
+    assert asked[0].count() < 100
+    assert [(r.n_removed, r.n_bytes) for r in rows if r.doc_id == 1] == [(0, 400)] * 2000
+    assert [(r.n_removed, r.n_spans) for r in rows if r.doc_id == 2] == [(400, 2)]
+
+
+def test_regions_across_batches():
+    """Whatever the size of batches, sort_regions tells the same rows."""
+    import pyarrow as pa
+
+    rnd = random.Random(10)
+    rows = sorted((rnd.randint(0, 12), rnd.randint(0, 2), rnd.randint(0, 2), rnd.randint(0, 1), k) for k in (rnd.randint(0, 1) for _ in range(300)))
+    columns = [[p for p, *_ in rows], [r for _, r, *_ in rows], [d for _, _, d, *_ in rows], [k for *_, k in rows], [s for *_, s, _ in rows], [s + 1 for *_, s, _ in rows], [S.HOT if p == 3 else S.PLAIN for p, *_ in rows]]
+    kinds = [pa.int64()] * 6 + [pa.int8()]
+    table = pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["part", "region", "doc", "key", "start", "last", "kind"])
+    told = [sorted(tuple(r.values()) for b in S.sort_regions(iter(table.to_batches(n))) for r in b.to_pylist()) for n in (1, 2, 3, 7, 50, 1000)]
+    assert all(x == told[0] for x in told)
+    for p in {r[0] for r in rows}:
+        heads = {}
+        for part, region, doc, start, key in (r for r in rows if r[0] == p):
+            heads.setdefault(region, (doc, start))
+        want = {(p, d, k, s, s + 1, -1) for _, r, d, s, k in (x for x in rows if x[0] == p) if (d, s) != heads[r]}
+        if len(heads) > 1 or p == 3:
+            want |= {(p, d, k, s, s + 1, S.HOT if p == 3 else S.PLAIN) for _, r, d, s, k in (x for x in rows if x[0] == p) if (d, s) == heads[r]}
+        assert {t for t in told[0] if t[0] == p} == want
