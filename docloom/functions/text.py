@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .keys import bound
+
 #: Fixed: the range of Han characters; blanks other than the plain one; replacement and box characters.
 HAN, UNUSUAL_BLANKS, GARBLE = "一-鿿", "\\u00a0\\u2002\\u2003\\u2007\\u2009\\u200a\\u202f\\u205f", "[�▇□■◇◆●○◎※→←↑↓＊①-⑩]"
 #: Fixed: left-overs of web pages.
@@ -12,6 +16,9 @@ NOISE = [
     r"版权所有\s*[©]?.*?(?:京ICP备\d+号|保留所有权利|技术支持).{0,60}", r"网站标识码[:：]?\d{10,}", r"主办单位[:：].{0,80}", r"地址[:：].{0,60}", r"邮编[:：]\d{6}", r"联系电话[:：][0-9\-（）()]{5,20}", r"无障碍浏览.{0,40}",
     r"分享到[:：]?[微信微博QQ空间]*", r"扫一扫.{0,40}", r"打印本页|关闭窗口|返回顶部", r"document\.write\(.*?\)", r"var\s+\w+\s*=.*?;", r"function\s+\w+\s*\(.*?\)\s*\{.*?\}",
 ]
+#: How the left-overs begin: in Han characters, and as a script.
+NOISE_HEADS = ["版权所有", "网站标识码", "主办单位", "地址", "邮编", "联系电话", "无障碍浏览", "分享到", "扫一扫", "打印本页", "关闭窗口", "返回顶部"]
+SCRIPT_HEADS = r"(?isU)document\.write\(|function\s+\w+\s*\(|var\s+\w+\s*="
 #: Fixed: words in the heads of tables; conjunctions that long sentences are cut before; shapes and formats of dates.
 TABLE_WORDS = ["序号", "项目", "金额", "单位", "名称", "数量", "备注", "指标", "合计", "总计", "科目", "收入", "支出", "同比", "环比"]
 CONJUNCTIONS = ["因为", "所以", "但是", "然而", "于是", "此外", "同时", "因此", "鉴于"]
@@ -27,11 +34,16 @@ def filled(text: Column) -> Column:
     return F.when(F.upper(t).isin("", "N/A", "NA", "NULL", "NONE"), "").otherwise(t)
 
 
-def plain_space(text: Column, keep_lines: bool = True) -> Column:
-    """Control and zero-width characters removed, line ends unified, unusual blanks deleted between Han characters and made
-    plain elsewhere, blanks collapsed. With keep_lines three or more line ends are cut to two, without they become blanks."""
-    t = F.regexp_replace(text, r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]", "")
-    t = F.regexp_replace(t, "[\\u200b-\\u200d\\u2060\\ufeff]", "")
+@bound
+def _edged(text: Column) -> Column:
+    """text without white space at its ends."""
+    at_an_end = F.concat(F.left(text, F.lit(1)), F.right(text, F.lit(1))).rlike(r"(?U)\s")
+    return F.when(at_an_end, F.regexp_replace(text, r"(?U)^\s+|\s+$", "")).otherwise(text)
+
+
+@bound
+def _spaced_plainly(text: Column, keep_lines: bool) -> Column:
+    t = F.regexp_replace(text, "[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F\\x7F\\u200b-\\u200d\\u2060\\ufeff]", "")
     t = F.regexp_replace(t, r"\r\n?", "\n")
     t = F.regexp_replace(t, f"(?<=[{HAN}])[{UNUSUAL_BLANKS}]+(?=[{HAN}])", "")
     t = F.regexp_replace(t, f"[{UNUSUAL_BLANKS}]", " ")
@@ -39,21 +51,36 @@ def plain_space(text: Column, keep_lines: bool = True) -> Column:
         t = F.regexp_replace(F.regexp_replace(t, "[ \t\\u3000]+", " "), "\n{3,}", "\n\n")
     else:
         t = F.regexp_replace(F.replace(t, F.lit("\n"), F.lit(" ")), "[ \t\\u3000]+", " ")
-    return F.regexp_replace(t, r"(?U)^\s+|\s+$", "")
+    touched = f"[\\x00-\\x09\\x0B-\\x1F\\x7F\\u200b-\\u200d\\u2060\\ufeff\\u3000{UNUSUAL_BLANKS}]|  " + ("|\n\n\n" if keep_lines else "|\n")
+    return F.when(text.rlike(touched), t).otherwise(text)
 
 
-def denoised(text: Column, keep_lines: bool = False) -> Column:
-    """Text without footers, navigation and script left-overs of web pages (NOISE)."""
-    t = F.coalesce(text, F.lit(""))
+def plain_space(text: Column, keep_lines: bool = True) -> Column:
+    """Control and zero-width characters removed, line ends unified, unusual blanks deleted between Han characters and made
+    plain elsewhere, blanks collapsed. With keep_lines three or more line ends are cut to two, without they become blanks.
+    Texts in which there is nothing to change are read once."""
+    return _edged(_spaced_plainly(text, keep_lines))
+
+
+@bound
+def _without_noise(text: Column) -> Column:
+    han = reduce(Column.__or__, [F.contains(text, F.lit(h)) for h in NOISE_HEADS])
+    script = (F.contains(text, F.lit("(")) | F.contains(text, F.lit("="))) & text.rlike(SCRIPT_HEADS)
+    t = text
     for pattern in NOISE:
         t = F.regexp_replace(t, f"(?isU){pattern}", " ")
-    return plain_space(t, keep_lines)
+    return F.when(han | script, t).otherwise(text)
+
+
+def denoised(text: Column, keep_lines: bool = False) -> Column:
+    """Text without footers, navigation and script left-overs of web pages (NOISE); texts without any of their heads pass."""
+    return plain_space(_without_noise(F.coalesce(text, F.lit(""))), keep_lines)
 
 
 def clean_body(text: Column, keep_lines: bool = False) -> Column:
     """A body denoised, with plain white space and without replacement and box characters."""
     t = F.regexp_replace(denoised(text, keep_lines), GARBLE, "")
-    return F.regexp_replace(F.regexp_replace(t, "\n{3,}", "\n\n") if keep_lines else t, r"(?U)^\s+|\s+$", "")
+    return _edged(F.regexp_replace(t, "\n{3,}", "\n\n") if keep_lines else t)
 
 
 def single_lead(text: Column) -> Column:

@@ -96,6 +96,84 @@ TAIL = r"^(\d{4}年\d{1,2}月\d{1,2}日|[一二三四五六七八九〇零十]{4
 CUT_START, CUT_END = r"^([、，；：,;:]|的|规定)", r"(和|与|或|及|以及|、|按照|根据|依照)$"
 
 
+#: Fixed: what cannot stand before a mark that opens a line: connectives, closing quotes, letters and digits; closing
+#: brackets, which can before a chapter; ends of sentences; marks that a reference goes on with.
+NO_HEAD, CLOSERS, ENDS, GOES_ON = "、，,;；:：”」』》一-鿿A-Za-z0-9０-９Ａ-Ｚａ-ｚ", "）)】\\]", "。！？…", "[项款目条章节个是、，]"
+#: Fixed: marks of an outline's levels; what ends a document: appendices, interviews, distribution; signing bodies.
+CHINESE = "[零〇一二两三四五六七八九十百千]"
+LEVELS = [rf"{CHINESE}{{1,6}}[、．.](?!\d)", rf"[（(【\[]\s*{CHINESE}{{1,6}}\s*[）)】\]]", r"\d{1,3}\s*[、．.](?!\d)", r"[—\-–]{1,2}(?!\d)"]
+TAIL_MARKS = [r"附\s*[：:]", "答记者问", "此件发至"]
+SIGNERS = [
+    "中国银保监会", "中国银监会", "中国保监会", "中国银行保险监督管理委员会", "银保监会", "银监会", "中国人民银行", "人民银行", "金融监管总局",
+    "国家金融监督管理总局", "国务院", "财政部", "证监会", "民政部", "发展改革委", "税务总局", "国家外汇管理局", "审计署",
+]
+
+
+def parse_text(text: Column) -> Column:
+    """Text as it is parsed: unusual blanks out between Han characters and plain elsewhere, and no blanks after Chinese marks
+    or between Han characters and Latin ones. Only white space changes."""
+    odd = "\\u00a0\\u2002\\u2003\\u2007\\u2009\\u200a\\u202f\\u205f\\u200b\\u200c\\u200d\\ufeff"
+    t = F.regexp_replace(F.coalesce(text, F.lit("")), f"(?<=[一-鿿])[{odd}]+(?=[一-鿿])", "")
+    t = F.regexp_replace(F.regexp_replace(t, f"[{odd}]", " "), r"(?<=[，；、：,;])[ \t]+(?=[一-鿿0-9A-Za-z（(])", "")
+    return F.regexp_replace(t, r"(?<=[一-鿿])[ \t]+(?=[0-9A-Za-z])|(?<=[0-9A-Za-z])[ \t]+(?=[一-鿿])", "")
+
+
+def segmented(text: Column) -> Column:
+    """Running text with a line for each chapter and article, so that `articles` finds them.
+
+    A mark opens a line unless what stands before it makes it a reference (NO_HEAD; closing brackets do before an article,
+    if no sentence ends before them). The first article after a chapter's heading always does, and so does a chapter or
+    section that is glued to a heading.
+    """
+    mark = rf"第\s*(?:{NUMERAL})\s*"
+    t = F.regexp_replace(F.coalesce(text, F.lit("")), f"(?<![{NO_HEAD}{CLOSERS}])(?={mark}[章条])", "\n")
+    t = F.regexp_replace(t, f"(?<=[{CLOSERS}])(?={mark}章)|(?<=[{ENDS}][{CLOSERS}])(?={mark}条)", "\n")
+    short = r"[^\n。！？，；、：:]"
+    t = F.regexp_replace(t, rf"(?m)^(\s*{mark}章{short}{{0,40}}?)(?={mark}[章节](?!\s*[的之和与及等所中内前后、，。；:：]){short}{{1,60}}$)", "$1\n")
+    t = F.regexp_replace(t, rf"(?m)^(\s*{mark}章[^\n]*?)(?={mark}条)", "$1\n")
+    return F.regexp_replace(F.regexp_replace(t, r"[ \t]*\n\s*", "\n"), r"^\s+|\s+$", "")
+
+
+def outlined(text: Column) -> Column:
+    """Running text with a line for each mark of an outline after the end of a sentence or a blank, and for marks of a lower
+    level that are glued to a short heading, if they are no reference and twenty characters with a full stop follow."""
+    t = F.regexp_replace(F.coalesce(text, F.lit("")), f"(?<=[{ENDS}；:：\\s])(?={'|'.join(LEVELS)})", "\n")
+    deeper = {LEVELS[0]: [LEVELS[1], LEVELS[2]], LEVELS[1]: [LEVELS[2]]}
+    for lead, inner in deeper.items():
+        t = F.regexp_replace(t, rf"(?m)^(\s*(?:{lead})[^\n。！？]{{0,40}}?)(?=(?:{'|'.join(inner)})(?!\s*{GOES_ON})(?=[^\n]{{20,}})[^\n]*[。；])", "$1\n")
+    return F.regexp_replace(F.regexp_replace(t, r"[ \t]*\n\s*", "\n"), r"^\s+|\s+$", "")
+
+
+def tail_cut(text: Column, share: float = 0.15, least: int = 400) -> Column:
+    """Struct (text, removed): text up to its tail, and how many characters the tail has.
+
+    A tail begins, in the last `least` characters or `share` of the text, at a TAIL_MARK, at a notice of a joint release, or
+    at a signature (bodies and a date) that only a note follows. Without one nothing is removed.
+    """
+    signers = "|".join(SIGNERS)
+    signed = rf"(?:{signers})(?:\s*(?:{signers}))*\s*\d{{4}}\s*年\s*\d{{1,2}}\s*月\s*\d{{1,2}}\s*日(?=[\s　（(【\[].{{0,80}}?[）)】\]]?$)"
+    released = rf"(?:{signers})[^。！？]{{0,16}}?联合发布《[^》]{{0,80}}》"
+    marks = "|".join([*TAIL_MARKS, released, signed])
+    t = F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)\s+$", "")
+    zone = F.greatest(F.lit(least), F.floor(F.length(t) * share).cast("int"))
+    head = F.substr(t, F.lit(1), F.greatest(F.length(t) - zone, F.lit(0)))
+    rest = F.regexp_replace(F.right(t, zone), f"(?s)(?:{marks}).*$", "")
+    kept = F.regexp_replace(F.concat(head, rest), r"(?U)^\s+|\s+$", "")
+    cut = F.length(head) + F.length(rest) < F.length(t)
+    return F.struct(F.when(cut, kept).otherwise(t).alias("text"), (F.length(t) - F.length(head) - F.length(rest)).alias("removed"))
+
+
+def clamped(chapters: DataFrame, clauses: DataFrame) -> DataFrame:
+    """chapters (doc, number, article) with `article` put inside its text's articles (1 to their number), whether it was not
+    (clamped), and whether it lies before that of the chapter above it (steps_back). Texts without articles keep theirs."""
+    size = clauses.groupBy(F.col("doc").alias("_d")).agg(F.count(F.lit(1)).alias("_n"))
+    met = chapters.join(size, F.col("doc") == F.col("_d"), "left")
+    inside = F.when(F.col("_n").isNull(), F.col("article")).otherwise(F.greatest(F.lit(1), F.least(F.coalesce("article", F.lit(1)), F.col("_n"))))
+    rows = met.withColumn("_a", inside).withColumn("clamped", ~F.col("_a").eqNullSafe(F.col("article")))
+    before = F.max("_a").over(Window.partitionBy("doc").orderBy("number").rowsBetween(Window.unboundedPreceding, -1))
+    return rows.withColumn("steps_back", F.coalesce(F.col("_a") < before, F.lit(False))).select("doc", "number", F.col("_a").alias("article"), "clamped", "steps_back")
+
+
 def without_tail(docs: DataFrame, doc: str = "doc_id", text: str = "text", tail: str = TAIL) -> DataFrame:
     """(doc, line, text): lines up to the last one that is no part of a document's tail."""
     rows = lines(docs, doc, text)

@@ -111,11 +111,11 @@ def fill_missing(df: DataFrame, columns: list[str], defaults: dict[str, str] | N
     return traced.withColumns({c: F.when(x, (defaults or {}).get(c, "")).otherwise(F.col(c)) for c, x in lost.items()})
 
 
-def cleaned(records: DataFrame, required: list[str], text: str = "body_text", key: str = "dedup_key", order: str = "index_no") -> tuple[DataFrame, DataFrame]:
-    """(cleaned, quarantined) of mapped records.
+def cleaned_rows(records: DataFrame, required: list[str], text: str = "body_text", key: str = "dedup_key", order: str = "index_no") -> DataFrame:
+    """Mapped records, cleaned, with `errors`: the names of required values that they lack, or null.
 
     Bodies are cleaned and sentences counted, dates and timeliness made normal, missing values filled and traced; the first
-    row of each key stays; rows without a required value go to quarantine with the names of what they lack.
+    row of each key stays.
     """
     body = T.clean_body(F.col(text), keep_lines=True)
     rows = records.withColumn(text, body).withColumn("n_sentences", F.size(T.sentences(F.col(text))))
@@ -124,9 +124,14 @@ def cleaned(records: DataFrame, required: list[str], text: str = "body_text", ke
             rows = rows.withColumn(c, T.date_normal(F.col(c)))
     rows = fill_missing(rows, [c for c, kind in rows.dtypes if kind == "string" and c != key])
     rows = keep_first(rows, [key], [order]).withColumn("content_hash", F.sha2(text, 256))
-    broken = F.arrays_overlap("missing_fields", F.array(*map(F.lit, required)))
-    failed = rows.where(broken).withColumn("errors", F.array_join(F.array_intersect(F.array(*map(F.lit, required)), F.col("missing_fields")), ","))
-    return rows.where(~broken), failed
+    lacking = F.array_intersect(F.array(*map(F.lit, required)), F.col("missing_fields"))
+    return rows.withColumn("errors", F.when(F.size(lacking) > 0, F.array_join(lacking, ",")))
+
+
+def cleaned(records: DataFrame, required: list[str], text: str = "body_text", key: str = "dedup_key", order: str = "index_no") -> tuple[DataFrame, DataFrame]:
+    """(cleaned, quarantined) of mapped records: see `cleaned_rows`; rows without a required value go to quarantine."""
+    rows = cleaned_rows(records, required, text, key, order)
+    return rows.where("errors is null").drop("errors"), rows.where("errors is not null")
 
 
 def written_back(rows: DataFrame, ledger: DataFrame, key: str, columns: list[str], at: str) -> DataFrame:

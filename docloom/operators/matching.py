@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .names import PART, names_in
 from .windows import ranked
 
 
@@ -50,30 +51,47 @@ def tiers(refs: DataFrame, ref: str, index: DataFrame, value: str, keys: list[tu
 def contained(texts: DataFrame, text_id: str, text: str, names: DataFrame, name_id: str, name: str) -> DataFrame:
     """(text_id, name_id): names that stand in a text, case aside; empty names stand nowhere.
 
+    As many names as one automaton takes are found by it, in one pass over the texts that moves none of them. Of more names,
+    candidates are found by an equi-join (`by_words`), and only those are compared.
+    """
+    lower = lambda c: F.lower(F.coalesce(F.col(c), F.lit("")))
+    named = names.select(F.col(name_id).alias("_n"), lower(name).alias("_name")).where("_name <> ''")
+    body = texts.select(F.col(text_id).alias("_t"), lower(text).alias("_text"))
+    if named.limit(PART + 1).count() <= PART:
+        found = names_in(body, "_t", "_text", named, "_name", longest=False).select(F.col("row").alias("_t"), "name").distinct()
+        found = found.join(named, F.col("name") == F.col("_name"))
+    else:
+        found = by_words(body, named)
+    return found.select(F.col("_t").alias(text_id), F.col("_n").alias(name_id)).distinct()
+
+
+def by_words(body: DataFrame, named: DataFrame) -> DataFrame:
+    """(_t, _n): names (_n, _name) that stand in texts (_t, _text), all in lower case.
+
     A name that stands in a text brings its inner words (neither the first nor the last) as whole words of the text, and the
     three-letter pieces of its other words stand in the text's words. So texts give their different words and, where names of
-    one or two words ask for them, the pieces of these words once each; an equi-join on each name's longest inner word, or on
-    a piece of its longest word, finds candidates, and only those are compared, instead of every name with every text. Names
-    whose words all have under three characters are met with the different words of all texts by their first character.
+    one or two words ask for them, the pieces of these words once each; an equi-join on each name's rarest inner word, by
+    the number of texts that hold it, or on a piece of its longest word, finds candidates. Names whose words all have under
+    three characters are met with the different words of all texts by their first character. Each text is moved once,
+    whatever the number of its candidates.
     """
-    lower = lambda c: F.lower(F.coalesce(F.col(c), F.lit("")))
     blank = r"\s+"
-    named = names.select(F.col(name_id).alias("_n"), lower(name).alias("_name")).where("_name <> ''").withColumn("_words", F.split("_name", blank))
-    inner = F.array_sort(F.transform(F.slice("_words", 2, F.greatest(F.size("_words") - 2, F.lit(0))), lambda w: F.struct((-F.length(w)).alias("l"), w.alias("w"))))
-    longest = F.array_sort(F.transform("_words", lambda w: F.struct((-F.length(w)).alias("l"), w.alias("w"))))
-    key = named.select("_n", "_name", F.get(inner, 0)["w"].alias("_word"), F.get(longest, 0)["w"].alias("_long"))
-    body = texts.select(F.col(text_id).alias("_t"), lower(text).alias("_text"))
+    named = named.withColumn("_words", F.split("_name", blank))
     words = body.select("_t", F.explode(F.array_distinct(F.split("_text", blank))).alias("_word"))
-    whole = words.join(key.where("_word is not null"), "_word").select("_t", "_n", "_name")
-    short = key.where("_word is null").withColumn("_size", F.least(F.length("_long"), F.lit(3)))
+    inner = named.select("_n", "_name", F.explode(F.slice("_words", 2, F.greatest(F.size("_words") - 2, F.lit(0)))).alias("_word"))
+    counts = words.join(inner.select("_word").distinct(), "_word", "left_semi").groupBy(F.col("_word").alias("_w")).agg(F.count(F.lit(1)).alias("_c"))
+    rare = inner.join(counts, F.col("_word") == F.col("_w"), "left").groupBy("_n", "_name").agg(F.min(F.struct(F.coalesce("_c", F.lit(0)), "_word"))["_word"].alias("_word"))
+    pairs = words.join(rare, "_word").select("_t", "_n", "_name")
+    longest = F.array_sort(F.transform("_words", lambda w: F.struct((-F.length(w)).alias("l"), w.alias("w"))))
+    short = named.where(F.size("_words") <= 2).select("_n", "_name", F.get(longest, 0)["w"].alias("_long")).withColumn("_size", F.least(F.length("_long"), F.lit(3)))
     pieces = lambda n: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("_word") - n + 1), lambda i: F.substr(F.col("_word"), i, F.lit(n))))
-    pairs = whole
     for n in (1, 2, 3):
         asked = short.where(F.col("_size") == n).select("_n", "_name", F.left("_long", F.lit(n)).alias("_piece"))
         each = words.where(F.length("_word") >= n).select("_t", F.explode(pieces(n)).alias("_piece")).join(asked.select("_piece").distinct(), "_piece", "left_semi").distinct()
         pairs = pairs.union(each.join(asked, "_piece").select("_t", "_n", "_name"))
-    found = pairs.join(body.withColumnRenamed("_t", "_u"), F.col("_t") == F.col("_u")).where(F.contains("_text", "_name"))
-    return found.select(F.col("_t").alias(text_id), F.col("_n").alias(name_id)).distinct()
+    asked = pairs.groupBy(F.col("_t").alias("_u")).agg(F.collect_set(F.struct("_n", "_name")).alias("_asked"))
+    met = body.join(asked, F.col("_t") == F.col("_u"))
+    return met.select("_t", F.explode(F.filter("_asked", lambda x: F.contains(F.col("_text"), x["_name"]))).alias("_x")).select("_t", "_x._n")
 
 
 def by_first_key(rows: DataFrame, keys: list[tuple[str, Column]], ledger: DataFrame, ledger_keys: list[Column], value: str, order: str) -> DataFrame:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -67,23 +69,47 @@ def survivorship(df: DataFrame, keys: list[str], order: list[str], status: str,
     """A status ledger folded in order: a row is confirmed, applied (its rank is at least the current one) or skipped.
 
     Returns the keys, the final status and rank, and how many rows were confirmed, applied, skipped and in conflict (applied
-    with rank 2 or more over another verdict that had been applied).
+    with rank 2 or more over another verdict that had been applied). Rows are sorted by key and order, which may spill, and
+    read on with the state of one key at a time, so the ledger of a key is never held whole. A null rank counts as 0.
     """
-    rows = F.array_sort(F.collect_list(F.struct(*order, F.col(status).alias("_s"), F.col(rank).alias("_r"))))
-    start = F.struct(F.lit(None).cast("string").alias("s"), F.lit(-1).alias("r"), *(F.lit(0).alias(c) for c in ("confirmed", "applied", "skipped", "conflicts")))
-
-    def step(a: Column, x: Column) -> Column:
-        same = a["s"].eqNullSafe(x["_s"])
-        apply = ~same & (x["_r"] >= a["r"])
-        clash = apply & (a["applied"] > 0) & (x["_r"] >= 2)
-        count = lambda name, when: (a[name] + when.cast("int")).alias(name)
-        return F.struct(
-            F.when(apply, x["_s"]).otherwise(a["s"]).alias("s"), F.when(apply, x["_r"]).otherwise(a["r"]).alias("r"),
-            count("confirmed", same), count("applied", apply), count("skipped", ~same & ~apply), count("conflicts", clash),
-        )
-
-    folded = df.groupBy(*keys).agg(F.aggregate(rows, start, step).alias("_f"))
-    return folded.select(*keys, F.col("_f.s").alias("status"), F.col("_f.r").alias("rank"), "_f.confirmed", "_f.applied", "_f.skipped", "_f.conflicts")
+    names = [f"_k{i}" for i in range(len(keys))]
+    rows = df.select(*(F.col(k).alias(n) for k, n in zip(keys, names)), F.col(status).cast("string").alias("_s"), F.coalesce(F.col(rank), F.lit(0)).cast("int").alias("_r"), F.struct(*order).alias("_o"))
+    sorted_ = rows.repartition(*names).sortWithinPartitions(*names, "_o", "_s", "_r")
+    kinds = dict(rows.dtypes)
+    fields = [*(f"{n} {kinds[n]}" for n in names), "status string", *(f"{c} int" for c in ("rank", "confirmed", "applied", "skipped", "conflicts"))]
+    told = sorted_.select(*names, "_s", "_r").mapInArrow(_folded, ", ".join(fields))
+    return told.select(*(F.col(n).alias(k) for k, n in zip(keys, names)), "status", "rank", "confirmed", "applied", "skipped", "conflicts")
+
+
+def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The fold of `survivorship` over rows (keys.., status, rank) sorted by key and order."""
+    key, state, schema = None, [], None
+
+    def out(done: list) -> pa.RecordBatch:
+        columns = [pa.array([k[i] for k, _ in done], schema[i].type) for i in range(len(schema) - 2)]
+        values = [pa.array([s[i] for _, s in done], pa.string() if i == 0 else pa.int32()) for i in range(6)]
+        return pa.RecordBatch.from_arrays([*columns, *values], names=[*schema.names[:-2], "status", "rank", "confirmed", "applied", "skipped", "conflicts"])
+
+    for batch in batches:
+        schema, done = batch.schema, []
+        *own, statuses, ranks = (c.to_pylist() for c in batch.columns)
+        for now, status, rank in zip(zip(*own), statuses, ranks):
+            if now != key or not state:
+                if state:
+                    done.append((key, state))
+                key, state = now, [None, -1, 0, 0, 0, 0]
+            if status == state[0]:
+                state[2] += 1
+            elif rank >= state[1]:
+                state[5] += state[3] > 0 and rank >= 2
+                state[0], state[1] = status, rank
+                state[3] += 1
+            else:
+                state[4] += 1
+        if done:
+            yield out(done)
+    if state:
+        yield out([(key, state)])
 
 
 def version_chain(df: DataFrame, keys: list[str], order: list[str], row: str) -> DataFrame:

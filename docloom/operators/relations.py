@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import keys as K
 from ..functions.decisions import NOMINAL, is_body, is_generic, is_no_document, target_class
 from .clauses import NUMERAL, lines, numeral
+from .likeness import held_in
 from .matching import tiers
 
 #: Fixed: words before a quoted title that make it a basis; words after or before it that repeal it, longer ones first;
@@ -93,6 +94,56 @@ def resolve(refs: DataFrame, index: DataFrame, ref: str = "ref", number: str = "
     return tiers(refs, ref, index, ref, [(method, key, key, confidence) for method, key, confidence in tiers_])
 
 
+#: Least length of a title that may hold another or stand in one, and of the short names that a title may end with.
+HELD, SHORT = 4, 3
+
+
+def held_titles(asked: DataFrame, index: DataFrame, ref: str) -> DataFrame:
+    """(probe, target): for each of asked (probe) the entity of index (key, ref) whose key holds it or stands in it.
+
+    Keys and probes of HELD letters or more count, the longest key first, then the least one. A probe of SHORT letters is
+    only met by keys that end with it. Both ways are looked up by rare runs of letters, see `held_in`.
+    """
+    keys = index.where("key <> ''").groupBy("key").agg(F.min(ref).alias("_ref"))
+    probes = asked.where(F.length("probe") >= HELD).select("probe").distinct()
+    within = held_in(probes, keys, "probe", "key", HELD).select(F.col("a").alias("probe"), F.col("b").alias("key"))
+    around = held_in(keys, probes, "key", "probe", HELD).select(F.col("b").alias("probe"), F.col("a").alias("key"))
+    ends = asked.where(F.length("probe") == SHORT).select("probe").distinct().join(keys.withColumn("_end", F.right("key", F.lit(SHORT))), F.col("probe") == F.col("_end")).select("probe", "key")
+    best = within.union(around).union(ends).groupBy("probe").agg(F.min(F.struct((-F.length("key")).alias("l"), "key"))["key"].alias("_key"))
+    return best.join(keys, F.col("_key") == F.col("key")).select("probe", F.col("_ref").alias("target"))
+
+
+def resolve_target(refs: DataFrame, index: DataFrame, weak: DataFrame | None = None, strict: bool = False, ref: str = "ref", number: str = "number", title: str = "title") -> DataFrame:
+    """refs (title, number) with target, weak_key, method and confidence.
+
+    target: by the tiers of `resolve`, then by a title that holds the quoted one or stands in it (title_contains, 0.7; not
+    if strict, as across domains a law would be taken for a policy that quotes it). What stays unresolved is looked up in
+    the weak index (ref, number, title) in the same way, and gets its weak_key only. Nothing is made up: the rest is
+    unresolved, without either.
+    """
+    probe = F.coalesce(F.nullif(K.title_quoted(F.col(title)), F.lit("")), K.title_strict(F.col(title)))
+
+    def found(asked: DataFrame, entities: DataFrame) -> DataFrame:
+        met = resolve(asked, entities, ref, number, title)
+        if strict:
+            return met
+        keyed = entities.select(K.title_quoted(F.col(title)).alias("key"), ref)
+        lost = met.where(F.col("target").isNull()).select(probe.alias("probe")).distinct()
+        held = held_titles(lost, keyed, ref).select(F.col("probe").alias("_probe"), F.col("target").alias("_held"))
+        joined = met.withColumn("_p", probe).join(held, F.col("target").isNull() & (F.col("_p") == F.col("_probe")), "left")
+        by_title = F.col("target").isNull() & F.col("_held").isNotNull()
+        method, confidence = F.when(by_title, "title_contains").otherwise(F.col("method")), F.when(by_title, 0.7).otherwise(F.col("confidence"))
+        return joined.withColumn("method", method).withColumn("confidence", confidence).withColumn("target", F.coalesce("target", "_held")).drop("_p", "_probe", "_held")
+
+    strong = found(refs, index)
+    if weak is None:
+        return strong.withColumn("weak_key", F.lit(None).cast(dict(index.dtypes)[ref]))
+    names = {c: F.col(c) for c in refs.columns}
+    open_ = found(strong.where(F.col("target").isNull()).select(*names.values()), weak).withColumnRenamed("target", "weak_key").withColumn("target", F.lit(None).cast(dict(index.dtypes)[ref]))
+    done = strong.where(F.col("target").isNotNull()).withColumn("weak_key", F.lit(None).cast(dict(weak.dtypes)[ref]))
+    return done.unionByName(open_)
+
+
 def edges(found: DataFrame, index: DataFrame) -> DataFrame:
     """Relations with their target (see `resolve`), its class, and confidence; edges to bodies and kinds of documents are left out."""
     met = resolve(found.withColumn("number", F.lit("")), index).withColumn("target_class", target_class(F.col("target"), F.lit(""), F.col("title")))

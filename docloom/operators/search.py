@@ -68,14 +68,18 @@ def by_postings(index: DataFrame, df: DataFrame, row: str, column: str, text: st
     return df.join(found, F.col(row) == F.col("_r"), "left_semi").where(holds)
 
 
-def bm25_once(df: DataFrame, row: str, weights: dict[str, float], text: str, k: int, same: list[str]) -> DataFrame:
-    """bm25's best 2k rows, of rows with equal `same` the best, and of these the k best."""
-    best = bm25(df, row, weights, text, 2 * k)
+def best_of_each(best: DataFrame, df: DataFrame, row: str, k: int, same: list[str]) -> DataFrame:
+    """Of the rows `best` (row, score) with equal `same` in df the best, and of these the k best."""
     met = best.join(df.select(F.col(row).alias("_r"), *(F.col(c).alias(f"_{c}") for c in same)), F.col(row) == F.col("_r"))
     first = F.row_number().over(Window.partitionBy(*(f"_{c}" for c in same)).orderBy(F.desc("score"), row))
     return met.withColumn("_n", first).where("_n = 1").select(row, "score").orderBy(F.desc("score"), row).limit(k)
 
 
+def bm25_once(df: DataFrame, row: str, weights: dict[str, float], text: str, k: int, same: list[str]) -> DataFrame:
+    """bm25's best 2k rows, of rows with equal `same` the best, and of these the k best."""
+    return best_of_each(bm25(df, row, weights, text, 2 * k), df, row, k, same)
+
+
 def search(df: DataFrame, row: str, column: str, text: str, k: int) -> DataFrame:
     """(row, score): by bm25 if the query can be found by trigrams, else rows that hold every token, shortest first, score 0."""
     if fts_capable(text):
@@ -85,18 +89,28 @@ def search(df: DataFrame, row: str, column: str, text: str, k: int) -> DataFrame
     return df.where(like_tokens(text, [column])).orderBy(F.length(column), row).limit(k).select(row, F.lit(0.0).alias("score"))
 
 
-def nearest(vectors: DataFrame, row: str, vector: str, queries: DataFrame, query: str, query_vector: str, k: int, metric: str = "cosine", block: int = 256) -> DataFrame:
+#: Bytes of queries that are sent to the tasks at once, and queries of one block of them.
+SENT_BYTES, QUERY_BLOCK = 64 << 20, 256
+
+
+def nearest(vectors: DataFrame, row: str, vector: str, queries: DataFrame, query: str, query_vector: str, k: int, metric: str = "cosine") -> DataFrame:
     """(query, row, distance, rank): the k nearest rows of each query, by exact comparison.
 
-    A stated query set meets all rows: queries go to the tasks in blocks (an array literal of `block` vectors at most), so
-    nothing that grows is broadcast, and of each block only the k best of a task's rows are shuffled.
+    A stated query set meets all rows: queries are dealt to numbered blocks, and blocks to waves of SENT_BYTES at most; the
+    blocks of a wave are a small table, sent to the tasks and joined by block. Of each wave only the k best of a task's
+    rows are shuffled. Queries without a vector have no rows. `VectorIndex` answers without comparing all.
     """
-    asked = queries.select(F.col(query), F.col(query_vector)).collect()
-    out, kind = None, dict(queries.dtypes)[query]
-    for start in range(0, len(asked), block):
-        part = asked[start : start + block]
-        literal = F.array(*(F.struct(F.lit(r[0]).cast(kind).alias("q"), F.array(*map(F.lit, map(float, r[1]))).alias("v")) for r in part))
-        each = vectors.select(F.col(row).alias("row"), F.col(vector).alias("_v"), F.explode(literal).alias("_q"))
+    asked = queries.where(F.col(query).isNotNull() & F.col(query_vector).isNotNull()).select(F.col(query).alias("q"), F.col(query_vector).cast("array<double>").alias("v"))
+    told = asked.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("dim")).first()
+    blocks = max(1, math.ceil((told["n"] or 0) / QUERY_BLOCK))
+    waves = max(1, math.ceil((told["n"] or 0) * (told["dim"] or 0) * 8 / SENT_BYTES))
+    numbered = asked.withColumn("block", F.pmod(F.xxhash64("q"), F.lit(blocks)).cast("int"))
+    rows, out = vectors.where(F.col(vector).isNotNull()).select(F.col(row).alias("row"), F.col(vector).alias("_v")), None
+    for wave in range(waves):
+        own = [b for b in range(blocks) if b % waves == wave]
+        sent = numbered.where(F.pmod("block", F.lit(waves)) == wave).groupBy("block").agg(F.collect_list(F.struct("q", "v")).alias("asked"))
+        dealt = rows.withColumn("block", F.explode(F.sequence(F.lit(own[0]), F.lit(own[-1]), F.lit(waves))))
+        each = dealt.join(F.broadcast(sent), "block").select("row", "_v", F.explode("asked").alias("_q"))
         distance = (1 - cosine(F.col("_v"), F.col("_q.v"))) if metric == "cosine" else l2(F.col("_v"), F.col("_q.v"))
         each = each.select(F.col("_q.q").alias("query"), "row", F.round(distance, 6).alias("distance"))
         each = each.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy("distance", "row")).cast("long")).where(F.col("rank") <= k)

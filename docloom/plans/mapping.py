@@ -42,12 +42,27 @@ def denoise(t):
     return t("pages").select("page_id", F.length(x).cast("long").alias("chars"), F.sha2(x, 256).alias("digest"))
 
 
+#: Left-overs of web pages in Han characters, one for each pattern, and something that must stay.
+LEFT_OVERS = [
+    "版权所有 © 某某局 京ICP备12345号 技术部", "网站标识码：1234567890", "主办单位：某某局办公室", "地址：某某路一号", "邮编：100000", "联系电话：010-12345678", "无障碍浏览 进入", "分享到：微信QQ空间",
+    "扫一扫 关注", "打印本页 关闭窗口", "document.write('x')", "var a = 1;", "function f (x) { return x }", "第一条 本办法",
+]
+_LEFT = "case page_id % 14 " + " ".join(f"when {i} then '{x.replace(chr(39), chr(39) * 2)}'" for i, x in enumerate(LEFT_OVERS)) + " end"
+
+
+@query(f"select page_id, length(x) chars, sha256(x) digest from (select page_id, {_plain('body', True)} x from (select page_id, url || chr(10) || {_LEFT} || chr(10) || left(html, 200) || chr(10) || chr(10) || chr(10) || '　 完' body from pages))")
+def denoise_left_overs(t):
+    """Bodies made of a page's URL and head with a left-over between them, one of each pattern in turn."""
+    left = F.element_at(F.array(*map(F.lit, LEFT_OVERS)), (F.col("page_id") % 14 + 1).cast("int"))
+    x = T.denoised(F.concat("url", F.lit("\n"), left, F.lit("\n"), F.left("html", F.lit(200)), F.lit("\n\n\n\u3000 完")), keep_lines=True)
+    return t("pages").select("page_id", F.length(x).cast("long").alias("chars"), F.sha2(x, 256).alias("digest"))
+
+
 @query(f"with c as (select doc_id, lang, source, {_plain('text', True)} body from documents), k as (select *, trim(regexp_replace(body, '[{T.GARBLE[1:-1]}]', '', 'g'), ' ' || chr(10)) b from c) select case when b = '' then 'quarantine' else 'cleaned' end as state, source, count(*) n, sum(length(b))::bigint chars from k group by all")
 def clean_chain(t):
     """Mapped documents cleaned, filled, deduplicated by key and split into cleaned rows and quarantine."""
     rows = M.mapped(_raw(t), "gov", lambda raw, title, body: F.lit("")).withColumn("source", F.col("category"))
-    good, bad = M.cleaned(rows, ["title", "body_text"])
-    both = good.select(F.lit("cleaned").alias("state"), "source", "body_text").union(bad.select(F.lit("quarantine"), "source", "body_text"))
+    both = M.cleaned_rows(rows, ["title", "body_text"]).select(F.when(F.col("errors").isNull(), "cleaned").otherwise("quarantine").alias("state"), "source", "body_text")
     return both.groupBy("state", "source").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("body_text")).cast("long").alias("chars"))
 
 

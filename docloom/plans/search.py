@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import search as S
+from ..operators.index import index_of
 from .base import query
 
 _COUNT = lambda c, w: f"((length(lower({c})) - length(replace(lower({c}), '{w}', ''))) / {len(w)})"
@@ -13,7 +14,8 @@ _COUNT = lambda c, w: f"((length(lower({c})) - length(replace(lower({c}), '{w}',
 @query(f"""with r as (select doc_id, length(text) len, 1.0 * {_COUNT("text", "the")} f0, 1.0 * {_COUNT("text", "loser")} f1 from documents), s as (select count(*) n, avg(len) av, sum((f0 > 0)::int) d0, sum((f1 > 0)::int) d1 from r)
 select doc_id, round(greatest(1e-6, ln((n - d0 + 0.5) / (d0 + 0.5))) * (f0 * 2.2) / (f0 + 1.2 * (0.25 + 0.75 * len / av)) + greatest(1e-6, ln((n - d1 + 0.5) / (d1 + 0.5))) * (f1 * 2.2) / (f1 + 1.2 * (0.25 + 0.75 * len / av)), 6) score from r, s where f0 > 0 and f1 > 0 order by score desc, doc_id limit 20""")
 def bm25_search(t):
-    return S.bm25(t("documents"), "doc_id", {"text": 1.0}, "the loser", 20)
+    """Answered from the index of these documents, which is built if there is none yet."""
+    return index_of(t("documents"), "doc_id", ["text"]).top({"text": 1.0}, "the loser", 20).rows.withColumnRenamed("row", "doc_id")
 
 
 @query("select page_id, length(url) as url_chars from pages where contains(lower(html), 'script') and contains(lower(url), 'http') order by url_chars, page_id limit 25")
@@ -38,6 +40,19 @@ def l2_topk(t):
     return S.nearest(v, "vec_id", "embedding", v.where("vec_id % 100 = 0"), "vec_id", "embedding", 5, "l2")
 
 
+@query()
+def ann_topk(t):
+    """The ten nearest rows by the approximate index; tests measure its recall against `cosine_topk`."""
+    import uuid
+
+    from ..checkpoints import shared_folder
+    from ..operators.vectors import VectorIndex
+
+    v = t("embeddings")
+    index = VectorIndex.build(v, "vec_id", "embedding", f"{shared_folder(v.sparkSession)}/vectors-{uuid.uuid4().hex}")
+    return index.nearest(v.where("vec_id % 100 = 0"), "vec_id", "embedding", 10)
+
+
 @query("with x as (select label, unnest(embedding)::double x, generate_subscripts(embedding, 1) i from embeddings), m as (select label, i, avg(x) x from x group by all), p as (select label as l, list(x order by i) p from m group by 1), d as (select vec_id, label, l, list_cosine_similarity(embedding::double[], p) s from embeddings, p) select vec_id, label, l as nearest from d qualify row_number() over (partition by vec_id order by s desc, l) = 1")
 def prototype_argmax(t):
     """The label whose mean vector is nearest to each vector (labels are few, so their means are broadcast)."""
@@ -73,8 +88,10 @@ def trigram_candidates(t):
 c as (select page_id, html, round(greatest(1e-6, ln((n - d0 + 0.5) / (d0 + 0.5))) * (f0 * 2.2) / (f0 + 1.2 * (0.25 + 0.75 * len / av)) + greatest(1e-6, ln((n - d1 + 0.5) / (d1 + 0.5))) * (f1 * 2.2) / (f1 + 1.2 * (0.25 + 0.75 * len / av)), 6) score from r, s where f0 > 0 and f1 > 0 order by score desc, page_id limit 20)
 select page_id, score from c qualify row_number() over (partition by html order by score desc, page_id) = 1 order by score desc, page_id limit 10""")
 def bm25_weighted(t):
-    """URL ten times as heavy as the page; of the best twenty, one of each text, ten at most."""
-    return S.bm25_once(t("pages"), "page_id", {"url": 10.0, "html": 1.0}, "http script", 10, ["html"])
+    """URL ten times as heavy as the page; of the best twenty, one of each text, ten at most; from the index of pages."""
+    p = t("pages")
+    best = index_of(p, "page_id", ["url", "html"]).top({"url": 10.0, "html": 1.0}, "http script", 20).rows.withColumnRenamed("row", "page_id")
+    return S.best_of_each(best, p, "page_id", 10, ["html"])
 
 
 @query("select doc_id, 0.0::double score from documents where contains(lower(text), 'of') and contains(lower(text), 'le') order by length(text), doc_id limit 15")

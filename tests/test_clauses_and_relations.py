@@ -67,3 +67,19 @@ def test_edges(spark):
     found = R.relations(docs_of(spark, "根据《甲办法》《乙规定》制定。"))
     rows = {r.title: (r.target, r.target_class, r.confidence) for r in R.edges(found, index).collect()}
     assert rows == {"甲办法": ("R1", "entity", 0.9), "乙规定": (None, "external", 0.0)}
+
+
+def test_targets_by_tiers_containment_and_the_weak_index(spark):
+    from docloom.operators import relations as R
+
+    index = spark.createDataFrame([("A", "", "中华人民共和国公司法"), ("B", "", "某某公司应急预案"), ("C", "", "某某公司应急预案管理规定"), ("D", "保监发〔2014〕19号", "另一文件")], "ref string, number string, title string")
+    weak = spark.createDataFrame([("w1", "", "中华人民共和国民法典"), ("w2", "", "某某公司应急预案")], "ref string, number string, title string")
+    names = [("公司法", ""), ("某某公司应急预案（2024版）", ""), ("公司应急预案管理", ""), ("关于适用公司法的若干规定", ""), ("民法典", ""), ("《无此文件》", ""), ("", ""), ("x", "保监发〔2014〕19号"), ("应急", "")]
+    refs = spark.createDataFrame(names, "title string, number string")
+    got = {r.title: (r.target, r.weak_key, r.method) for r in R.resolve_target(refs, index, weak).collect()}
+    assert got["公司法"][0] == "A" and got["公司应急预案管理"] == ("C", None, "title_contains")
+    assert got["某某公司应急预案（2024版）"][0] == "B" and got["民法典"][:2] == (None, "w1")
+    assert got["《无此文件》"] == got[""] == got["应急"] == (None, None, "unresolved") and got["x"][0] == "D"
+    assert got["关于适用公司法的若干规定"] == (None, None, "unresolved")
+    strict = {r.title: r.method for r in R.resolve_target(refs, index, weak, strict=True).collect()}
+    assert "title_contains" not in strict.values() and len(strict) == len(names)
