@@ -101,6 +101,21 @@ def through(produced: DataFrame, used: DataFrame, node: str, artifact: str) -> D
     return a.join(b, F.col("_a") == F.col("_b")).where("node <> neighbour").groupBy("node", "neighbour").agg(F.count(F.lit(1)).alias("artifacts"))
 
 
+def through_hubs(produced: DataFrame, used: DataFrame, node: str, artifact: str, most: int) -> tuple[DataFrame, DataFrame]:
+    """(pairs, steps): `through` over the artifacts that give `most` pairs at most, and the two steps over all others.
+
+    steps: (artifact, node, role), role being producer or user: every producer of an artifact is followed by each of its
+    users, so nothing is lost, and an artifact that everyone uses gives as many rows as it has nodes instead of their product.
+    """
+    a, b = produced.select(F.col(node).alias("node"), F.col(artifact).alias("artifact")).distinct(), used.select(F.col(node).alias("node"), F.col(artifact).alias("artifact")).distinct()
+    both = a.withColumn("role", F.lit("producer")).union(b.withColumn("role", F.lit("user")))
+    sizes = both.groupBy(F.col("artifact").alias("_a")).agg(F.count_if(F.col("role") == "producer").alias("_p"), F.count_if(F.col("role") == "user").alias("_u")).where("_p > 0 and _u > 0")
+    told = both.join(sizes, F.col("artifact") == F.col("_a")).withColumn("_hub", F.col("_p") * F.col("_u") > most)
+    few = told.where("not _hub")
+    pairs = through(few.where("role = 'producer'").select("node", "artifact"), few.where("role = 'user'").select("node", "artifact"), "node", "artifact")
+    return pairs, told.where("_hub").select("artifact", "node", "role")
+
+
 def levels(edges: DataFrame, src: str, dst: str, most: int = 64) -> DataFrame:
     """(node, level): for each node of an acyclic graph the length of the longest path that ends in it.
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -155,6 +158,35 @@ def file_name(index: Column, title: Column, date: Column, extension: Column, mos
     return F.concat(F.left(stem, F.lit(most)), F.lit("."), F.lower(F.regexp_replace(extension, r"^\.", "")))
 
 
+#: Fixed: what the name of a secret's field holds, in any case.
+SECRET_NAMES = ["token", "secret", "password", "passwd", "api_key", "apikey", "dsn", "cookie", "authorization", "webhook", "credential"]
+REDACTED = "***redacted***"
+
+
+def scrubbed_json(payload: Column) -> Column:
+    """JSON text with the values of fields whose names tell a secret replaced, however deep they stand, also inside lists.
+
+    Text that is no JSON becomes null, as nobody can tell what it holds; null stays null.
+    """
+
+    def scrub(value: object) -> object:
+        if isinstance(value, dict):
+            return {k: REDACTED if any(n in k.lower() for n in SECRET_NAMES) else scrub(v) for k, v in value.items()}
+        return [scrub(v) for v in value] if isinstance(value, list) else value
+
+    def one(text: str | None) -> str | None:
+        try:
+            return None if text is None else json.dumps(scrub(json.loads(text)), ensure_ascii=False)
+        except (ValueError, RecursionError):
+            return None
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(one)
+
+    return run(payload)
+
+
 def without_secrets(payload: Column, names: str = "(?i)(token|secret|passw|api_?key|authorization|cookie)") -> Column:
     """A map without the entries whose names tell a secret."""
     return F.map_filter(payload, lambda k, _: ~k.rlike(names))

@@ -54,6 +54,13 @@ def duplicate_keys(df: DataFrame, keys: list[str], row: str) -> DataFrame:
     return known.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.array_join(F.array_sort(F.collect_list(row)), ",").alias("rows")).where("n > 1")
 
 
+def duplicate_rows(df: DataFrame, keys: list[str], row: str) -> DataFrame:
+    """(keys.., n, row): `duplicate_keys` with a row for each id, so that a key's ids are never gathered in one."""
+    known = df.where(reduce(Column.__and__, (F.col(k).isNotNull() for k in keys)))
+    several = known.groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return known.join(several, [F.col(k) == F.col(f"_{k}") for k in keys]).select(*keys, "n", row)
+
+
 def content_duplicates(df: DataFrame, text: str, row: str) -> DataFrame:
     """(digest, n, first_row) of texts that several rows have."""
     return df.groupBy(F.sha2(F.coalesce(F.col(text), F.lit("")), 256).alias("digest")).agg(F.count(F.lit(1)).alias("n"), F.min(row).alias("first_row")).where("n > 1")

@@ -49,6 +49,8 @@ def k_means(x: np.ndarray, k: int, rounds: int = 12, seed: int = 7) -> np.ndarra
 
 def needed_probes(x: np.ndarray, means: np.ndarray) -> int:
     """In how many of the nearest cells of a vector COVERED of its NEAREST nearest ones lie, by ASKING rows of x."""
+    if not len(x):
+        return 1
     asked, cell = x[:ASKING], closest(x, means)[0]
     size, ranks = (x**2).sum(axis=1), []
     for q in asked:
@@ -56,7 +58,7 @@ def needed_probes(x: np.ndarray, means: np.ndarray) -> int:
         order = np.empty(len(means), np.int64)
         order[np.argsort((means**2).sum(axis=1) - 2 * means @ q)] = np.arange(len(means))
         ranks.append(order[cell[near]])
-    return int(np.quantile(np.concatenate(ranks), COVERED)) + 1 if ranks else 1
+    return int(np.quantile(np.concatenate(ranks), COVERED)) + 1
 
 
 def closest(x: np.ndarray, means: np.ndarray, block: int = 4096) -> tuple[np.ndarray, np.ndarray]:

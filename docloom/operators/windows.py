@@ -24,9 +24,12 @@ def running_count(df: DataFrame, by: str, order: list[str], when: Column, name:
     return df.withColumn(name, F.sum(when.cast("int")).over(Window.partitionBy(by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
 
 
-def continuity(df: DataFrame, by: str, number: str) -> DataFrame:
-    """(by, n, restarts, continuity): steps of one between neighbouring different numbers, as a share; and numbers that do not rise."""
-    before = F.lag(number).over(Window.partitionBy(by).orderBy("_ord"))
+def continuity(df: DataFrame, by: str, number: str, order: str = "_ord") -> DataFrame:
+    """(by, n, restarts, continuity): steps of one between neighbouring different numbers, as a share; and numbers that do not rise.
+
+    order: the column that tells which rows are neighbours.
+    """
+    before = F.lag(number).over(Window.partitionBy(by).orderBy(order))
     rows = df.withColumn("_before", before)
     step = F.when(F.col("_before").isNotNull(), (F.col(number) == F.col("_before") + 1).cast("double"))
     return rows.groupBy(by).agg(F.count(F.lit(1)).alias("n"), F.sum((F.col(number) <= F.col("_before")).cast("int")).alias("restarts"), F.coalesce(F.avg(step), F.lit(1.0)).alias("continuity"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import assertions, clauses, governance, graph, ledger, likeness, mapping, matching, records, reports, runs, search, texts  # noqa: F401
+from . import assertions, clauses, governance, graph, ledger, likeness, mapping, matching, records, reports, runs, search, structure, texts  # noqa: F401
 from .base import ORACLE, QUERIES
 
 FLAGSHIP = "facets_dedup"

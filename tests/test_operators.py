@@ -119,3 +119,37 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert C.articles(none).count() == 0 and RE.relations(none).count() == 0
     assert R.facets(none, ["doc_id"]).count() == 0 and R.content_duplicates(none, "text", "doc_id").count() == 0
+
+
+def test_hubs_are_told_in_two_steps(spark):
+    from docloom.operators import graph as G
+
+    produced = spark.createDataFrame([(i, "hub") for i in range(6)] + [(1, "x"), (2, "y")], "node int, artifact string")
+    used = spark.createDataFrame([(i, "hub") for i in range(4, 20)] + [(3, "x"), (4, "x"), (5, "none")], "node int, artifact string")
+    pairs, steps = G.through_hubs(produced, used, "node", "artifact", 10)
+    two = steps.where("role = 'producer'").join(steps.where("role = 'user'").withColumnRenamed("node", "to"), "artifact").where("node <> to").select("node", "to")
+    whole = {(r.node, r.neighbour) for r in G.through(produced, used, "node", "artifact").collect()}
+    assert {(r.node, r.neighbour) for r in pairs.collect()} == {(1, 3), (1, 4)} and {tuple(r) for r in two.collect()} | {(1, 3), (1, 4)} == whole and steps.count() == 22
+
+
+def test_secrets_deep_in_json_and_rows_of_duplicate_keys(spark):
+    from pyspark.sql import functions as F
+
+    from docloom.operators import mapping as M
+    from docloom.operators import records as R
+
+    texts = ['{"a": [{"Api_Key": "x", "b": {"user_token": [1]}}, 2], "名": "值"}', "no json", None, "[]", '"token"']
+    got = [r[0] for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(M.scrubbed_json(F.col("t"))).collect()]
+    assert got == ['{"a": [{"Api_Key": "***redacted***", "b": {"user_token": "***redacted***"}}, 2], "名": "值"}', None, None, "[]", '"token"']
+    rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4), (None, 5)], "k string, id int")
+    assert sorted(map(tuple, R.duplicate_rows(rows, ["k"], "id").collect())) == [("a", 2, 1), ("a", 2, 2)]
+
+
+def test_names_by_words_and_by_automaton_agree(spark, monkeypatch):
+    from docloom.operators import matching as M
+
+    texts = spark.createDataFrame([(1, "The quick brown fox jumps"), (2, "a b c quick"), (3, None), (4, "xquick brown foxy")], "id int, text string")
+    names = spark.createDataFrame([(1, "quick brown fox"), (2, "quick"), (3, "b c"), (4, "uick brown fo"), (5, ""), (6, "ox"), (7, None), (8, "c")], "n int, name string")
+    whole = {tuple(r) for r in M.contained(texts, "id", "text", names, "n", "name").collect()}
+    monkeypatch.setattr(M, "PART", 2)
+    assert {tuple(r) for r in M.contained(texts, "id", "text", names, "n", "name").collect()} == whole == {(1, 1), (1, 2), (1, 4), (1, 6), (1, 8), (2, 2), (2, 3), (2, 8), (4, 1), (4, 2), (4, 4), (4, 6), (4, 8)}
