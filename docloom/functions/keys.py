@@ -280,3 +280,11 @@ def docno_resolved(raw: Column, title_: Column, body: Column) -> Column:
 @bound
 def _resolved(own: Column, titled: Column, title_: Column, body: Column) -> Column:
     return F.when(docno_shape(own) & ~in_abolishing(body, own), with_all_bodies(own, title_)).when(titled != "", with_all_bodies(titled, title_)).otherwise(docno_in_body(body))
+
+
+def docno_signatures(text: Column, least: int = 6) -> Column:
+    """The different signatures (year and number) of bracketed document numbers in a text, with or without an issuer, in order."""
+    mark = r"[〔\[(（]\s*(\d{4})\s*[〕\])）]\s*(\d{1,4})\s*号"
+    t = F.coalesce(text, F.lit(""))
+    pairs = F.zip_with(F.regexp_extract_all(t, F.lit(mark), 1), F.regexp_extract_all(t, F.lit(mark), 2), lambda y, n: F.concat(y, n))
+    return F.array_distinct(F.filter(pairs, lambda s: F.length(s) >= least))

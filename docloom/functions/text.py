@@ -233,3 +233,13 @@ def cosine(a: Column, b: Column) -> Column:
 def l2(a: Column, b: Column) -> Column:
     """Euclidean distance of two arrays of numbers."""
     return F.sqrt(F.aggregate(F.zip_with(a, b, lambda p, q: (p.cast("double") - q.cast("double")) * (p.cast("double") - q.cast("double"))), F.lit(0.0), lambda s, v: s + v))
+
+
+def date_strict(text: Column) -> Column:
+    """A date at the start of a text as yyyy-MM-dd, or yyyy-MM where no day follows; '' for all other texts. Days are not
+    checked against the calendar."""
+    t = F.trim(F.coalesce(text, F.lit("")))
+    day, month = r"^(\d{4})[-年/](\d{1,2})[-月/](\d{1,2})", r"^(\d{4})[-年/](\d{1,2})"
+    part = lambda p, i: F.lpad(F.regexp_extract(t, p, i), 2, "0")
+    whole = F.concat_ws("-", F.regexp_extract(t, day, 1), part(day, 2), part(day, 3))
+    return F.when(t.rlike(day), whole).when(t.rlike(month), F.concat_ws("-", F.regexp_extract(t, month, 1), part(month, 2))).otherwise("")

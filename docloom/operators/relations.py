@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import keys as K
 from ..functions.decisions import NOMINAL, is_body, is_generic, is_no_document, target_class
-from .clauses import NUMERAL, lines, numeral
+from .clauses import NUMERAL, lines, numeral, target_check
 from .likeness import held_in
-from .matching import tiers
+from .matching import locate, tiers
 
 #: Fixed: words before a quoted title that make it a basis; words after or before it that repeal it, longer ones first;
 #: contexts in which a title is neither, and in which nothing is repealed; heads of lists of repealed documents.
@@ -150,6 +152,70 @@ def edges(found: DataFrame, index: DataFrame) -> DataFrame:
     return met.where(~F.col("target_class").isin("organ", "generic")).drop("number")
 
 
+def offsets(docs: DataFrame, doc: str, text: str, pattern: str) -> DataFrame:
+    """(doc, i, at, found): what `pattern` matches in each text, in order from 0, and where it begins, in characters from 0.
+
+    A text is split once; only the lengths of what lies between matches are summed up, in rows of their own.
+    """
+    gaps, found = F.split(F.col(text), pattern), F.regexp_extract_all(F.col(text), F.lit(pattern), 0)
+    zipped = F.arrays_zip(F.transform(gaps, lambda g: F.length(g)).alias("gap"), found.alias("found"))
+    rows = docs.where(F.col(text).rlike(pattern)).select(F.col(doc).alias("doc"), F.posexplode(zipped).alias("i", "x")).where("x.found is not null")
+    ends = F.sum(F.col("x.gap") + F.length("x.found")).over(Window.partitionBy("doc").orderBy("i"))
+    return rows.select("doc", "i", (ends - F.length("x.found")).cast("long").alias("at"), F.col("x.found").alias("found"))
+
+
+def located(docs: DataFrame, index: DataFrame, clauses: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """Relations with both ends located: relation_id, doc, src_article, kind, title, action, target, method, confidence,
+    article, state, snippet.
+
+    src_article: the article of the text in which the title first stands (null before the first one); target: what it
+    resolves to in index (ref, number, title), see `resolve`; article: the cited article of the target, with its state
+    among clauses (doc: a ref, number), see `target_check`; null without one. snippet: the title with up to 100 characters
+    on either side.
+    """
+    first = lambda c: F.min_by(c, "pos").alias(c)
+    places = quotes(docs, doc, text).join(offsets(docs, doc, text, "《[^《》]+》").select(F.col("doc").alias("_d"), F.col("i").alias("_i"), "at"), (F.col("doc") == F.col("_d")) & (F.col("pos") == F.col("_i")))
+    places = places.withColumn("snippet", F.concat("before", F.lit("《"), "title", F.lit("》"), F.coalesce("after", F.lit("")))).groupBy(F.col("doc").alias("_doc"), F.col("title").alias("_title")).agg(first("at"), first("snippet"))
+    found = relations(docs, doc, text).join(places, (F.col("doc") == F.col("_doc")) & (F.col("title") == F.col("_title")), "left").drop("_doc", "_title")
+    mark = rf"(?m)^[ \t　]*第\s*(?:{NUMERAL})\s*条"
+    marks = offsets(docs, doc, text, mark).select("doc", "at", numeral(F.regexp_extract("found", rf"第\s*({NUMERAL})\s*条", 1)).alias("number"))
+    inside = locate(found.where("at is not null").select("doc", "at").distinct(), "at", marks, "doc", "at", "number").select(F.col("doc").alias("_doc"), F.col("at").alias("_at"), F.col("number").alias("src_article"))
+    met = found.join(inside, (F.col("doc") == F.col("_doc")) & (F.col("at") == F.col("_at")), "left").drop("_doc", "_at", "at")
+    solved = resolve(met.withColumn("number", F.lit("")), index).drop("number")
+    cited = solved.where("target is not null and article is not null").select(F.col("target").alias("doc"), F.col("article").alias("number")).distinct()
+    states = target_check(cited, clauses).select(F.col("doc").alias("_t"), F.col("number").alias("_n"), "state")
+    out = solved.join(states, (F.col("target") == F.col("_t")) & (F.col("article") == F.col("_n")), "left")
+    return out.select("relation_id", "doc", "src_article", "kind", "title", "action", "target", "method", "confidence", "article", "state", "snippet")
+
+
+def gate(edges: DataFrame, index: DataFrame, stated: dict[str, int] | None = None) -> DataFrame:
+    """(rule, n, example): what is wrong with edges of `located`; no rows if nothing is.
+
+    keys: a relation without id, document, kind or title; ids: one id twice; enums: a kind, action or method outside its
+    list; trace: no snippet; refs: a target that index (ref) does not hold; stat: another number of edges of a kind than
+    `stated`.
+    """
+    actions = [*REPEAL, *(f"{a}_partial" for a in REPEAL), "listed", ""]
+    empty = lambda c: F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))) == ""
+    wrong = {
+        "keys": empty("relation_id") | empty("doc") | empty("kind") | empty("title"), "trace": empty("snippet"),
+        "enums": ~F.coalesce(F.col("kind").isin("basis", "repeal"), F.lit(False)) | ~F.coalesce("action", F.lit("")).isin(actions) | empty("method"),
+    }
+    told = [edges.where(w).agg(F.lit(name).alias("rule"), F.count(F.lit(1)).alias("n"), F.min(F.col("relation_id")).alias("example")) for name, w in wrong.items()]
+    twice = edges.groupBy("relation_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    told.append(twice.agg(F.lit("ids").alias("rule"), F.count(F.lit(1)).alias("n"), F.min("relation_id").alias("example")))
+    known = index.select(F.col("ref").alias("_r")).distinct()
+    lost = edges.where("target is not null").join(known, F.col("target") == F.col("_r"), "left_anti")
+    told.append(lost.agg(F.lit("refs").alias("rule"), F.count(F.lit(1)).alias("n"), F.min(F.col("target").cast("string")).alias("example")))
+    out = reduce(DataFrame.union, told)
+    if stated is not None:
+        counts = edges.groupBy("kind").agg(F.count(F.lit(1)).alias("_n"))
+        said = edges.sparkSession.createDataFrame(list(stated.items()), "kind string, said long")
+        other = counts.join(said, "kind", "full").where(~F.coalesce("_n", F.lit(0)).eqNullSafe(F.coalesce("said", F.lit(0))))
+        out = out.union(other.agg(F.lit("stat").alias("rule"), F.count(F.lit(1)).alias("n"), F.min("kind").alias("example")))
+    return out.where("n > 0")
+
+
 def statistics(edges: DataFrame) -> DataFrame:
     """(kind, n, documents, targets, with_article)."""
     return edges.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("doc").alias("documents"), F.countDistinct("title").alias("targets"), F.round(F.avg(F.col("article").isNotNull().cast("double")), 4).alias("with_article"))

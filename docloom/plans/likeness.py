@@ -68,3 +68,35 @@ def resolve_target(t):
     strong = made.where("k < 30").select(F.concat(F.lit("R"), F.col("k").cast("string")).alias("ref"), "title", "number")
     weak = made.where("k between 30 and 39").select(F.concat(F.lit("W"), F.col("k").cast("string")).alias("ref"), "title", "number")
     return R.resolve_target(refs, strong, weak).select("p_partkey", "target", "weak_key", "method")
+
+
+@query("""with p as (select p_partkey doc, p_partkey % 30 k, 30 + p_partkey * 3 % 30 j, (p_size % 6 + 1)::int a from part)
+select doc, '某' || k::varchar || '号办法' title, null::int src_article, 'basis' as kind, 'R' || k::varchar as target, null::int as article, null::varchar as state from p
+union all select doc, '某' || j::varchar || '号办法', 1, 'basis', case when j < 45 then 'R' || j::varchar end, a, case when j < 45 then case when a <= j % 4 + 1 then 'verified' else 'out_of_range' end end from p""")
+def relation_edges(t):
+    """Located relations of texts made of parts: each cites one rule in its head, and an article of another in its first article."""
+    from ..operators import relations as R
+
+    k, j = F.col("p_partkey") % 30, F.lit(30) + F.col("p_partkey") * 3 % 30
+    title = lambda n: F.concat(F.lit("某"), n.cast("string"), F.lit("号办法"))
+    body = F.concat(F.lit("根据《"), title(k), F.lit("》制定。\n第一条 依据《"), title(j), F.lit("》第"), (F.col("p_size") % 6 + 1).cast("string"), F.lit("条办理。"))
+    docs = t("part").select(F.col("p_partkey").alias("doc_id"), body.alias("text"))
+    rules = t("part").select((F.col("p_partkey") % 45).alias("i")).distinct().select("i", F.concat(F.lit("R"), F.col("i").cast("string")).alias("ref"), F.lit("").alias("number"), title(F.col("i")).alias("title"))
+    clauses = rules.select(F.col("ref").alias("doc"), F.explode(F.sequence(F.lit(1), (F.col("i") % 4 + 1).cast("int"))).alias("number"))
+    return R.located(docs, rules.drop("i"), clauses).select("doc", "title", "src_article", "kind", "target", "article", "state")
+
+
+@query("""with p as (select p_partkey, p_partkey % 40 k, p_size % 3 s from part), i as (select p_partkey as row, case s when 0 then k else -1 end no, case s when 1 then k else -2 end ti, case s when 2 then k else -3 end co, k from p)
+select row, 'G' || lpad(case when no >= 0 then no when ti >= 0 then ti else co end::varchar, 2, '0') as ref, case when no >= 0 then 1 when ti >= 0 then 2 else 3 end as level from i""")
+def registry_levels(t):
+    """Records made of parts, registered by number, by theme and title, or by a title that is part of another on the same day."""
+    from ..operators import registry as G
+
+    k, s = F.lpad((F.col("p_partkey") % 40).cast("string"), 2, "0"), F.col("p_size") % 3
+    whole = lambda n: F.concat(F.lit("某类"), n, F.lit("号业务管理办法"))
+    number, day = lambda n: F.concat(F.lit("保监发〔2014〕1"), n, F.lit("号")), lambda n: F.concat(F.lit("2020-01-"), n)
+    asked = t("part").select(F.col("p_partkey").alias("row"), F.when(s == 1, "T").otherwise("").alias("theme"), F.when(s == 0, "无名").when(s == 1, whole(k)).otherwise(F.concat(F.lit("关于"), whole(k), F.lit("的通知"))).alias("title"), F.when(s == 0, number(k)).otherwise("").alias("number"), F.when(s == 2, day(k)).otherwise("").alias("published"))
+    made = t("part").select(F.lpad((F.col("p_partkey") % 40).cast("string"), 2, "0").alias("n")).distinct()
+    by_number = made.select(F.concat(F.lit("G"), "n").alias("ref"), F.lit("U").alias("theme"), F.lit("别名").alias("title"), number(F.col("n")).alias("number"), F.lit("").alias("published"))
+    by_title = made.select(F.concat(F.lit("G"), "n").alias("ref"), F.lit("T").alias("theme"), whole(F.col("n")).alias("title"), F.lit("").alias("number"), day(F.col("n")).alias("published"))
+    return G.registered(asked, by_number.union(by_title))

@@ -83,3 +83,22 @@ def test_targets_by_tiers_containment_and_the_weak_index(spark):
     assert got["关于适用公司法的若干规定"] == (None, None, "unresolved")
     strict = {r.title: r.method for r in R.resolve_target(refs, index, weak, strict=True).collect()}
     assert "title_contains" not in strict.values() and len(strict) == len(names)
+
+
+def test_located_relations_and_their_gate(spark):
+    from docloom.operators import relations as R
+
+    text = "总述，根据《甲办法》制定。\n第一条 依据《乙规定》第二条办理。\n第二条 《丙通知》第九条同时废止。再按《甲办法》。"
+    docs = spark.createDataFrame([(1, text), (2, None), (3, "无")], "doc_id long, text string")
+    index = spark.createDataFrame([("A", "", "甲办法"), ("B", "", "乙规定")], "ref string, number string, title string")
+    clauses = spark.createDataFrame([("B", 1), ("B", 2)], "doc string, number int")
+    edges = R.located(docs, index, clauses)
+    got = {(r.title, r.kind): (r.src_article, r.target, r.article, r.state) for r in edges.collect()}
+    assert got == {("甲办法", "basis"): (None, "A", None, None), ("乙规定", "basis"): (1, "B", 2, "verified"), ("丙通知", "repeal"): (2, None, 9, None)}
+    at = {(r.found, r.at) for r in R.offsets(docs, "doc_id", "text", "《[^《》]+》").collect()}
+    assert at == {(f"《{t}》", i) for t in ("甲办法", "乙规定", "丙通知") for i in range(len(text)) if text.startswith(f"《{t}》", i)}
+    assert R.gate(edges, index, {"basis": 2, "repeal": 1}).count() == 0
+    from pyspark.sql import functions as F
+
+    bad = edges.union(edges.where("title = '甲办法'")).withColumn("snippet", F.when(F.col("title") == "丙通知", "").otherwise(F.col("snippet")))
+    assert {r.rule: r.n for r in R.gate(bad, index.where("ref <> 'B'"), {"basis": 2, "repeal": 1}).collect()} == {"ids": 1, "trace": 1, "refs": 1, "stat": 1}
