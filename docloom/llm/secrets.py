@@ -26,7 +26,7 @@ MIN_TEXTS = 5
 #: weight is learnt; trees of the forest.
 N_WORDS, N_LABELLED, N_LEARNT, N_TREES, DEPTH = 500, 12_000, 300, 30, 9
 SECRET_FROM = 0.5
-FEATURES = ["length", "runs", "digits", "capitals", "marks", "different", "vowels", "transitions", "hex", "coverage", "assigned", "quoted", "neighbours", "path_parts"]
+FEATURES = ["length", "runs", "digits", "capitals", "marks", "different", "vowels", "transitions", "hex", "coverage", "assigned", "quoted", "login", "neighbours", "path_parts"]
 MASK = "<secret>"
 #: Kinds of characters that transitions are counted between: the letters in lower case, digits, all else.
 _KINDS = 28
@@ -105,7 +105,7 @@ def with_features(found: DataFrame, words: DataFrame, logs: list[float], near: C
         "length": F.length("token"), "runs": share("[a-z]+|[A-Z]+|[0-9]+|[^A-Za-z0-9]+"), "digits": share("[0-9]"), "capitals": share("[A-Z]"), "marks": share("[^A-Za-z0-9]"),
         "different": F.size(F.array_distinct(F.split("token", ""))) / F.length("token"), "vowels": share("[aeiouAEIOU]"), "transitions": total(pairs) / (F.length("token") - 1),
         "hex": F.col("token").rlike("^([0-9a-f]+|[0-9A-F]+)$"), "coverage": F.coalesce("_known", F.lit(0)) / F.length("token"),
-        "assigned": before.rlike(r"[=:@]\s*[\"']?$"), "quoted": before.rlike("[\"']$") & after.rlike("^[\"']"),
+        "login": before.rlike(r"://[^\s/@:]*:$") & after.rlike("^@"), "assigned": before.rlike(r"[=:@]\s*[\"']?$"), "quoted": before.rlike("[\"']$") & after.rlike("^[\"']"),
         "neighbours": weigh(neighbours(before), near), "path_parts": weigh(path_parts(F.col("path")), paths),
     }
     return rows.select(*found.columns, *(c.cast("double").alias(n) for n, c in columns.items()))
@@ -117,8 +117,8 @@ def labelled_findings(spark: SparkSession, words: list[str], n: int = N_LABELLED
     A finding has a form, a context and a path, drawn apart from each other; label tells what a reviewer would say.
     Forms: keys of known makes (AKIA, ghp_, sk_live_, xoxb-, JSON web tokens, PEM lines), random ones (hex, base 64, mixed,
     short), identifiers (uuid, digests, numbers, versions), words (joined by case, _, -, /), placeholders.
-    Contexts: telling (secret = "..., Authorization: Bearer, the password of a URL), naming (commit, checksum, uuid),
-    plain words. Known makes are secrets wherever they stand; random forms where something tells, and mixed or base-64 ones
+    Contexts: telling (secret = "..., Authorization: Bearer, the password of a URL of any scheme), naming (commit, checksum,
+    uuid, the host, port and path of a URL), plain words. Known makes are secrets wherever they stand; random forms where something tells, and mixed or base-64 ones
     also among plain words; nothing else is. In paths of tests, examples and documentation fifteen of sixteen are not.
     """
     words = words or ["placeholder", "identifier", "configuration", "description"]
@@ -135,15 +135,18 @@ def labelled_findings(spark: SparkSession, words: list[str], n: int = N_LABELLED
                  F.concat(F.lit("eyJhbGciOiJIUzI1NiIsInR5cCI6IkpXVCJ9.eyJ"), F.substring(plain64, 1, 40), F.lit("."), F.substring(F.translate(b64, "+/", "-_"), 20, 43)), F.concat(F.lit("MIIE"), F.substring(b64, 1, 60))],
         "random": [F.substring(sha("h"), 1, 40), F.substring(sha("h"), 1, 32), F.substring(sha("h"), 1, 64), F.upper(F.substring(sha("h"), 1, 32)), cut_to(sha("h"), 20, 48)],
         "mixed": [F.substring(b64, 1, 40), F.concat(F.substring(b64, 1, 43), F.lit("=")), cut_to(F.translate(b64, "+/", "-_"), 16, 40), cut_to(plain64, 16, 24), F.substring(b64, 1, 64)],
-        "short": [cut_to(plain64, 8, 15), cut_to(F.translate(b64, "+/", "-_"), 10, 15), F.concat(title("s"), F.substring(number, 1, 3), F.substring(plain64, 1, 3))],
+        "short": [cut_to(plain64, 8, 15), cut_to(F.translate(b64, "+/", "-_"), 10, 15), F.concat(title("s"), F.substring(number, 1, 3), F.substring(plain64, 1, 3)), F.concat(word("s"), F.substring(number, 1, 1), F.substring(F.lower(plain64), 1, 3))],
         "identifier": [F.concat_ws("-", F.substring(sha("u"), 1, 8), F.substring(sha("u"), 9, 4), F.substring(sha("u"), 13, 4), F.substring(sha("u"), 17, 4), F.substring(sha("u"), 21, 12)), F.rpad(number, 16, "0"), F.concat(F.lit("2024"), F.substring(number, 1, 4), F.lit("T"), F.substring(number, 3, 6), F.lit("Z")), F.concat(F.lit("v1-2-"), F.substring(number, 1, 4), F.lit("-beta")), F.concat(word("x"), F.substring(number, 1, 4))],
         "words": [F.concat(word("a"), word("b"), word("c"), word("d"), word("e")), F.concat(word("a"), title("b"), title("c"), title("d")), F.concat_ws("_", word("a"), word("b"), word("c"), word("d"), word("e")), F.concat_ws("/", word("a"), word("b"), word("c"), word("d"), word("e")), F.concat_ws("-", word("a"), word("b"), word("c"), word("d"), F.lit("2024")), F.concat(word("a"), F.substring(number, 1, 2), word("b"), F.substring(number, 3, 1))],
         "placeholder": [F.rpad(F.lit("x"), 24, "x"), F.rpad(F.lit("-"), 30, "-"), F.concat(F.lit("YOUR_"), F.upper(word("a")), F.lit("_KEY_HERE")), F.concat(F.lit("EXAMPLE-"), F.upper(word("a")), F.upper(word("b")), F.upper(word("c"))), F.lit("changeme12345678"), F.lit("00000000000000000000000000000000"), F.lit("abcdefghijklmnopqrstuvwxyz")],
     }
     telling = F.concat(word("g"), F.lit(" "), pick("t", ["token", "api_key", "apikey", "secret", "client_secret", "password", "passwd", "auth_token", "Authorization: Bearer", "access key", "AWS key", "private_key", "credential", "pwd", "db_password"]), pick("s", [" = \"", "=", ": ", ": '", " = ", "\": \"", " "]))
-    url = F.concat(F.lit("postgres://"), word("g"), F.lit(":"))
+    scheme = pick("q", ["postgres://", "https://", "http://", "mysql://", "redis://", "amqp://", "mongodb://", "ftp://", "ssh://", "smtp://"])
+    url = F.concat(scheme, word("g"), F.lit(":"))
+    link = F.concat(scheme, word("g"), pick("dot", [".com/", ".org/", ".net/v1/", ":8080/", ".com:443/"]))
     pem = F.lit("-----BEGIN PRIVATE KEY-----\n")
     naming = F.concat(word("g"), pick("m", [" commit ", " sha1: ", " sha256=", " checksum=", " revision ", " digest: ", " md5=", " uuid ", " etag: \"", " id: ", " build ", " integrity=", " image "]))
+    naming = F.when(F.pmod(F.xxhash64("id", F.lit("link")), F.lit(6)) == 0, link).otherwise(naming)
     among = F.concat(word("g"), F.lit(" "), word("i"), F.lit(" "))
     rows = spark.range(n).withColumn("form", pick("form", ["make", "random", "random", "mixed", "short", "identifier", "words", "placeholder"])).withColumn("where", pick("where", ["telling", "telling", "telling", "naming", "naming", "among"]))
     # Each form on its own, so that no row's plan holds them all.
@@ -153,7 +156,7 @@ def labelled_findings(spark: SparkSession, words: list[str], n: int = N_LABELLED
     rows = rows.select("id", "form", "where", token.alias("token"), before.alias("before"), pick("p", ["src/main", "config", "deploy/prod", "tests/data", "docs", "examples", "", "", "", ""]).alias("path"))
     secret = (F.col("form") == "make") | (F.col("form").isin("random", "mixed", "short") & (F.col("where") == "telling")) | ((F.col("form") == "mixed") & (F.col("where") == "among"))
     tame = F.col("path").rlike("test|doc|example") & (F.pmod(F.xxhash64("id", F.lit("tame")), F.lit(16)) > 0)
-    after = F.when(F.col("before").rlike("\"$"), "\" ").when(F.col("before").rlike("'$"), "' ").when(F.col("before").startswith("postgres"), "@db ").otherwise(" ")
+    after = F.when(F.col("before").rlike("\"$"), "\" ").when(F.col("before").rlike("'$"), "' ").when(F.col("before").rlike("://[a-z]*:$"), F.concat(F.lit("@"), word("h"), pick("host", [" ", ".com/", ":5432/", ".org ", "/"]))).otherwise(" ")
     return rows.select("id", "token", "before", after.alias("after"), "path", (secret & ~tame).cast("double").alias("label")).where(F.col("token").rlike(f"^(?:{CANDIDATE})$"))
 
 

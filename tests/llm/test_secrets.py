@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import pathlib
 import re
 
 from docloom.llm.secrets import FEATURES, MASK, SECRET_FROM, Judge, labelled_findings, masked, scan
@@ -78,6 +79,18 @@ def test_keys_of_many_forms(spark):
     assert len(got & want) >= 0.85 * len(want) and len(got - want) <= 1
 
 
+def test_findings_from_another_source(spark):
+    """Findings written by hand, not by the rule that the forest learns from: text, tab, the secret in it (or nothing)."""
+    lines = [x.split("\t") for x in (pathlib.Path(__file__).parent / "findings.tsv").read_text().splitlines() if x and not x.startswith("#")]
+    words = ["house", "river", "letter", "garden", "window", "market", "station", "picture", "morning", "village", "function", "server", "user"]
+    rows = [(i, text, path) for i, (path, text, *_) in enumerate(lines)] + [(1000 + i, " ".join(words), "") for i in range(9)]
+    found = scan(spark.createDataFrame(rows, "doc_id long, text string, source string")).where("is_secret").collect()
+    got = {(r.doc_id, r.sha256) for r in found}
+    want = {(i, hashlib.sha256(secret[0].encode()).hexdigest()) for i, (_, _, *secret) in enumerate(lines) if secret and secret[0]}
+    missed, wrong = [lines[i] for i, h in want - got], [lines[i] for i, h in got - want]
+    assert len(got & want) >= 0.85 * len(want) and len(got & want) >= 0.85 * len(got), (missed, wrong)
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     assert scan(odd_docs).count() == 0 and scan(no_docs).count() == 0
     text = f'the word api_key = "{KEY}" and commit {KEY[::-1]} and aaaaaaaaaaaaaaaaaaaaaaaa end'
