@@ -28,7 +28,7 @@ def registered(asked: DataFrame, register: DataFrame) -> DataFrame:
     """(row, ref, level) of asked (row, theme, title, number, published) in register (ref, theme, title, number, published).
 
     L1: equal numbers of NUMBER characters or more, those of the same theme first. L2: the same theme and title. L3: one
-    title in the other, INNER letters or more, if both have the same number, or neither has one and both the same date. The
+    title in the other, INNER letters or more, or equal to it, if both have the same number, or neither has one and both the same date. The
     best level counts, then the least ref; rows without any are left out. Numbers and titles are compared as normal keys.
     """
 

@@ -105,3 +105,51 @@ def sketched_months(t):
     """Median, ninth decile and users of each type of event in each month, from daily sketches alone."""
     events = t("events").withColumn("month", F.date_format("ts", "yyyy-MM"))
     return K.merged(K.daily(events, ["event_type", "month"], F.to_date("ts"), "value", "user_id"), ["event_type", "month"], [0.5, 0.9])
+
+
+_MADE = "coalesce(text, '') body, coalesce(lang, '') title, coalesce(source, '') category"
+_INDEX = "case doc_id % 5 when 0 then 'G' || doc_id::varchar when 1 then 'M' || doc_id::varchar when 2 then 'N' || doc_id::varchar when 3 then '' else 'S' || doc_id::varchar end"
+
+
+@query(f"""with m as (select doc_id, {_INDEX} i, 'u' || doc_id::varchar u, case doc_id % 5 when 0 then 'gov' when 1 then 'mof' when 2 then 'nfra' when 3 then 'pbc' else 'supp' end s, {_MADE} from documents)
+select s as source, i as index_no, title, category, u as source_url, length(body) as chars, sha256((case when i = '' and s in ('gov', 'pbc') then u else i end) || '|' || u || '|') as dedup_key from m""")
+def map_sources(t):
+    """Raw records of all five sources, each with its own field names, in the common columns."""
+    from ..operators import mapping as M
+
+    d = t("documents").withColumn("id_", F.col("doc_id").cast("string"))
+    url, text, title, kind = F.concat(F.lit("u"), "id_"), F.col("text"), F.col("lang").alias("title"), F.col("source")
+    raw = {
+        "gov": [F.concat(F.lit("G"), "id_").alias("bbbs"), title, kind.alias("category"), url.alias("detail_url"), text.alias("full_text")],
+        "mof": [F.concat(F.lit("M"), "id_").alias("id"), title, kind.alias("category_name"), F.lit("").alias("detail_link"), url.alias("api_link"), text.alias("content_text")],
+        "nfra": [F.lit("").alias("index_no"), F.concat(F.lit("N"), "id_").alias("doc_id"), title, kind.alias("category_type"), url.alias("detail_url"), text.alias("content")],
+        "pbc": [title, kind.alias("category"), url.alias("detail_url"), text.alias("content")],
+        "supp": [F.concat(F.lit("S"), "id_").alias("task_index"), title, kind.alias("category"), url.alias("source_url"), text.alias("body_text")],
+    }
+    found = [M.mapped(d.where(F.col("doc_id") % 5 == i).select(*columns), name, lambda raw, title, body: F.lit("")) for i, (name, columns) in enumerate(raw.items())]
+    every = found[0]
+    for other in found[1:]:
+        every = every.unionByName(other)
+    return every.select("source", "index_no", "title", "category", "source_url", F.length("body_text").alias("chars"), "dedup_key")
+
+
+@query("select p_partkey, case p_partkey % 5 when 0 then '通知' when 1 then '办法' when 2 then '决定书' when 3 then '法' end as doc_type, case p_partkey % 5 when 0 then '公文' when 1 then '法规类型' when 2 then '其他_答复处理' when 3 then '法规类型' else '其他未分类' end as kind_group, case p_partkey % 5 when 0 then 'end' when 1 then 'end_bracket' when 2 then 'end' when 3 then 'middle' else 'not_found' end as place from part")
+def document_types(t):
+    """Kinds of documents by titles made of the names of parts."""
+    from ..functions import documents as D
+
+    n, name = F.col("p_partkey") % 5, F.col("p_name")
+    title = F.when(n == 0, F.concat(name, F.lit("的通知"))).when(n == 1, F.concat(F.lit("令(某某"), name, F.lit("管理办法)"))).when(n == 2, F.concat(name, F.lit("处罚决定书"))).when(n == 3, F.concat(F.lit("保险法"), name)).otherwise(name)
+    found = D.document_type(title)
+    return t("part").select("p_partkey", found.alias("d")).select("p_partkey", "d.doc_type", F.col("d.group").alias("kind_group"), F.col("d.match_pos").alias("place"))
+
+
+@query("select p_partkey, case when p_partkey % 2 = 0 then '2024-0' || (p_partkey % 9 + 1)::varchar || '-05' when p_partkey % 3 = 0 then '2023-11' else '' end as day from part")
+def strict_dates(t):
+    """Dates of several forms, made of the keys of parts, strictly."""
+    from ..functions import text as X
+
+    n = F.col("p_partkey")
+    month = (n % 9 + 1).cast("string")
+    raw = F.when(n % 2 == 0, F.concat(F.lit("2024年"), month, F.lit("月5日印发"))).when(n % 3 == 0, "2023/11").otherwise(F.concat(F.lit("约"), month, F.lit("月")))
+    return t("part").select("p_partkey", X.date_strict(raw).alias("day"))

@@ -34,7 +34,7 @@ def test_registered_against_brute_force(spark):
                 best.append((1, 0 if theme and theme == theme2 else 1, ref))
             if theme and t and theme == theme2 and t == t2:
                 best.append((2, 0, ref))
-            if min(len(t), len(t2)) >= 2 and (t in t2 or t2 in t) and ((d and d == d2) or (not d and not d2 and date and date == date2)):
+            if t and (t == t2 or min(len(t), len(t2)) >= 2 and (t in t2 or t2 in t)) and ((d and d == d2) or (not d and not d2 and date and date == date2)):
                 best.append((3, 0, ref))
         if best:
             level, _, ref = min(best)

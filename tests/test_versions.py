@@ -85,3 +85,19 @@ def test_a_derived_table_is_brought_up_to_date(spark, tmp_path):
     full = Versions(spark, str(tmp_path / "f"))
     full.rebuild(source(list(texts.items())), "id", "sha", build)
     assert rows(index.read()) == rows(full.read()) and parsed[1] == 3
+
+
+def test_a_base_is_published_whole(spark, tmp_path):
+    from docloom.sources.publish import Base
+
+    base = Base(spark, str(tmp_path / "b"))
+    records = spark.createDataFrame([(1, "a", "r1"), (2, "b", "r2")], "id long, title string, raw_path string")
+    clauses = spark.createDataFrame([("1:1", 1), ("2:1", 2), ("9:1", 9)], "clause string, id long")
+    assert base.publish({"records": (records, "id"), "clauses": (clauses, "clause")}, "first") == 1
+    assert base.read("records").columns == ["id", "title"] and rows(base.dangling("clauses", "id", "records")) == [("9:1", 9)]
+    more = records.where("id = 1").union(spark.createDataFrame([(3, "c", "r3")], records.schema))
+    assert base.publish({"records": (more, "id"), "clauses": (clauses, "clause")}, "second") == 2
+    first, second = base.history()
+    assert first["tables"]["clauses"] == second["tables"]["clauses"] and second["tables"]["records"] == {"version": 2, "rows": 2, "key": "id"}
+    assert rows(base.read("records", 1)) == [(1, "a"), (2, "b")] and rows(base.read("records")) == [(1, "a"), (3, "c")]
+    assert rows(base.not_projected("records", records)) == [(2, "b", "r2")] and base.not_projected("records", more).count() == 0
