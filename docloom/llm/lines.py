@@ -69,10 +69,10 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE_SQL = r"""
 WITH docs AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
-each AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS at FROM docs),
-keyed AS (SELECT doc_id, line, at, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM each),
+each AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM docs),
+keyed AS (SELECT doc_id, line, pos, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM each),
 shared AS (SELECT key, min(doc_id) AS first FROM keyed WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
 told AS (SELECT k.*, s.first IS NOT NULL AND k.doc_id > s.first AS lost FROM keyed k LEFT JOIN shared s ON k.key = s.key)
-SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE lost) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE NOT lost), '')) AS kept_sha256
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE lost) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT lost), '')) AS kept_sha256
 FROM told GROUP BY doc_id
 """
