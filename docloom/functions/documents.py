@@ -36,13 +36,22 @@ def _by_length() -> list[str]:
 def document_type(title: Column) -> Column:
     """Struct (doc_type, group, match_pos) of a title: the longest kind that it ends with, in brackets at its end first; else
     the longest that it holds. match_pos: end_bracket, end, middle, not_found, empty_title."""
-    kinds, t = _by_length(), F.trim(F.coalesce(title, F.lit("")))
-    inner = F.trim(F.regexp_extract(t, r"^.*?[（(]([^（）()]+)[）)]\s*$", 1))
-    first = lambda test: F.coalesce(*(F.when(test(k), F.lit(k)) for k in kinds))
-    bracket, end, middle = first(lambda k: F.endswith(inner, F.lit(k))), first(lambda k: F.endswith(t, F.lit(k))), first(lambda k: F.contains(t, F.lit(k)))
-    kind = F.coalesce(F.when(inner != "", bracket), end, middle)
-    place = F.when(t == "", "empty_title").when((inner != "") & bracket.isNotNull(), "end_bracket").when(end.isNotNull(), "end").when(middle.isNotNull(), "middle").otherwise("not_found")
-    group = F.coalesce(*(F.when(kind == k, g) for k, g in GROUPS.items()), F.when(t != "", "其他未分类"))
+    t = F.trim(F.coalesce(title, F.lit("")))
+    return _kind_of(t, F.trim(F.regexp_extract(t, r"^.*?[（(]([^（）()]+)[）)]\s*$", 1)))
+
+
+@bound
+def _kind_of(t: Column, inner: Column) -> Column:
+    first = lambda test: F.coalesce(*(F.when(test(F.lit(k)), F.lit(k)) for k in _by_length()))
+    return _placed(F.struct(F.when(inner != "", first(lambda k: F.endswith(inner, k))).alias("bracket"), first(lambda k: F.endswith(t, k)).alias("end"), first(lambda k: F.contains(t, k)).alias("middle"), (t == "").alias("empty")))
+
+
+@bound
+def _placed(found: Column) -> Column:
+    kind = F.coalesce(found["bracket"], found["end"], found["middle"])
+    place = F.when(found["empty"], "empty_title").when(found["bracket"].isNotNull(), "end_bracket").when(found["end"].isNotNull(), "end").when(found["middle"].isNotNull(), "middle").otherwise("not_found")
+    groups = F.create_map(*(F.lit(x) for pair in GROUPS.items() for x in pair))
+    group = F.coalesce(F.try_element_at(groups, kind), F.when(~found["empty"], "其他未分类"))
     return F.struct(kind.alias("doc_type"), group.alias("group"), place.alias("match_pos"))
 
 

@@ -22,6 +22,8 @@ from .search import K1, B, occurrences
 BLOCK_ROWS, FIRST, LISTED = 100_000, 4, 1000
 #: Files of a block, by terms.
 SLICES = 8
+#: What the list of segments tells of each.
+ENTRY = "number int, folder string, base boolean, n_rows long, total long, n_blocks long, columns array<string>, kind string"
 
 
 class Found(NamedTuple):
@@ -85,7 +87,7 @@ class TextIndex:
         return index
 
     def _segments(self) -> list:
-        found = self.spark.read.parquet(f"{self.path}/segments").orderBy("number").collect()
+        found = sorted(self.spark.read.schema(ENTRY).parquet(f"{self.path}/segments").collect(), key=lambda s: s["number"])
         base = max(i for i, s in enumerate(found) if s["base"])
         return found[base:]
 
@@ -95,11 +97,11 @@ class TextIndex:
         except AnalysisException:
             return None
 
-    def _part(self, name: str, live: bool = True) -> DataFrame:
+    def _part(self, name: str, live: bool = True, segments: list | None = None) -> DataFrame:
         """A table of all segments, with their numbers; rows that are dead left out."""
         dead = self._dead() if live else None
         parts = []
-        for s in self._segments():
+        for s in segments or self._segments():
             counts = ", ".join(f"f{i} int" for i in range(len(s["columns"])))
             schema = {"rows": f"row {s['kind']}, block int, length long", "postings": f"term string, row {s['kind']}, {counts}, length long, block int", "impacts": f"term string, block int, n long, {counts}, length long"}[name]
             part = self.spark.read.schema(schema).parquet(f"{self.path}/{s['folder']}/{name}").withColumn("segment", F.lit(s["number"]))
@@ -127,9 +129,9 @@ class TextIndex:
         impacts = kept.groupBy("term", "block").agg(F.count(F.lit(1)).alias("n"), *most, F.min("length").alias("length"))
         impacts.repartitionByRange("term").sortWithinPartitions("term").write.parquet(f"{at}/impacts")
         kind = dict(rows.dtypes)["row"]
-        told = self.spark.read.schema(f"row {kind}, block int, length long").parquet(f"{at}/rows").agg(F.count(F.lit(1)), F.sum("length")).first()
-        entry = [(number, folder, base, told[0], told[1] or 0, columns, kind)]
-        self.spark.createDataFrame(entry, "number int, folder string, base boolean, n_rows long, total long, columns array<string>, kind string").coalesce(1).write.mode("append").parquet(f"{self.path}/segments")
+        told = self.spark.read.schema(f"row {kind}, block int, length long").parquet(f"{at}/rows").agg(F.count(F.lit(1)), F.sum("length"), F.count_distinct("block")).first()
+        entry = [(number, folder, base, told[0], told[1] or 0, told[2], columns, kind)]
+        self.spark.createDataFrame(entry, ENTRY).coalesce(1).write.mode("append").parquet(f"{self.path}/segments")
 
     def _next(self) -> int:
         dead = self._dead()
@@ -166,11 +168,12 @@ class TextIndex:
         terms. Blocks get an upper bound of their scores from the impacts; the FIRST best are scored, and then all others
         whose bound is not below the k-th score so far. Their number passes the driver, no rows do.
         """
-        columns, tokens = self._segments()[-1]["columns"], tokens_of(text)
+        segments, tokens = self._segments(), tokens_of(text)
+        columns = segments[-1]["columns"]
         weight = [float(weights.get(c, 0.0)) for c in columns]
         if set(weights) != set(columns):
             raise ValueError(f"the lengths in the index are those of {columns}, so each needs a weight")
-        impacts = self._part("impacts", live=False)
+        impacts = self._part("impacts", False, segments)
         holds = reduce(Column.__or__, [F.contains("term", F.lit(t)) for t in tokens], F.lit(False))
         hits = impacts.where(holds)
         terms = hits.select("term").distinct()
@@ -181,8 +184,9 @@ class TextIndex:
             return found.groupBy("segment", "block", "row").agg(F.first("length").alias("len"), *(F.sum(occurrences(F.col("term"), t) * tf).alias(f"tf{i}") for i, t in enumerate(tokens)))
 
         tf = reduce(Column.__add__, [F.lit(w) * F.col(f"f{i}") for i, w in enumerate(weight)])
-        n, total = self._totals()
-        counts = self._frequencies(hits, tokens, matched, len(listed), weight)
+        postings = self._part("postings", True, segments)
+        n, total = self._totals(segments)
+        counts = self._frequencies(hits, tokens, matched(postings), len(listed), weight)
         idf = [max(1e-6, math.log((n - c + 0.5) / (c + 0.5))) for c in counts]
         average = total / n if n else 0.0
 
@@ -193,28 +197,27 @@ class TextIndex:
         every = reduce(Column.__and__, [c > 0 for c in names], F.lit(True))
         best = hits.groupBy("segment", "block").agg(F.min("length").alias("len"), *(F.sum(occurrences(F.col("term"), t) * tf).alias(f"tf{i}") for i, t in enumerate(tokens)))
         bounds = best.where(every).select("segment", "block", score(names, F.col("len")).alias("most")).orderBy(F.desc("most"), "segment", "block").collect()
-        rows = matched(self._part("postings")).where(every).select("segment", "block", "row", F.round(score(names, F.col("len")), 6).alias("score"))
+        rows = matched(postings).where(every).select("segment", "block", "row", F.round(score(names, F.col("len")), 6).alias("score"))
         order = [F.desc("score"), "row"]
         first = bounds[:FIRST]
         least = rows.where(_in_blocks(first)).orderBy(*order).limit(k).agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least")).first()
         rest = [b for b in bounds[FIRST:] if least["n"] < k or b["most"] >= least["least"] - 1e-6]
-        of = self._part("rows", live=False).select("segment", "block").distinct().count()
-        return Found(rows.where(_in_blocks([*first, *rest])).select("row", "score").orderBy(*order).limit(k), len(first) + len(rest), of)
+        return Found(rows.where(_in_blocks([*first, *rest])).select("row", "score").orderBy(*order).limit(k), len(first) + len(rest), sum(s["n_blocks"] for s in segments))
 
-    def _totals(self) -> tuple[int, int]:
+    def _totals(self, segments: list) -> tuple[int, int]:
         if self._dead() is None:
-            return tuple(map(sum, zip(*((s["n_rows"], s["total"]) for s in self._segments()))))
-        told = self._part("rows").agg(F.count(F.lit(1)), F.sum("length")).first()
+            return tuple(map(sum, zip(*((s["n_rows"], s["total"]) for s in segments))))
+        told = self._part("rows", True, segments).agg(F.count(F.lit(1)), F.sum("length")).first()
         return told[0], told[1] or 0
 
-    def _frequencies(self, hits: DataFrame, tokens: list[str], matched, n_terms: int, weight: list[float]) -> list[int]:
+    def _frequencies(self, hits: DataFrame, tokens: list[str], matched: DataFrame, n_terms: int, weight: list[float]) -> list[int]:
         """Rows that hold each token: from the impacts if it stands in one term only and no row is dead, else from the postings."""
         used = reduce(Column.__or__, [F.col(f"f{i}") > 0 for i, w in enumerate(weight) if w], F.lit(False))
         if n_terms <= len(tokens) and self._dead() is None and all(weight):
             told = hits.agg(*(F.sum(F.when(F.contains("term", F.lit(t)), F.col("n"))).alias(f"n{i}") for i, t in enumerate(tokens)), *(F.count_distinct(F.when(F.contains("term", F.lit(t)) & used, F.col("term"))).alias(f"t{i}") for i, t in enumerate(tokens))).first()
             if all(told[f"t{i}"] <= 1 for i in range(len(tokens))):
                 return [told[f"n{i}"] or 0 for i in range(len(tokens))]
-        told = matched(self._part("postings")).agg(*(F.sum((F.col(f"tf{i}") > 0).cast("int")).alias(f"n{i}") for i in range(len(tokens)))).first()
+        told = matched.agg(*(F.sum((F.col(f"tf{i}") > 0).cast("int")).alias(f"n{i}") for i in range(len(tokens)))).first()
         return [told[f"n{i}"] or 0 for i in range(len(tokens))]
 
 

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..checkpoints import cut
 from ..functions import keys as K
 from ..functions.decisions import NOMINAL, is_body, is_generic, is_no_document, target_class
 from .clauses import NUMERAL, lines, numeral, target_check
@@ -124,26 +125,29 @@ def resolve_target(refs: DataFrame, index: DataFrame, weak: DataFrame | None = N
     unresolved, without either.
     """
     probe = F.coalesce(F.nullif(K.title_quoted(F.col(title)), F.lit("")), K.title_strict(F.col(title)))
+    asked = refs.select(number, title).distinct().withColumn("_p", probe)
+    none = F.lit(None)
 
-    def found(asked: DataFrame, entities: DataFrame) -> DataFrame:
-        met = resolve(asked, entities, ref, number, title)
+    def found(rows: DataFrame, entities: DataFrame) -> DataFrame:
+        met = cut(resolve(rows, entities, ref, number, title))
         if strict:
             return met
-        keyed = entities.select(K.title_quoted(F.col(title)).alias("key"), ref)
-        lost = met.where(F.col("target").isNull()).select(probe.alias("probe")).distinct()
+        keyed = cut(entities.select(K.title_quoted(F.col(title)).alias("key"), ref))
+        lost = met.where(F.col("target").isNull()).select(F.col("_p").alias("probe")).distinct()
         held = held_titles(lost, keyed, ref).select(F.col("probe").alias("_probe"), F.col("target").alias("_held"))
-        joined = met.withColumn("_p", probe).join(held, F.col("target").isNull() & (F.col("_p") == F.col("_probe")), "left")
+        joined = met.join(held, F.col("target").isNull() & (F.col("_p") == F.col("_probe")), "left")
         by_title = F.col("target").isNull() & F.col("_held").isNotNull()
         method, confidence = F.when(by_title, "title_contains").otherwise(F.col("method")), F.when(by_title, 0.7).otherwise(F.col("confidence"))
-        return joined.withColumn("method", method).withColumn("confidence", confidence).withColumn("target", F.coalesce("target", "_held")).drop("_p", "_probe", "_held")
+        return cut(joined.withColumn("method", method).withColumn("confidence", confidence).withColumn("target", F.coalesce("target", "_held")).drop("_probe", "_held"))
 
-    strong = found(refs, index)
+    solved = found(asked, index)
     if weak is None:
-        return strong.withColumn("weak_key", F.lit(None).cast(dict(index.dtypes)[ref]))
-    names = {c: F.col(c) for c in refs.columns}
-    open_ = found(strong.where(F.col("target").isNull()).select(*names.values()), weak).withColumnRenamed("target", "weak_key").withColumn("target", F.lit(None).cast(dict(index.dtypes)[ref]))
-    done = strong.where(F.col("target").isNotNull()).withColumn("weak_key", F.lit(None).cast(dict(weak.dtypes)[ref]))
-    return done.unionByName(open_)
+        solved = solved.withColumn("weak_key", none.cast(dict(index.dtypes)[ref]))
+    else:
+        rest = found(solved.where(F.col("target").isNull()).select(*asked.columns), weak).withColumnRenamed("target", "weak_key").withColumn("target", none.cast(dict(index.dtypes)[ref]))
+        solved = solved.where(F.col("target").isNotNull()).withColumn("weak_key", none.cast(dict(weak.dtypes)[ref])).unionByName(rest)
+    named = solved.select(F.col(number).alias("_n"), F.col(title).alias("_t"), "target", "weak_key", "method", "confidence")
+    return refs.join(named, F.col(number).eqNullSafe(F.col("_n")) & F.col(title).eqNullSafe(F.col("_t"))).drop("_n", "_t")
 
 
 def edges(found: DataFrame, index: DataFrame) -> DataFrame:
@@ -181,7 +185,7 @@ def located(docs: DataFrame, index: DataFrame, clauses: DataFrame, doc: str = "d
     marks = offsets(docs, doc, text, mark).select("doc", "at", numeral(F.regexp_extract("found", rf"第\s*({NUMERAL})\s*条", 1)).alias("number"))
     inside = locate(found.where("at is not null").select("doc", "at").distinct(), "at", marks, "doc", "at", "number").select(F.col("doc").alias("_doc"), F.col("at").alias("_at"), F.col("number").alias("src_article"))
     met = found.join(inside, (F.col("doc") == F.col("_doc")) & (F.col("at") == F.col("_at")), "left").drop("_doc", "_at", "at")
-    solved = resolve(met.withColumn("number", F.lit("")), index).drop("number")
+    solved = cut(resolve(cut(met.withColumn("number", F.lit(""))), index).drop("number"))
     cited = solved.where("target is not null and article is not null").select(F.col("target").alias("doc"), F.col("article").alias("number")).distinct()
     states = target_check(cited, clauses).select(F.col("doc").alias("_t"), F.col("number").alias("_n"), "state")
     out = solved.join(states, (F.col("target") == F.col("_t")) & (F.col("article") == F.col("_n")), "left")
