@@ -10,9 +10,18 @@ import pytest
 from docloom.streaming import events as E
 from docloom.streaming import state as S
 
+KEY = "spark.sql.streaming.stateStore.providerClass"
 SCHEMA = "event_id long, user_id long, ts timestamp, event_type string"
 
 
+@pytest.fixture(autouse=True)
+def own_state_store(spark):
+    """The provider that knows timers, for these tests only."""
+    S.with_timers(spark)
+    yield
+    spark.conf.unset(KEY)
+
+
 def made(spark):
     import datetime as dt
 
@@ -54,7 +63,6 @@ def run(stream, out, checkpoint):
 
 @pytest.mark.parametrize("shuffled", [False, True])
 def test_items_with_timers_and_a_restart(spark, tmp_path, shuffled):
-    S.with_timers(spark)
     static = made(spark)
     paths = batches(static, str(tmp_path), shuffled)
     inbox, out, at = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "checkpoint")
