@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from itertools import combinations
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Length up to which words are looked up by what is left of them without some letters.
+SHORT_WORD = 11
+
+
 def block_ratio(a: str, b: str) -> float:
     """2 * M / (length of a + length of b), M the letters in matching blocks: the longest one, then those left and right of it."""
     return SequenceMatcher(None, a, b).ratio()
@@ -122,11 +128,51 @@ def same_titles(rows: DataFrame, row: str, title: str, least: float = 0.82, inne
     return equal.union(other).select(F.col("ra").alias("a"), F.col("rb").alias("b"))
 
 
+def spare_letters(length: int, least: float) -> int:
+    """How many letters of a word of `length` at most stand in no matching block of a word with which it reaches `least`."""
+    other = next(n for n in range(1, length + 1) if math.ceil(least * (length + n) / 2 - 1e-9) <= n)
+    return length - math.ceil(least * (length + other) / 2 - 1e-9)
+
+
+def remains(word: str, spare: int) -> set[str]:
+    """What is left of a word without up to `spare` of its letters."""
+    return {"".join(kept) for n in range(max(1, len(word) - spare), len(word) + 1) for kept in combinations(word, n)}
+
+
+def by_deletions(left: DataFrame, right: DataFrame, word: str, other: str, least: float) -> DataFrame:
+    """(a, b, ratio) as `like_texts` gives, for words of up to SHORT_WORD letters on both sides.
+
+    The letters of matching blocks stand in both words in one order, so two words that reach the ratio have a remainder in
+    common: what is left of each without as many letters as it can spare (`spare_letters`). An equi-join on remainders
+    finds candidates whatever the alphabet, and their number grows with the words that are like each other.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, rests = [], []
+            for w in batch.column(0).to_pylist():
+                own = remains(w, spare_letters(len(w), least))
+                words += [w] * len(own)
+                rests += own
+            if words:
+                yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(rests)], names=["word", "rest"])
+
+    rests = lambda df, c: df.where(F.length(c).between(1, SHORT_WORD)).select(F.col(c).alias("word")).distinct().mapInArrow(run, "word string, rest string")
+    a, b = rests(left, word).withColumnRenamed("word", "a"), rests(right, other).withColumnRenamed("word", "b")
+    return verified(a.join(b, "rest").where("a <> b").select("a", "b").distinct(), least)
+
+
 def nearest_words(words: DataFrame, word: str, dictionary: DataFrame, entry: str, rank: str, least: float = 0.85) -> DataFrame:
     """(word, right, ratio): for each distinct word that is not in the dictionary the entry with the largest block ratio, of
-    `least` at least; of equals the first by `rank`. Words of one letter are left as they are."""
+    `least` at least; of equals the first by `rank`. Words of one letter are left as they are. Short words are met by their
+    remainders (`by_deletions`), longer ones by their rarest letters (`like_texts`)."""
     asked = words.where(F.length(word) > 1).select(F.col(word).alias("word")).distinct().join(dictionary.select(F.col(entry).alias("_e")), F.col("word") == F.col("_e"), "left_anti")
-    met = like_texts(asked, dictionary, "word", entry, least).where("ratio < 1")
+    longer = lambda df, c, n: df.where(F.length(c) >= n)
+    met = by_deletions(asked, dictionary, "word", entry, least)
+    # A long word may also be like shorter ones, as far as the ratio lets them be.
+    least_size = math.ceil(least / (2 - least) * (SHORT_WORD + 1) - 1e-9)
+    long_ = like_texts(longer(asked, "word", least_size), longer(dictionary, entry, least_size), "word", entry, least)
+    met = met.union(long_.where((F.length("a") > SHORT_WORD) | (F.length("b") > SHORT_WORD))).where("ratio < 1")
     placed = met.join(dictionary.select(F.col(entry).alias("b"), F.col(rank).alias("_rank")), "b")
     best = placed.groupBy(F.col("a").alias("word")).agg(F.min_by(F.struct("b", "ratio"), F.struct(-F.col("ratio"), "_rank")).alias("best"))
     return best.select("word", F.col("best.b").alias("right"), F.round("best.ratio", 6).alias("ratio"))

@@ -43,9 +43,10 @@ def test_titles(spark):
     assert set(found) == want and len(found) == len(want) and {(900, 902), (900, 904), (910, 912)} <= want
 
 
-def test_dictionary(spark):
-    entries = [(w, i) for i, w in enumerate(dict.fromkeys(made(4, 100, "abc", (2, 9))))]
-    words = made(5, 100, "abc", (1, 9)) + ["保险监督管理委员会"]
+@pytest.mark.parametrize("letters,size", [("abc", 9), ("abcd", 19)])
+def test_dictionary(spark, letters, size):
+    entries = [(w, i) for i, w in enumerate(dict.fromkeys(made(4, 100, letters, (2, size))))]
+    words = made(5, 100, letters, (1, size)) + [w[:4] + w[5:] for w in made(4, 100, letters, (2, size))] + ["保险监督管理委员会"]
     entries.append(("保险监督管理委员令", 500))
     known = dict(entries)
     want = {}
@@ -57,6 +58,14 @@ def test_dictionary(spark):
     assert {r.word: r.right for r in got} == want and want["保险监督管理委员会"] == "保险监督管理委员令"
 
 
+def test_spare_letters():
+    for least in (0.7, 0.85, 0.9):
+        for n in range(1, 20):
+            want = max(n - m for k in range(1, 60) for m in range(1, min(n, k) + 1) if 2 * m / (n + k) >= least - 1e-9)
+            assert L.spare_letters(n, least) == want
+    assert L.remains("abca", 1) == {"abca", "bca", "aca", "aba", "abc"}
+
+
 @pytest.mark.parametrize("part", [10**6, 3])
 def test_names_in_texts(spark, monkeypatch, part):
     monkeypatch.setattr(N, "PART", part)
