@@ -190,3 +190,17 @@ def scrubbed_json(payload: Column) -> Column:
 def without_secrets(payload: Column, names: str = "(?i)(token|secret|passw|api_?key|authorization|cookie)") -> Column:
     """A map without the entries whose names tell a secret."""
     return F.map_filter(payload, lambda k, _: ~k.rlike(names))
+
+
+def alike_rows(rows: DataFrame, row: str, title: str, within: list[str]) -> DataFrame:
+    """(a, b): rows (a < b) that agree in `within` and whose titles stand for one document: see `alike`.
+
+    Different titles are compared once for each value of `within`, however many rows have them; rows are put in for titles
+    that are alike.
+    """
+    named = rows.where(F.length(title) > 0).select(F.col(row).alias("_row"), F.col(title).alias("_title"), *within)
+    once = named.select("_title", *within).distinct()
+    met = once.withColumnRenamed("_title", "_a").join(once.withColumnRenamed("_title", "_b"), within).where(T.alike(F.col("_a"), F.col("_b")))
+    a = named.select(F.col("_row").alias("a"), F.col("_title").alias("_a"), *within)
+    b = named.select(F.col("_row").alias("b"), F.col("_title").alias("_b"), *within)
+    return a.join(met, [*within, "_a"]).join(b, [*within, "_b"]).where("a < b").select("a", "b")

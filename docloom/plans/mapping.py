@@ -178,10 +178,7 @@ def guise_summary(t):
 @query("select a.p_partkey a, b.p_partkey b from part a join part b on a.p_type = b.p_type and a.p_size = b.p_size and a.p_partkey < b.p_partkey where a.p_name = b.p_name or (length(a.p_name) <= length(b.p_name) and length(a.p_name) >= 6 and contains(b.p_name, a.p_name)) or (length(b.p_name) < length(a.p_name) and length(b.p_name) >= 6 and contains(a.p_name, b.p_name)) or 1 - levenshtein(a.p_name, b.p_name) / greatest(length(a.p_name), length(b.p_name), 1) >= 0.82")
 def title_pairs(t):
     """Parts of one type and size whose names stand for one document."""
-    p = t("part").select("p_partkey", "p_name", "p_type", "p_size")
-    a, b = p.alias("a"), p.alias("b")
-    met = a.join(b, (F.col("a.p_type") == F.col("b.p_type")) & (F.col("a.p_size") == F.col("b.p_size")) & (F.col("a.p_partkey") < F.col("b.p_partkey")))
-    return met.where(T.alike(F.col("a.p_name"), F.col("b.p_name"))).select(F.col("a.p_partkey").alias("a"), F.col("b.p_partkey").alias("b"))
+    return M.alike_rows(t("part"), "p_partkey", "p_name", ["p_type", "p_size"])
 
 
 @query("select page_id, regexp_replace(url, '[?#].*$', '') url, case when regexp_extract(url, '(\\d{4})', 1) = '' then '未知' else regexp_extract(url, '(\\d{4})', 1) end as year from pages")
