@@ -33,7 +33,7 @@ def reach(edges: DataFrame, src: str, dst: str, start: list, depth: int = 6) ->
     """
     spark = edges.sparkSession
     kind = dict(edges.dtypes)[src]
-    e = edges.select(F.col(src).alias("_s"), F.col(dst).alias("_d")).distinct()
+    e = cut(edges.select(F.col(src).alias("_s"), F.col(dst).alias("_d")).distinct())
     front = spark.createDataFrame([(x,) for x in start], f"node {kind}").withColumn("level", F.lit(0))
     seen = front
     for level in range(1, depth + 1):
@@ -122,7 +122,7 @@ def levels(edges: DataFrame, src: str, dst: str, most: int = 64) -> DataFrame:
     Each round lifts the nodes after those lifted last; it ends when none is lifted, after as many rounds as the longest
     path has steps. Raises ValueError after `most` rounds, as a cycle would never end.
     """
-    e = edges.select(F.col(src).alias("_s"), F.col(dst).alias("_d")).distinct()
+    e = cut(edges.select(F.col(src).alias("_s"), F.col(dst).alias("_d")).distinct())  # every round reads them
     now = cut(e.select(F.col("_s").alias("node")).union(e.select("_d")).distinct().withColumn("level", F.lit(0)))
     front = now
     for level in range(1, most + 1):
