@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..checkpoints import cut
+
 HAN_RUNS = "[一-鿿]+"
 #: Log probability that a letter outside the dictionary costs beyond that of the rarest word.
 UNKNOWN = 4.0
@@ -18,16 +20,16 @@ def grams(texts: DataFrame, text: str, most: int = 4, runs: str = HAN_RUNS) -> D
     """(gram, n, left, right) of all runs of 1 to `most` letters inside the runs that `runs` matches.
 
     left, right: the entropy (in nats) of the letters before and after; each place at an end of a run counts as a letter of
-    its own kind. Counts are combined by gram and neighbours before anything is shuffled.
+    its own kind. Equal runs are taken apart once, and counts are found once for both sides.
     """
-    each = texts.where(F.col(text).isNotNull()).select(F.explode(F.regexp_extract_all(F.col(text), F.lit(runs), 0)).alias("r"))
+    each = texts.where(F.col(text).isNotNull()).select(F.explode(F.regexp_extract_all(F.col(text), F.lit(runs), 0)).alias("r")).groupBy("r").agg(F.count(F.lit(1)).alias("times"))
 
     def of(size: int) -> Column:
         places = F.when(F.length("r") >= size, F.sequence(F.lit(1), F.length("r") - size + 1)).otherwise(F.array().cast("array<int>"))
         return F.transform(places, lambda i: F.struct(F.substr("r", i, F.lit(size)).alias("gram"), F.when(i > 1, F.substr("r", i - 1, F.lit(1))).otherwise("").alias("before"), F.when(i + size <= F.length("r"), F.substr("r", i + size, F.lit(1))).otherwise("").alias("after")))
 
-    rows = each.select(F.explode(F.concat(*(of(size) for size in range(1, most + 1)))).alias("g")).select("g.*")
-    counted = rows.groupBy("gram", "before", "after").agg(F.count(F.lit(1)).alias("n"))
+    rows = each.select("times", F.explode(F.concat(*(of(size) for size in range(1, most + 1)))).alias("g")).select("g.*", "times")
+    counted = cut(rows.groupBy("gram", "before", "after").agg(F.sum("times").alias("n")))
 
     def entropy(side: str) -> DataFrame:
         sums = counted.groupBy("gram", side).agg(F.sum("n").alias("n"))
