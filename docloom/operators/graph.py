@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..checkpoints import cut
 
+#: Pairs of a producer and a user that one task counts.
+TASK_PAIRS = 2_000_000
+
 
 def unique_edges(edges: DataFrame, keys: list[str], order: str, values: list[str]) -> DataFrame:
     """The first edge of each key."""
@@ -95,10 +100,18 @@ def overview(edges: DataFrame, src: str, dst: str, group: str, k: int) -> DataFr
 
 
 def through(produced: DataFrame, used: DataFrame, node: str, artifact: str) -> DataFrame:
-    """(node, neighbour, artifacts): nodes that use what a node produces, and over how many artifacts."""
-    a = produced.select(F.col(node).alias("node"), F.col(artifact).alias("_a")).distinct()
-    b = used.select(F.col(node).alias("neighbour"), F.col(artifact).alias("_b")).distinct()
-    return a.join(b, F.col("_a") == F.col("_b")).where("node <> neighbour").groupBy("node", "neighbour").agg(F.count(F.lit(1)).alias("artifacts"))
+    """(node, neighbour, artifacts): nodes that use what a node produces, and over how many artifacts.
+
+    Artifacts are dealt to so many tasks that each counts about TASK_PAIRS pairs, however many there are in all.
+    """
+    both = produced.select(F.col(node).alias("node"), F.col(artifact).alias("_a"), F.lit(1).alias("_p"), F.lit(0).alias("_u")).union(used.select(F.col(node), F.col(artifact), F.lit(0), F.lit(1)))
+    sizes = both.groupBy("_a").agg(F.sum("_p").alias("_p"), F.sum("_u").alias("_u"))
+    n_pairs = sizes.agg(F.sum(F.col("_p") * F.col("_u"))).first()[0] or 0
+    parts = max(int(produced.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(n_pairs / TASK_PAIRS))
+    a = produced.select(F.col(node).alias("node"), F.col(artifact).alias("_a")).repartition(parts, "_a").distinct()
+    b = used.select(F.col(node).alias("neighbour"), F.col(artifact).alias("_b")).repartition(parts, "_b").distinct()
+    met = a.join(b.hint("merge"), F.col("_a") == F.col("_b")).where("node <> neighbour").select("node", "neighbour")
+    return met.groupBy("node", "neighbour").agg(F.count(F.lit(1)).alias("artifacts"))
 
 
 def through_hubs(produced: DataFrame, used: DataFrame, node: str, artifact: str, most: int) -> tuple[DataFrame, DataFrame]:
