@@ -7,6 +7,7 @@ import math
 import uuid
 from collections import Counter
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 from typing import NamedTuple
 
@@ -20,6 +21,8 @@ from .search import K1, B, occurrences
 
 #: Rows of one block, blocks that are scored first, and terms of a query that are written into the filter of a scan.
 BLOCK_ROWS, FIRST, LISTED = 100_000, 4, 1000
+#: Letters of the texts whose terms a task holds at once, and rows of a batch that it is sent.
+PART_CHARS, BATCH_ROWS = 1 << 20, 500
 #: Files of a block, by terms.
 SLICES = 8
 #: What the list of segments tells of each.
@@ -38,6 +41,30 @@ def tokens_of(text: str) -> list[str]:
     return [t.strip("\"'").lower() for t in text.split()]
 
 
+def small_parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch (row, block, length, texts..), by length of PART_CHARS at most or of one row."""
+    start, held = 0, 0
+    for n, length in enumerate(batch.column(2).to_pylist()):
+        if held and held + length > PART_CHARS:
+            yield batch.slice(start, n - start)
+            start, held = n, 0
+        held += length
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
+@contextmanager
+def short_batches(spark: SparkSession) -> Iterator[None]:
+    """Meanwhile Arrow batches have BATCH_ROWS rows at most; what the session had is put back."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, min(int(before), BATCH_ROWS) if int(before) > 0 else BATCH_ROWS)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _terms(df: DataFrame, columns: list[str]) -> DataFrame:
     """(term, row, block, f0.., length) of df (row, block, c0..): frequencies of the terms of each row, column by column.
 
@@ -46,20 +73,19 @@ def _terms(df: DataFrame, columns: list[str]) -> DataFrame:
     names = ["term", "row", "block", *(f"f{i}" for i in range(len(columns))), "length"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at, terms, counts, lengths = [], [], [[] for _ in columns], batch.column(2).to_pylist()
-            texts = [c.to_pylist() for c in batch.columns[3:]]
-            for n in range(batch.num_rows):
-                found = [Counter(t[n].encode().split()) for t in texts]
-                own = set().union(*found)
-                terms += own
-                at += [n] * len(own)
-                for i, f in enumerate(found):
-                    counts[i] += [f[w] for w in own]
-            places = pa.array(at, pa.int64())
-            columns_ = [pa.array(terms, pa.binary()).cast(pa.string()), batch.column(0).take(places), batch.column(1).take(places), *(pa.array(c, pa.int32()) for c in counts), pa.array([lengths[n] for n in at], pa.int64())]
-            for start in range(0, len(at), 100_000):
-                yield pa.RecordBatch.from_arrays([c.slice(start, 100_000) for c in columns_], names=names)
+        for whole in batches:
+            for batch in small_parts(whole):
+                at, terms, counts, lengths = [], [], [[] for _ in columns], batch.column(2)
+                texts = batch.columns[3:]
+                for n in range(batch.num_rows):
+                    found = [Counter(t[n].as_py().encode().split()) for t in texts]
+                    own = set().union(*found)
+                    terms += own
+                    at += [n] * len(own)
+                    for i, f in enumerate(found):
+                        counts[i] += [f[w] for w in own]
+                places = pa.array(at, pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(terms, pa.binary()).cast(pa.string()), batch.column(0).take(places), batch.column(1).take(places), *(pa.array(c, pa.int32()) for c in counts), lengths.take(places)], names=names)
 
     kind = dict(df.dtypes)["row"]
     fields = f"term string, row {kind}, block int, " + ", ".join(f"f{i} int" for i in range(len(columns))) + ", length long"
@@ -116,7 +142,8 @@ class TextIndex:
         rows = df.where(F.col(row).isNotNull()).dropDuplicates([row]).select(F.col(row).alias("row"), sum((F.length(t) for t in texts), F.lit(0)).cast("long").alias("length"), *(F.lower(t).alias(f"c{i}") for i, t in enumerate(texts)))
         n = max(1, math.ceil(df.count() / block_rows))
         rows = rows.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(n)).cast("int"))
-        self._store(rows.select("row", "block", "length"), _terms(rows, columns), columns, number, base)
+        with short_batches(self.spark):
+            self._store(rows.select("row", "block", "length"), _terms(rows, columns), columns, number, base)
 
     def _store(self, rows: DataFrame, postings: DataFrame, columns: list[str], number: int, base: bool) -> None:
         folder = f"segment-{number}-{uuid.uuid4().hex[:8]}"
