@@ -7,13 +7,19 @@ from collections.abc import Iterator
 from difflib import SequenceMatcher
 from itertools import combinations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..checkpoints import cut
 
 #: Length up to which words are looked up by what is left of them without some letters.
-SHORT_WORD = 11
+SHORT_WORD = 20
+#: 64-bit words of the filter of the dictionary's remainders that is sent to all tasks: 32 MB, whatever the dictionary.
+FILTER = 1 << 22
+#: Keys of remainders that a task makes at once.
+KEYS = 1 << 20
 
 
 def block_ratio(a: str, b: str) -> float:
@@ -139,40 +145,96 @@ def remains(word: str, spare: int) -> set[str]:
     return {"".join(kept) for n in range(max(1, len(word) - spare), len(word) + 1) for kept in combinations(word, n)}
 
 
-def by_deletions(left: DataFrame, right: DataFrame, word: str, other: str, least: float) -> DataFrame:
-    """(a, b, ratio) as `like_texts` gives, for words of up to SHORT_WORD letters on both sides.
+def remainder_keys(words: list[str], spare: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each of `remains` of each word, all of one length: the word's number, a 64-bit key of the letters left, and how many they are.
 
-    The letters of matching blocks stand in both words in one order, so two words that reach the ratio have a remainder in
-    common: what is left of each without as many letters as it can spare (`spare_letters`). An equi-join on remainders
-    finds candidates whatever the alphabet, and their number grows with the words that are like each other.
+    Repeats may stay. Equal remainders have equal keys; different ones may, too.
+    """
+    size = len(words[0])
+    letters = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(len(words), size).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    letters ^= letters >> np.uint64(29)
+    numbers, keys, left = [], [], []
+    for n in range(max(1, size - spare), size + 1):
+        kept = np.array(list(combinations(range(size), n)), np.intp)
+        key = np.full((len(words), len(kept)), n, np.uint64)
+        for at in kept.T:
+            key *= np.uint64(0xD6E8FEB86659FD93)
+            key += letters[:, at]
+        key ^= key >> np.uint64(32)
+        key *= np.uint64(0xC2B2AE3D27D4EB4F)
+        key ^= key >> np.uint64(31)
+        numbers.append(np.repeat(np.arange(len(words)), len(kept)))
+        keys.append(key.ravel().view(np.int64))
+        left.append(np.full(key.size, n, np.int32))
+    return np.concatenate(numbers), np.concatenate(keys), np.concatenate(left)
+
+
+def _remainders(words: DataFrame, word: str, least: float, held: np.ndarray | None = None) -> DataFrame:
+    """(word, key, size): keys of the remainders of words of up to SHORT_WORD letters, and how many letters are left.
+
+    held: a `_key_filter`; keys that it does not hold are left out.
     """
+    sent = words.sparkSession.sparkContext.broadcast(held) if held is not None else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words, rests = [], []
+            by_size: dict[int, list[str]] = {}
             for w in batch.column(0).to_pylist():
-                own = remains(w, spare_letters(len(w), least))
-                words += [w] * len(own)
-                rests += own
-            if words:
-                yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(rests)], names=["word", "rest"])
+                by_size.setdefault(len(w), []).append(w)
+            for size, own in by_size.items():
+                spare = spare_letters(size, least)
+                step = max(1, KEYS // sum(math.comb(size, n) for n in range(spare + 1)))
+                for start in range(0, len(own), step):
+                    part = own[start : start + step]
+                    number, key, left = remainder_keys(part, spare)
+                    if sent is not None:
+                        at, bit = (key >> 6) & (FILTER - 1), (key & 63).astype(np.uint64)
+                        known = np.flatnonzero(sent.value[at].view(np.uint64) >> bit & np.uint64(1))
+                        number, key, left = number[known], key[known], left[known]
+                    yield pa.RecordBatch.from_arrays([pa.array(part).take(pa.array(number)), pa.array(key), pa.array(left)], names=["word", "key", "size"])
+
+    return words.where(F.length(word).between(1, SHORT_WORD)).select(F.col(word).alias("word")).distinct().mapInArrow(run, "word string, key long, size int").distinct()
+
+
+def _key_filter(keys: DataFrame) -> np.ndarray:
+    """FILTER words with a bit set for each key; their number is bounded, so they may pass the driver."""
+    at = F.shiftright("key", 6).bitwiseAND(F.lit(FILTER - 1))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("key").bitwiseAND(F.lit(63)).cast("int"))
+    rows = keys.groupBy(at.alias("at")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    out = np.zeros(FILTER, np.int64)
+    out[rows.column("at").to_numpy()] = rows.column("bits").to_numpy()
+    return out
+
 
-    rests = lambda df, c: df.where(F.length(c).between(1, SHORT_WORD)).select(F.col(c).alias("word")).distinct().mapInArrow(run, "word string, rest string")
-    a, b = rests(left, word).withColumnRenamed("word", "a"), rests(right, other).withColumnRenamed("word", "b")
-    return verified(a.join(b, "rest").where("a <> b").select("a", "b").distinct(), least)
+def by_deletions(left: DataFrame, right: DataFrame, word: str, other: str, least: float) -> DataFrame:
+    """(a, b, ratio) as `like_texts` gives, for words of up to SHORT_WORD letters on both sides.
+
+    The letters of matching blocks stand in both words in one order, so two words that reach the ratio have a remainder in
+    common: what is left of each without as many letters as it can spare (`spare_letters`). An equi-join on remainders
+    finds candidates whatever the alphabet; of these only such are kept whose common remainder has just the letters that
+    their lengths call for, so their number grows with the words that are like each other. A filter of the right side's
+    remainders keeps the others of the left side from being sent; it loses none.
+    """
+    known = _remainders(right, other, least)
+    b = known.select(F.col("word").alias("b"), "key", F.col("size").alias("_size"))
+    a = _remainders(left, word, least, _key_filter(known)).withColumnRenamed("word", "a")
+    called = F.ceil(F.lit(least) * (F.length("a") + F.length("b")) / 2 - 1e-9)
+    met = a.join(b, "key").where((F.col("a") != F.col("b")) & (F.col("size") == F.col("_size")) & (F.col("size") == called))
+    return verified(met.select("a", "b").distinct(), least)
 
 
 def nearest_words(words: DataFrame, word: str, dictionary: DataFrame, entry: str, rank: str, least: float = 0.85) -> DataFrame:
     """(word, right, ratio): for each distinct word that is not in the dictionary the entry with the largest block ratio, of
     `least` at least; of equals the first by `rank`. Words of one letter are left as they are. Short words are met by their
     remainders (`by_deletions`), longer ones by their rarest letters (`like_texts`)."""
-    asked = words.where(F.length(word) > 1).select(F.col(word).alias("word")).distinct().join(dictionary.select(F.col(entry).alias("_e")), F.col("word") == F.col("_e"), "left_anti")
-    longer = lambda df, c, n: df.where(F.length(c) >= n)
-    met = by_deletions(asked, dictionary, "word", entry, least)
+    entries = cut(dictionary.select(F.col(entry).alias("b"), F.col(rank).alias("_rank")))
+    asked = cut(words.where(F.length(word) > 1).select(F.col(word).alias("word")).distinct().join(entries.select(F.col("b").alias("_e")), F.col("word") == F.col("_e"), "left_anti"))
+    met = by_deletions(asked, entries, "word", "b", least)
     # A long word may also be like shorter ones, as far as the ratio lets them be.
     least_size = math.ceil(least / (2 - least) * (SHORT_WORD + 1) - 1e-9)
-    long_ = like_texts(longer(asked, "word", least_size), longer(dictionary, entry, least_size), "word", entry, least)
-    met = met.union(long_.where((F.length("a") > SHORT_WORD) | (F.length("b") > SHORT_WORD))).where("ratio < 1")
-    placed = met.join(dictionary.select(F.col(entry).alias("b"), F.col(rank).alias("_rank")), "b")
+    sized = lambda df, c, low, high=None: df.where((F.length(c) >= low) & (F.length(c) <= high if high else F.lit(True)))
+    for a, b in ((sized(asked, "word", SHORT_WORD + 1), sized(entries, "b", least_size)), (sized(asked, "word", least_size, SHORT_WORD), sized(entries, "b", SHORT_WORD + 1))):
+        met = met.union(like_texts(a, b, "word", "b", least))
+    placed = met.where("ratio < 1").join(entries, "b")
     best = placed.groupBy(F.col("a").alias("word")).agg(F.min_by(F.struct("b", "ratio"), F.struct(-F.col("ratio"), "_rank")).alias("best"))
     return best.select("word", F.col("best.b").alias("right"), F.round("best.ratio", 6).alias("ratio"))

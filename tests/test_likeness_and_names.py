@@ -43,6 +43,41 @@ def test_titles(spark):
     assert set(found) == want and len(found) == len(want) and {(900, 902), (900, 904), (910, 912)} <= want
 
 
+def test_long_words_meet_by_what_is_left_of_them(spark, monkeypatch):
+    """Words of up to twenty letters are compared only with such as have enough letters in one order in common."""
+
+    def in_common(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            new = [0]
+            for j, y in enumerate(b):
+                new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+            row = new
+        return row[-1]
+
+    words, entries = made(6, 160, "abcdefgh", (9, 20)), made(6, 160, "abcdefgh", (9, 20))[::2] + made(7, 120, "abcdefgh", (9, 20))
+    words, entries = ([w for w in dict.fromkeys(x) if len(w) <= 20] for x in (words, entries))
+    frames = [spark.createDataFrame([(w,) for w in x], "w string") for x in (words, entries)]
+    compared, verify = [], L.verified
+    monkeypatch.setattr(L, "verified", lambda pairs, least: compared.extend(tuple(r) for r in pairs.collect()) or verify(pairs, least))
+    got = {(r.a, r.b): r.ratio for r in L.by_deletions(*frames, "w", "w", 0.85).collect()}
+    want = {(a, b): SequenceMatcher(None, a, b).ratio() for a in words for b in entries if a != b}
+    assert got == {k: v for k, v in want.items() if v >= 0.85} and any(len(a) > 15 for a, _ in got)
+    assert len(compared) == len(set(compared)) and all(2 * in_common(a, b) >= 0.85 * (len(a) + len(b)) - 1e-9 for a, b in compared)
+
+
+def test_keys_of_remainders():
+    for words in (["abca", "abab", "险保险监"], ["a"], ["abcdefghij", "jihgfedcba"]):
+        for spare in (1, 2):
+            number, key, left = L.remainder_keys(words, spare)
+            rests = [L.remains(w, spare) for w in words]
+            held = [{(int(k), int(n)) for i, k, n in zip(number, key, left) if i == at} for at in range(len(words))]
+            assert [sorted(n for _, n in h) for h in held] == [sorted(map(len, r)) for r in rests]
+            for i, x in enumerate(rests):
+                for j, y in enumerate(rests):
+                    assert len(held[i] & held[j]) == len(x & y)
+
+
 @pytest.mark.parametrize("letters,size", [("abc", 9), ("abcd", 19)])
 def test_dictionary(spark, letters, size):
     entries = [(w, i) for i, w in enumerate(dict.fromkeys(made(4, 100, letters, (2, size))))]
