@@ -224,6 +224,11 @@ def repair(clauses: DataFrame, start: str = CUT_START, end: str = CUT_END, least
     return once.withColumn("article", F.row_number().over(Window.partitionBy("doc").orderBy("_at")).cast("long")).select("doc", "article", "mark", "number", "chapter", "chapter_mark", "body")
 
 
+def last_line(text: Column) -> Column:
+    """What stands after the last line break but one at the very end, in one pass from the end, however long the line."""
+    return F.substring_index(F.regexp_replace(text, r"\r?\n\z", ""), "\n", -1)
+
+
 def validate(meta: DataFrame, clauses: DataFrame, tail: str = TAIL) -> DataFrame:
     """(doc, status, errors, warnings): rules V001 to V010 on parsed documents, names of broken ones joined by commas.
 
@@ -240,7 +245,7 @@ def validate(meta: DataFrame, clauses: DataFrame, tail: str = TAIL) -> DataFrame
     found = rows.groupBy(F.col("doc").alias("_d")).agg(
         F.count(F.lit(1)).alias("_n"), some(n.isNull() | (n <= F.col("_before"))).alias("_back"), some((n > F.col("_before") + 1) | (F.col("_before").isNull() & (F.col("article") == 1) & (n != 1))).alias("_skip"), (F.count("number") - F.countDistinct("number")).alias("_dup"),
         some(F.col("chapter") < F.col("_chapter")).alias("_chap"), some(F.trim("body") == "").alias("_empty"), some(body.rlike(rf"\n第\s*({NUMERAL})\s*[章节][^\n]{{0,30}}$")).alias("_swallowed"),
-        some(F.col("_last") & F.regexp_extract("body", r"([^\n]*)$", 1).rlike(tail)).alias("_tail"), some(body.rlike(r"[ \t　]{2,}")).alias("_blank"),
+        some(F.col("_last") & last_line(body).rlike(tail)).alias("_tail"), some(body.rlike(r"[ \t　]{2,}")).alias("_blank"),
     )
     met = meta.join(found, F.col("doc") == F.col("_d"), "left")
     on = lambda c: F.coalesce(F.col(c), F.lit(0)) > 0

@@ -102,3 +102,18 @@ def test_located_relations_and_their_gate(spark):
 
     bad = edges.union(edges.where("title = '甲办法'")).withColumn("snippet", F.when(F.col("title") == "丙通知", "").otherwise(F.col("snippet")))
     assert {r.rule: r.n for r in R.gate(bad, index.where("ref <> 'B'"), {"basis": 2, "repeal": 1}).collect()} == {"ids": 1, "trace": 1, "refs": 1, "stat": 1}
+
+
+def test_last_lines_are_found_in_one_pass(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    texts = ["", "a", "a\nb", "a\n", "a\r\n", "a\n\n", "\n", "\r\n", "a\r", "a\nb\r\n", "a\r\n\r\n", "a\nb ", "a\n\rb", None]
+    rows = docs_of(spark, *texts).select(F.regexp_extract("text", r"([^\n]*)$", 1).alias("want"), C.last_line(F.col("text")).alias("got")).collect()
+    assert [r.got for r in rows] == [r.want for r in rows]
+    clauses = spark.range(1).select(F.col("id").alias("doc"), F.lit(1).alias("article"), F.lit(1).alias("number"), F.lit(0).alias("chapter"), F.concat(F.repeat(F.lit("word "), 100_000), F.lit("\n"), F.repeat(F.lit("word "), 100_000), F.lit("§")).alias("body"))
+    meta = spark.range(1).select(F.col("id").alias("doc"), F.lit("k").alias("dedup_key"), F.lit("t").alias("title"), F.lit("u").alias("source_url"), F.lit("RFN-1").alias("rfn"), F.lit(None).cast("int").alias("article_count"))
+    began = time.time()
+    assert [tuple(r) for r in C.validate(meta, clauses, "§$").collect()] == [(0, "PASSED_WITH_WARNINGS", "", "V009")]
+    assert time.time() - began < 30
