@@ -9,6 +9,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,10 +17,10 @@ from ..checkpoints import cut
 
 #: Length up to which words are looked up by what is left of them without some letters.
 SHORT_WORD = 20
-#: 64-bit words of the filter of the dictionary's remainders that is sent to all tasks: 32 MB, whatever the dictionary.
-FILTER = 1 << 22
-#: Keys of remainders that a task makes at once.
-KEYS = 1 << 20
+#: Keys of remainders, and pairs of words that met, that a task has at once.
+KEYS, PAIRS = 1 << 18, 1 << 18
+#: Letters of asked words that a task holds before it sends them on.
+HELD = 1 << 21
 
 
 def block_ratio(a: str, b: str) -> float:
@@ -145,96 +146,257 @@ def remains(word: str, spare: int) -> set[str]:
     return {"".join(kept) for n in range(max(1, len(word) - spare), len(word) + 1) for kept in combinations(word, n)}
 
 
+def called(size: int, other: int, least: float) -> int:
+    """Letters that two words of these lengths have in matching blocks at least where they reach `least`."""
+    return math.ceil(least * (size + other) / 2 - 1e-9)
+
+
+def coded(words: list[str]) -> np.ndarray:
+    """Code points of words of one length, a row each."""
+    return np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(len(words), -1)
+
+
+def _keys(codes: np.ndarray, left: int) -> np.ndarray:
+    """Keys of what is left of words of one length without all but `left` letters: a row for each choice of letters.
+
+    A key is a sum of letters times powers by their places. Prefix sums of it, with the letters moved by as many places as
+    have gone before, give each choice by one sum for each letter that goes.
+    """
+    count, size = codes.shape
+    spare = size - left
+    letters = codes.T.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    letters ^= letters >> np.uint64(29)
+    letters *= np.uint64(0xBF58476D1CE4E5B9)
+    letters ^= letters >> np.uint64(32)
+    powers = np.array([pow(0xD6E8FEB86659FD93, i + 1, 1 << 64) for i in range(size)], np.uint64)
+    sums = np.zeros((spare + 1, size + 1, count), np.uint64)  # of letters before a place where so many have gone
+    for gone in range(spare + 1):
+        np.cumsum(letters[gone:] * powers[: size - gone, None], axis=0, out=sums[gone, gone + 1 :])
+    out = np.array(list(combinations(range(size), spare)), np.intp).reshape(math.comb(size, spare), spare)
+    keys = np.broadcast_to(sums[spare, size], (len(out), count)).copy()
+    for gone in range(spare):
+        keys += (sums[gone, :size] - sums[gone + 1, 1:])[out[:, gone]]
+    keys += np.uint64(left)
+    keys ^= keys >> np.uint64(32)
+    keys *= np.uint64(0xC2B2AE3D27D4EB4F)
+    return keys
+
+
 def remainder_keys(words: list[str], spare: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each of `remains` of each word, all of one length: the word's number, a 64-bit key of the letters left, and how many they are.
 
     Repeats may stay. Equal remainders have equal keys; different ones may, too.
     """
-    size = len(words[0])
-    letters = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(len(words), size).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    letters ^= letters >> np.uint64(29)
-    numbers, keys, left = [], [], []
-    for n in range(max(1, size - spare), size + 1):
-        kept = np.array(list(combinations(range(size), n)), np.intp)
-        key = np.full((len(words), len(kept)), n, np.uint64)
-        for at in kept.T:
-            key *= np.uint64(0xD6E8FEB86659FD93)
-            key += letters[:, at]
-        key ^= key >> np.uint64(32)
-        key *= np.uint64(0xC2B2AE3D27D4EB4F)
-        key ^= key >> np.uint64(31)
-        numbers.append(np.repeat(np.arange(len(words)), len(kept)))
-        keys.append(key.ravel().view(np.int64))
-        left.append(np.full(key.size, n, np.int32))
-    return np.concatenate(numbers), np.concatenate(keys), np.concatenate(left)
-
-
-def _remainders(words: DataFrame, word: str, least: float, held: np.ndarray | None = None) -> DataFrame:
-    """(word, key, size): keys of the remainders of words of up to SHORT_WORD letters, and how many letters are left.
-
-    held: a `_key_filter`; keys that it does not hold are left out.
+    codes = coded(words)
+    found = [(n, _keys(codes, n)) for n in range(max(1, codes.shape[1] - spare), codes.shape[1] + 1)]
+    return np.concatenate([np.tile(np.arange(len(words)), len(k)) for _, k in found]), np.concatenate([k.ravel().view(np.int64) for _, k in found]), np.concatenate([np.full(k.size, n, np.int32) for n, k in found])
+
+
+def first_at(codes: np.ndarray, place: int) -> np.ndarray:
+    """Which words have a letter at a place that they do not have before."""
+    return (codes[:, :place] != codes[:, place : place + 1]).all(axis=1)
+
+
+def keys_from(codes: np.ndarray, left: int, first: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(numbers of words, keys): the remainders of `left` letters that begin with `first`, KEYS or so at a time."""
+    size = codes.shape[1]
+    for place in range(size - left + 1):
+        own = np.flatnonzero((codes[:, place] == first) & first_at(codes, place))  # a later one leaves nothing else
+        step = max(1, KEYS // math.comb(size - place - 1, left - 1))
+        for start in range(0, len(own), step):
+            part = own[start : start + step]
+            keys = _keys(codes[part, place + 1 :], left - 1)
+            yield np.tile(part, len(keys)), keys.ravel()
+
+
+def matching_letters(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Letters in matching blocks, as `block_ratio` finds them, of each row of code points a with the same row of b."""
+    total, (count, la), lb = np.zeros(len(a), np.int64), a.shape, b.shape[1]
+    row = np.arange(count)
+    from_a, to_a, from_b, to_b = (np.full(count, n, np.int8) for n in (0, la, 0, lb))
+    at_a, at_b = np.arange(la, dtype=np.int8)[:, None], np.arange(lb, dtype=np.int8)[:, None]
+    while len(row):
+        # Letters outside the stretches that are compared are like none.
+        x = np.where((at_a >= from_a) & (at_a < to_a), a[row].T, np.uint32(0xFFFFFFFF))
+        y = np.where((at_b >= from_b) & (at_b < to_b), b[row].T, np.uint32(0xFFFFFFFE))
+        size, end_a, end_b = (np.zeros(len(row), np.int8) for _ in range(3))
+        run, before = (np.zeros((lb + 1, len(row)), np.int8) for _ in range(2))
+        for i in range(la):
+            run, before = before, run
+            for j in range(lb):
+                np.multiply(before[j] + np.int8(1), x[i] == y[j], out=run[j + 1])
+                longer = run[j + 1] > size
+                if longer.any():
+                    np.copyto(size, run[j + 1], where=longer)
+                    np.copyto(end_a, np.int8(i + 1), where=longer)
+                    np.copyto(end_b, np.int8(j + 1), where=longer)
+        total += np.bincount(row, size, count).astype(np.int64)
+        parts = [(row, from_a, end_a - size, from_b, end_b - size), (row, end_a, to_a, end_b, to_b)]
+        keep = [(size > 0) & (p[1] < p[2]) & (p[3] < p[4]) for p in parts]
+        row, from_a, to_a, from_b, to_b = (np.concatenate([p[k][w] for p, w in zip(parts, keep)]) for k in range(5))
+    return total
+
+
+def met_words(asked: dict[int, np.ndarray], entries: dict[int, np.ndarray], left: int, first: int, least: float) -> Iterator[tuple[int, np.ndarray, int, np.ndarray, np.ndarray]]:
+    """(length, rows of asked, length, rows of entries, ratios): different words, by their lengths, that reach `least`, have just
+    `left` letters in matching blocks where they just reach it, and a remainder of `left` letters in common that begins with `first`.
+
+    A pair may come repeatedly.
     """
-    sent = words.sparkSession.sparkContext.broadcast(held) if held is not None else None
+    index = {}
+    for lb, codes in entries.items():
+        if found := list(keys_from(codes, left, first)):
+            rows, keys = (np.concatenate(x) for x in zip(*found))
+            order = np.argsort(keys)
+            shift = np.uint64(64 - max(10, (8 * len(keys)).bit_length()))
+            seen = np.zeros(1 << int(64 - shift), bool)
+            seen[keys >> shift] = True
+            index[lb] = rows[order], keys[order], shift, seen
+    for la, codes in asked.items():
+        others = [lb for lb in index if called(la, lb, least) == left]
+        for rows, keys in keys_from(codes, left, first) if others else ():
+            for lb in others:
+                known, sorted_, shift, seen = index[lb]
+                may = np.flatnonzero(seen[keys >> shift])
+                low, high = (np.searchsorted(sorted_, keys[may], side) for side in ("left", "right"))
+                ends = np.cumsum(high - low)
+                done = 0
+                while done < len(ends):
+                    upto = max(done + 1, int(np.searchsorted(ends, (ends[done - 1] if done else 0) + PAIRS, "right")))
+                    n = (high - low)[done:upto]
+                    a = np.repeat(rows[may[done:upto]], n)
+                    b = known[np.repeat(low[done:upto] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+                    done = upto
+                    a, b = np.divmod(np.unique(a * np.int64(len(entries[lb])) + b), len(entries[lb]))
+                    ratios = 2.0 * matching_letters(codes[a], entries[lb][b]) / (la + lb)
+                    like = np.flatnonzero((ratios >= least) & (ratios < 1))
+                    if len(like):
+                        yield la, a[like], lb, b[like], ratios[like]
+
+
+def _parts(codes: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(numbers of words, parts): where words of one length are to meet others, by how many of their letters are left and by
+    the first of these."""
+    size = codes.shape[1]
+    for left in range(max(1, size - spare_letters(size, least)), size + 1):
+        for place in range(size - left + 1):
+            own = np.flatnonzero(first_at(codes, place))
+            yield own, codes[own, place].astype(np.int64) | left << 32
+
+
+def _by_length(words: list[str]) -> dict[int, np.ndarray]:
+    """Numbers of words by their length."""
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    return {int(n): np.flatnonzero(sizes == n) for n in np.unique(sizes)}
+
+
+def _asked_parts(words: DataFrame, word: str, least: float) -> DataFrame:
+    """(part, size, words): words, which are different, of up to SHORT_WORD letters at each of their `_parts`, those of one length in one string."""
+
+    def packed(words: list[str]) -> Iterator[pa.RecordBatch]:
+        for size, own in _by_length(words).items():
+            of_size = [words[i] for i in own]
+            for_part = [np.concatenate(x) for x in zip(*_parts(coded(of_size), least))]
+            order = np.argsort(for_part[1], kind="stable")
+            rows, parts = for_part[0][order], for_part[1][order]
+            starts = np.flatnonzero(np.r_[True, parts[1:] != parts[:-1]])
+            joined = ["".join(map(of_size.__getitem__, x)) for x in np.split(rows, starts[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(parts[starts]), pa.array(np.full(len(joined), size, np.int32)), pa.array(joined, pa.string())], names=["part", "size", "words"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, letters = [], 0
         for batch in batches:
-            by_size: dict[int, list[str]] = {}
-            for w in batch.column(0).to_pylist():
-                by_size.setdefault(len(w), []).append(w)
-            for size, own in by_size.items():
-                spare = spare_letters(size, least)
-                step = max(1, KEYS // sum(math.comb(size, n) for n in range(spare + 1)))
-                for start in range(0, len(own), step):
-                    part = own[start : start + step]
-                    number, key, left = remainder_keys(part, spare)
-                    if sent is not None:
-                        at, bit = (key >> 6) & (FILTER - 1), (key & 63).astype(np.uint64)
-                        known = np.flatnonzero(sent.value[at].view(np.uint64) >> bit & np.uint64(1))
-                        number, key, left = number[known], key[known], left[known]
-                    yield pa.RecordBatch.from_arrays([pa.array(part).take(pa.array(number)), pa.array(key), pa.array(left)], names=["word", "key", "size"])
-
-    return words.where(F.length(word).between(1, SHORT_WORD)).select(F.col(word).alias("word")).distinct().mapInArrow(run, "word string, key long, size int").distinct()
-
-
-def _key_filter(keys: DataFrame) -> np.ndarray:
-    """FILTER words with a bit set for each key; their number is bounded, so they may pass the driver."""
-    at = F.shiftright("key", 6).bitwiseAND(F.lit(FILTER - 1))
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("key").bitwiseAND(F.lit(63)).cast("int"))
-    rows = keys.groupBy(at.alias("at")).agg(F.bit_or(bit).alias("bits")).toArrow()
-    out = np.zeros(FILTER, np.int64)
-    out[rows.column("at").to_numpy()] = rows.column("bits").to_numpy()
-    return out
+            held += (own := batch.column(0).to_pylist())
+            letters += sum(map(len, own))
+            if letters >= HELD:
+                yield from packed(sorted(held))
+                held, letters = [], 0
+        if held:
+            yield from packed(sorted(held))
 
+    return words.where(F.length(word).between(1, SHORT_WORD)).select(word).mapInArrow(run, "part long, size int, words string")
 
-def by_deletions(left: DataFrame, right: DataFrame, word: str, other: str, least: float) -> DataFrame:
-    """(a, b, ratio) as `like_texts` gives, for words of up to SHORT_WORD letters on both sides.
+
+def _entry_parts(entries: DataFrame, entry: str, rank: str, least: float) -> DataFrame:
+    """(part, b, rank): entries of up to SHORT_WORD letters at each of their `_parts`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = batch.column(0).to_pylist()
+            for own in _by_length(words).values():
+                for rows, parts in _parts(coded([words[i] for i in own]), least):
+                    sent = batch.take(pa.array(own[rows]))
+                    yield pa.RecordBatch.from_arrays([pa.array(parts), *sent.columns], names=["part", "b", "rank"])
+
+    held = entries.where(F.length(entry).between(1, SHORT_WORD)).select(entry, rank)
+    return held.mapInArrow(run, f"part long, b string, rank {held.schema[1].dataType.simpleString()}")
+
+
+def _dealt(left: DataFrame, right: DataFrame, word: str, other: str, rank: str, least: float, best: bool) -> DataFrame:
+    """(a, b, ratio, rank): words of up to SHORT_WORD letters that are like each other; with `best` for each left word the
+    first by ratio and rank of each part in which it meets others, else all, some repeatedly. Left words must be distinct.
 
     The letters of matching blocks stand in both words in one order, so two words that reach the ratio have a remainder in
-    common: what is left of each without as many letters as it can spare (`spare_letters`). An equi-join on remainders
-    finds candidates whatever the alphabet; of these only such are kept whose common remainder has just the letters that
-    their lengths call for, so their number grows with the words that are like each other. A filter of the right side's
-    remainders keeps the others of the left side from being sent; it loses none.
+    common: what is left of each without as many letters as it can spare (`spare_letters`), with just the letters that
+    their lengths call for. Words go to a part for each number and first letter of what may be left of them, few times
+    as against their remainders, which are made, looked up and compared inside a part only. Nothing passes the driver.
     """
-    known = _remainders(right, other, least)
-    b = known.select(F.col("word").alias("b"), "key", F.col("size").alias("_size"))
-    a = _remainders(left, word, least, _key_filter(known)).withColumnRenamed("word", "a")
-    called = F.ceil(F.lit(least) * (F.length("a") + F.length("b")) / 2 - 1e-9)
-    met = a.join(b, "key").where((F.col("a") != F.col("b")) & (F.col("size") == F.col("_size")) & (F.col("size") == called))
-    return verified(met.select("a", "b").distinct(), least)
+    kind = right.schema[rank].dataType.simpleString()
+
+    def run(asked: pa.Table, entries: pa.Table) -> pa.Table:
+        nothing = pa.table({"a": pa.array([], pa.string()), "b": pa.array([], pa.string()), "ratio": pa.array([], pa.float64()), "rank": entries.column("rank").slice(0, 0)})
+        if not asked.num_rows or not entries.num_rows:
+            return nothing
+        part = entries.column("part")[0].as_py()
+        packed: dict[int, list[str]] = {}
+        for size, own in zip(asked.column("size").to_pylist(), asked.column("words").to_pylist()):
+            packed.setdefault(size, []).append(own)
+        asked_codes = {size: coded(own).reshape(-1, size) for size, own in ((n, ["".join(x)]) for n, x in packed.items())}
+        names = entries.column("b").to_pylist()
+        numbers = _by_length(names)
+        place = np.empty(len(names), np.int64)
+        place[pc.sort_indices(entries.column("rank"), null_placement="at_start").to_numpy()] = np.arange(len(names))
+        entry_codes = {n: coded([names[i] for i in own]) for n, own in numbers.items()}
+
+        def kept(a: np.ndarray, b: np.ndarray, ratios: np.ndarray) -> tuple[np.ndarray, ...]:
+            if not best:
+                return a, b, ratios
+            order = np.lexsort((place[b], -ratios, a))
+            firsts = order[np.r_[True, a[order][1:] != a[order][:-1]]]
+            return a[firsts], b[firsts], ratios[firsts]
+
+        rows: dict[int, list] = {}
+        for la, a, lb, b, ratios in met_words(asked_codes, entry_codes, part >> 32, part & 0xFFFFFFFF, least):
+            rows.setdefault(la, []).append(kept(a, numbers[lb][b], ratios))
+        out = [nothing]
+        for la, found in rows.items():
+            a, b, ratios = kept(*(np.concatenate(x) for x in zip(*found)))
+            text = asked_codes[la][a].tobytes().decode("utf-32-le")
+            sent = entries.take(pa.array(b))
+            out.append(pa.table({"a": pa.array([text[i : i + la] for i in range(0, len(text), la)], pa.string()), "b": sent.column("b"), "ratio": pa.array(ratios), "rank": sent.column("rank")}))
+        return pa.concat_tables(out)
+
+    asked, entries = _asked_parts(left, word, least), _entry_parts(right, other, rank, least)
+    return asked.groupBy("part").cogroup(entries.groupBy("part")).applyInArrow(run, f"a string, b string, ratio double, rank {kind}")
+
+
+def by_deletions(left: DataFrame, right: DataFrame, word: str, other: str, least: float) -> DataFrame:
+    """(a, b, ratio) as `like_texts` gives, for words of up to SHORT_WORD letters on both sides (see `_dealt`)."""
+    a, b = left.select(F.col(word).alias("a")).distinct(), right.select(F.col(other).alias("b")).distinct().withColumn("rank", F.lit(0))
+    return _dealt(a, b, "a", "b", "rank", least, best=False).select("a", "b", "ratio").distinct()
 
 
 def nearest_words(words: DataFrame, word: str, dictionary: DataFrame, entry: str, rank: str, least: float = 0.85) -> DataFrame:
     """(word, right, ratio): for each distinct word that is not in the dictionary the entry with the largest block ratio, of
     `least` at least; of equals the first by `rank`. Words of one letter are left as they are. Short words are met by their
-    remainders (`by_deletions`), longer ones by their rarest letters (`like_texts`)."""
+    remainders (`_dealt`), longer ones by their rarest letters (`like_texts`)."""
     entries = cut(dictionary.select(F.col(entry).alias("b"), F.col(rank).alias("_rank")))
     asked = cut(words.where(F.length(word) > 1).select(F.col(word).alias("word")).distinct().join(entries.select(F.col("b").alias("_e")), F.col("word") == F.col("_e"), "left_anti"))
-    met = by_deletions(asked, entries, "word", "b", least)
+    placed = _dealt(asked, entries, "word", "b", "_rank", least, best=True)
     # A long word may also be like shorter ones, as far as the ratio lets them be.
     least_size = math.ceil(least / (2 - least) * (SHORT_WORD + 1) - 1e-9)
     sized = lambda df, c, low, high=None: df.where((F.length(c) >= low) & (F.length(c) <= high if high else F.lit(True)))
     for a, b in ((sized(asked, "word", SHORT_WORD + 1), sized(entries, "b", least_size)), (sized(asked, "word", least_size, SHORT_WORD), sized(entries, "b", SHORT_WORD + 1))):
-        met = met.union(like_texts(a, b, "word", "b", least))
-    placed = met.where("ratio < 1").join(entries, "b")
-    best = placed.groupBy(F.col("a").alias("word")).agg(F.min_by(F.struct("b", "ratio"), F.struct(-F.col("ratio"), "_rank")).alias("best"))
+        placed = placed.union(like_texts(a, b, "word", "b", least).where("ratio < 1").join(entries, "b").select("a", "b", "ratio", "_rank"))
+    best = placed.groupBy(F.col("a").alias("word")).agg(F.min_by(F.struct("b", "ratio"), F.struct(-F.col("ratio"), "rank")).alias("best"))
     return best.select("word", F.col("best.b").alias("right"), F.round("best.ratio", 6).alias("ratio"))

@@ -140,3 +140,39 @@ def test_clause_graph(spark):
         (2, 1, "article", 133, 2, 3, 1, "out_of_range"), (2, 1, "article", 5, None, None, 1, "verified"), (2, 1, "title", None, None, None, 2, None),
         (3, 2, "article", 2, None, None, 1, "verified"), (3, 2, "article", 3, 1, None, 1, "out_of_range"), (3, 2, "title", None, None, None, 1, None),
     ])
+
+
+def test_words_meet_without_the_driver(spark, monkeypatch):
+    """Neither the dictionary nor anything that grows with it is collected or sent from the driver."""
+
+    def refused(*_, **__):
+        raise AssertionError("passes the driver")
+
+    entries, words = made(8, 60, "abcdef", (3, 14)), made(8, 120, "abcdef", (3, 14))
+    frames = spark.createDataFrame([(w,) for w in words], "w string"), spark.createDataFrame([(w, -i) for i, w in enumerate(dict.fromkeys(entries))], "e string, r int")
+    with monkeypatch.context() as m:
+        for name in ("toArrow", "toPandas", "collect"):
+            m.setattr(type(frames[0]), name, refused)
+        m.setattr(type(spark.sparkContext), "broadcast", refused)
+        found = L.nearest_words(frames[0], "w", frames[1], "e", "r")
+    best = {w: max((SequenceMatcher(None, w, e).ratio(), i, e) for i, e in enumerate(dict.fromkeys(entries))) for w in set(words) - set(entries)}
+    assert {r.word: r.right for r in found.collect()} == {w: e for w, (x, _, e) in best.items() if x >= 0.85} != {}
+
+
+def test_matching_letters_and_compared_pairs(monkeypatch):
+    a, b = made(9, 400, "abcd", (6, 20)), made(10, 400, "abcd", (6, 20)) + made(9, 400, "abcd", (6, 20))[::2]
+    by_size = [{n: [w for w in dict.fromkeys(x) if len(w) == n] for n in range(6, 21)} for x in (a, b)]
+    codes = [{n: L.coded(w) for n, w in x.items() if w} for x in by_size]
+    compared, matching, found = Counter(), L.matching_letters, {}
+    monkeypatch.setattr(L, "matching_letters", lambda x, y: compared.update([(x.shape[1], y.shape[1])] * len(x)) or matching(x, y))
+    monkeypatch.setattr(L, "PAIRS", 2000)
+    for left in range(4, 21):
+        for first in map(ord, "abcd"):
+            for la, i, lb, j, ratios in L.met_words(*codes, left, first, 0.85):
+                found |= {(by_size[0][la][x], by_size[1][lb][y]): r for x, y, r in zip(i, j, ratios)}
+    want = {(x, y): SequenceMatcher(None, x, y).ratio() for x in set(a) for y in set(b) if x != y and 5 < len(x) < 21 and 5 < len(y) < 21}
+    assert found == {k: v for k, v in want.items() if v >= 0.85} and len(found) > 50
+    assert sum(compared.values()) < len(want) / 50
+    for (n, x), (m, y) in zip(codes[0].items(), list(codes[1].items())[::-1]):
+        k = min(len(x), len(y))
+        assert matching(x[:k], y[:k]).tolist() == [round(SequenceMatcher(None, p, q).ratio() * (n + m) / 2) for p, q in zip(by_size[0][n][:k], by_size[1][m][:k])]
