@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..checkpoints import cut
 from ..operators import likeness as L
 from ..operators import names as N
 from .base import query
@@ -17,14 +18,15 @@ def title_ratio_pairs(t):
 
 @query()
 def dictionary_check(t):
-    """Words of documents that no label of the dictionary has, with the word that they are likely to stand for.
+    """Words of documents that the dictionary does not have, with the entry that they are likely to stand for.
 
-    The dictionary is made of words of five letters or more that twenty or more documents hold, the most frequent first.
+    Words are runs of letters of any script. The dictionary is made of those that twenty or more documents hold, the most
+    frequent first; all others are asked, whatever their length, those of a single document too.
     """
-    words = t("documents").select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), 0))).alias("w")).where(F.length("w") >= 5)
-    counted = words.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    words = t("documents").select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}[\p{L}\p{M}]*"), F.lit(0)))).alias("w"))
+    counted = cut(words.groupBy("w").agg(F.count(F.lit(1)).alias("n")))
     entries = counted.where("n >= 20").select(F.col("w").alias("entry"), F.concat(F.lpad((10**12 - F.col("n")).cast("string"), 13, "0"), F.col("w")).alias("place"))
-    return L.nearest_words(counted.where("n between 2 and 19"), "w", entries, "entry", "place")
+    return L.nearest_words(counted.where("n < 20"), "w", entries, "entry", "place")
 
 
 @query("select d.doc_id, b.item_id from documents d, (select item_id, left(text, 40) as lead from benchmark where length(text) >= 40) b where contains(d.text, b.lead) group by all")
