@@ -65,7 +65,8 @@ def _prefixes(texts: DataFrame, least: float, within: list[str]) -> DataFrame:
     each = texts.where(size > 0).select("side", "text", *within, F.explode(F.filter(kinds, lambda x: x.isNotNull())).alias("k")).select("side", "text", *within, "k.kind", "k.take", F.explode("k.grams").alias("gram"))
     tokens = each.select("side", "text", *within, "kind", "take", F.concat(F.col("kind").cast("string"), F.col("gram")).alias("token"))
     counts = tokens.groupBy(F.col("token").alias("_t")).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = tokens.join(counts, F.col("token") == F.col("_t")).groupBy("side", "text", *within, "kind", "take").agg(F.array_sort(F.collect_list(F.struct("_n", "token"))).alias("all"))
+    # Spark knows how large the texts are, not their tokens, which it would gather in the driver.
+    ranked = tokens.join(counts.hint("merge"), F.col("token") == F.col("_t")).groupBy("side", "text", *within, "kind", "take").agg(F.array_sort(F.collect_list(F.struct("_n", "token"))).alias("all"))
     return ranked.select("side", "text", *within, F.explode(F.slice("all", 1, F.greatest(F.col("take"), F.lit(1)))["token"]).alias("token"))
 
 
@@ -389,14 +390,14 @@ def by_deletions(left: DataFrame, right: DataFrame, word: str, other: str, least
 def nearest_words(words: DataFrame, word: str, dictionary: DataFrame, entry: str, rank: str, least: float = 0.85) -> DataFrame:
     """(word, right, ratio): for each distinct word that is not in the dictionary the entry with the largest block ratio, of
     `least` at least; of equals the first by `rank`. Words of one letter are left as they are. Short words are met by their
-    remainders (`_dealt`), longer ones by their rarest letters (`like_texts`)."""
+    remainders (`_dealt`), longer ones by their rarest letters (`like_texts`). The dictionary is not broadcast."""
     entries = cut(dictionary.select(F.col(entry).alias("b"), F.col(rank).alias("_rank")))
-    asked = cut(words.where(F.length(word) > 1).select(F.col(word).alias("word")).distinct().join(entries.select(F.col("b").alias("_e")), F.col("word") == F.col("_e"), "left_anti"))
+    asked = cut(words.where(F.length(word) > 1).select(F.col(word).alias("word")).distinct().join(entries.select(F.col("b").alias("_e")).hint("merge"), F.col("word") == F.col("_e"), "left_anti"))
     placed = _dealt(asked, entries, "word", "b", "_rank", least, best=True)
     # A long word may also be like shorter ones, as far as the ratio lets them be.
     least_size = math.ceil(least / (2 - least) * (SHORT_WORD + 1) - 1e-9)
     sized = lambda df, c, low, high=None: df.where((F.length(c) >= low) & (F.length(c) <= high if high else F.lit(True)))
     for a, b in ((sized(asked, "word", SHORT_WORD + 1), sized(entries, "b", least_size)), (sized(asked, "word", least_size, SHORT_WORD), sized(entries, "b", SHORT_WORD + 1))):
-        placed = placed.union(like_texts(a, b, "word", "b", least).where("ratio < 1").join(entries, "b").select("a", "b", "ratio", "_rank"))
+        placed = placed.union(like_texts(a, b, "word", "b", least).where("ratio < 1").join(entries.hint("merge"), "b").select("a", "b", "ratio", "_rank"))
     best = placed.groupBy(F.col("a").alias("word")).agg(F.min_by(F.struct("b", "ratio"), F.struct(-F.col("ratio"), "rank")).alias("best"))
     return best.select("word", F.col("best.b").alias("right"), F.round("best.ratio", 6).alias("ratio"))

@@ -151,15 +151,26 @@ def test_words_meet_without_the_driver(spark, monkeypatch):
 
     entries, words = made(8, 60, "abcdef", (3, 14)), made(8, 120, "abcdef", (3, 14))
     frames = spark.createDataFrame([(w,) for w in words], "w string"), spark.createDataFrame([(w, -i) for i, w in enumerate(dict.fromkeys(entries))], "e string, r int")
+    cuts, cut = [], L.cut
     with monkeypatch.context() as m:
+        m.setattr(L, "cut", lambda df: cuts.append(df) or cut(df))
         for name in ("toArrow", "toPandas", "collect"):
             m.setattr(type(frames[0]), name, refused)
         m.setattr(type(spark.sparkContext), "broadcast", refused)
         found = L.nearest_words(frames[0], "w", frames[1], "e", "r")
+    assert len(cuts) == 2 and not any("BroadcastExchange" in df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0] for df in cuts)
     best = {w: max((SequenceMatcher(None, w, e).ratio(), i, e) for i, e in enumerate(dict.fromkeys(entries))) for w in set(words) - set(entries)}
     assert {r.word: r.right for r in found.collect()} == {w: e for w, (x, _, e) in best.items() if x >= 0.85} != {}
 
 
+def test_tokens_are_not_broadcast(spark):
+    texts = spark.createDataFrame([(w,) for w in made(11, 40)], "x string")
+    found = L.like_texts(texts, texts.withColumnRenamed("x", "y"), "x", "y", 0.85)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert re.search(r"SortMergeJoin.* \[_t#\d+\]", plan) and not re.search(r"BroadcastHashJoin.* \[_t#\d+\]", plan)
+
+
 def test_matching_letters_and_compared_pairs(monkeypatch):
     a, b = made(9, 160, "abcd", (6, 20)), made(10, 160, "abcd", (6, 20)) + made(9, 160, "abcd", (6, 20))[::2]
     by_size = [{n: [w for w in dict.fromkeys(x) if len(w) == n] for n in range(6, 21)} for x in (a, b)]
